@@ -29,6 +29,15 @@ def pretokens(text: str | Column) -> Column:
     return F.regexp_extract_all(with_prefix_space(text), F.lit(PRETOKEN_PATTERN), 0)
 
 
+def has_specials(text: str | Column) -> Column:
+    return _c(text).rlike(_SPECIAL)
+
+
+def special_pieces(text: str | Column) -> Column:
+    """The text cut at special strings, which are kept as pieces of their own."""
+    return F.regexp_extract_all(_c(text), F.lit(_PIECE), 0)
+
+
 def pretokens_with_specials(text: str | Column) -> Column:
     """Pretokens where special strings in the text stay whole.
 
@@ -36,8 +45,9 @@ def pretokens_with_specials(text: str | Column) -> Column:
     prefix space. Texts without any special string take the direct route.
     """
     t = _c(text)
-    pieces = F.regexp_extract_all(t, F.lit(_PIECE), 0)
     split = F.flatten(
-        F.transform(pieces, lambda p: F.when(p.isin(*SPECIALS), F.array(p)).otherwise(pretokens(p)))
+        F.transform(
+            special_pieces(t), lambda p: F.when(p.isin(*SPECIALS), F.array(p)).otherwise(pretokens(p))
+        )
     )
-    return F.when(t.rlike(_SPECIAL), split).otherwise(pretokens(t))
+    return F.when(has_specials(t), split).otherwise(pretokens(t))
