@@ -80,9 +80,9 @@ def merge_ids(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) ->
 
 
 def _encode_batches(
-    batches: Iterator[pa.Array], ranks: dict[tuple[int, int], tuple[int, int]]
+    batches: Iterator[pa.Array], ranks: dict[tuple[int, int], tuple[int, int]], lengths_only: bool = False
 ) -> Iterator[pa.Array]:
-    """Arrays of pretokens to arrays of ids; each distinct pretoken is merged once."""
+    """Arrays of pretokens to arrays of ids (or their lengths); each distinct pretoken is merged once."""
     known: dict[str, list[int]] = {}
 
     def encode_one(piece: str) -> list[int]:
@@ -103,17 +103,19 @@ def _encode_batches(
             encoded.append(ids)
         which = flat.indices.to_numpy()
         sizes = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
-        starts = np.cumsum(sizes) - sizes
-        pool = np.fromiter((i for e in encoded for i in e), np.int32, int(sizes.sum()))
         row_sizes = sizes[which]
         ends = np.concatenate([[0], np.cumsum(row_sizes)])
-        take = np.repeat(starts[which] - ends[:-1], row_sizes) + np.arange(ends[-1])
         counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        bounds = ends[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+        bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
+        nulls = batch.is_null()
+        if lengths_only:
+            yield pa.array(np.diff(bounds), pa.int32(), mask=nulls.to_numpy(zero_copy_only=False))
+            continue
+        starts = np.cumsum(sizes) - sizes
+        pool = np.fromiter((i for e in encoded for i in e), np.int32, int(sizes.sum()))
+        take = np.repeat(starts[which] - ends[:-1], row_sizes) + np.arange(ends[-1])
         yield pa.ListArray.from_arrays(
-            pa.array(bounds, pa.int32()),
-            pa.array(pool[take], pa.int32()),
-            mask=batch.is_null() if batch.null_count else None,
+            pa.array(bounds, pa.int32()), pa.array(pool[take], pa.int32()), mask=nulls if batch.null_count else None
         )
 
 
@@ -174,15 +176,27 @@ class Tokenizer:
             ranks.setdefault(pair, (rank, made))
         return ranks
 
-    def _merge_udf(self, pieces: Column) -> Column:
+    def _merge_udf(self, pieces: Column, lengths_only: bool = False) -> Column:
         ranks = SparkSession.active().sparkContext.broadcast(self._ranks())
 
-        @F.arrow_udf(T.ArrayType(T.IntegerType()))
+        @F.arrow_udf(T.IntegerType() if lengths_only else T.ArrayType(T.IntegerType()))
         def encode_pretokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            return _encode_batches(batches, ranks.value)
+            return _encode_batches(batches, ranks.value, lengths_only)
 
         return encode_pretokens(pieces)
 
+    def length(self, text: str | Column) -> Column:
+        """Number of tokens of ``text``; the ids themselves stay in the Python worker."""
+        col = F.col(text) if isinstance(text, str) else text
+        if self.merges:
+            return self._merge_udf(pretokens_with_specials(col), lengths_only=True)
+        return F.size(_byte_encode(col))
+
+    def piece_length(self, pretoken: str | Column) -> Column:
+        """Number of tokens of one pretoken, taken as it is."""
+        col = F.col(pretoken) if isinstance(pretoken, str) else pretoken
+        return self._merge_udf(F.array(col), lengths_only=True)
+
     def encode(self, text: str | Column, eos: bool = False) -> Column:
         """Token ids of ``text``; with ``eos`` the end id is appended.
 
