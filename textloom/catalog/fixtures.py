@@ -185,7 +185,7 @@ def log_lines(events: DataFrame) -> DataFrame:
 
 
 def train_log(spark: SparkSession, sf: str) -> DataFrame:
-    return log_lines(read(spark, sf, "events"))
+    return log_lines(spread(read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")))
 
 
 def checkpoints(spark: SparkSession, sf: str) -> DataFrame:

@@ -69,12 +69,16 @@ def total(ids: str) -> str:
     return f"coalesce(list_sum({ids}), 0)::BIGINT"
 
 
-def weighted(ids: str) -> str:
-    return f"coalesce(list_sum(list_transform({ids}, lambda x, i: x::BIGINT * i)), 0)::BIGINT"
+def digest(ids: str) -> str:
+    return f"md5(array_to_string({ids}, ','))"
+
+
+def ones(n: str) -> str:
+    return f"list_resize([1], {n}, 1)"
 
 
 def id_summary(keys: str, source: str, ids: str = "ids") -> str:
-    return f"SELECT {keys}, len({ids})::INT AS n_ids, {total(ids)} AS id_sum, {weighted(ids)} AS id_weighted FROM {source}"
+    return f"SELECT {keys}, len({ids})::INT AS n_ids, {digest(ids)} AS digest FROM {source}"
 
 
 def block_rows(source: str, keys: str, size: int = 1024) -> str:
@@ -86,12 +90,11 @@ def block_rows(source: str, keys: str, size: int = 1024) -> str:
 
 
 def block_summary(keys: str, source: str, width: str = "1024") -> str:
-    pads = f"({width} - len(part))"
-    # Padding adds its id at the positions after the part.
-    places = f"({width} * ({width} + 1) // 2 - len(part) * (len(part) + 1) // 2)"
+    padded = f"list_resize(part, {width}, {PAD})"
+    mask = f"list_resize({ones('len(part)')}, {width}, 0)"
     return (
         f"SELECT {keys}, ({width})::INT AS width, len(part)::BIGINT AS n_tokens, "
-        f"({total('part')} + {PAD} * {pads})::BIGINT AS id_sum, ({weighted('part')} + {PAD} * {places})::BIGINT AS id_weighted FROM {source}"
+        f"{digest(padded)} AS ids_digest, {digest(mask)} AS mask_digest FROM {source}"
     )
 
 
@@ -267,8 +270,7 @@ ORACLES["streamed_blocks"] = ORACLES["token_blocks"]
 ORACLES["truncated_ids"] = f"WITH {DOC_IDS} {id_summary('doc_id', '(SELECT doc_id, ids[1:1024] AS ids FROM d)')}"
 ORACLES["decode_ids"] = f"SELECT doc_id, {prefixed('text')} AS text FROM documents"
 ORACLES["causal_labels"] = (
-    f"WITH {BYTE_BLOCKS} SELECT doc_id, block_no, ({total('part')} - 100 * (1024 - len(part)))::BIGINT AS label_sum, "
-    f"({weighted('part')} - 100 * (1024 * 1025 // 2 - len(part) * (len(part) + 1) // 2))::BIGINT AS label_weighted FROM b"
+    f"WITH {BYTE_BLOCKS} SELECT doc_id, block_no, {digest('list_resize(part, 1024, -100)')} AS digest FROM b"
 )
 ORACLES["shifted_labels"] = (
     f"WITH {DOC_EOS} {id_summary('doc_id', f'(SELECT doc_id, list_append(ids[2:1024], {EOS}) AS ids FROM d)')}"
@@ -276,7 +278,7 @@ ORACLES["shifted_labels"] = (
 ORACLES["packed_rows"] = (
     f"WITH {DOC_EOS}, o AS (SELECT ids, sum(len(ids)) OVER (ORDER BY {hashed('doc_id')}, doc_id) - len(ids) AS o FROM d), "
     "t AS (SELECT o + i AS place, id FROM (SELECT o, unnest(ids) AS id, unnest(range(0, len(ids))) AS i FROM o)) "
-    "SELECT (place // 1024)::BIGINT AS block_no, count(*)::INT AS n_ids, sum(id)::BIGINT AS id_sum, sum(id * (place % 1024 + 1))::BIGINT AS id_weighted FROM t GROUP BY 1"
+    "SELECT (place // 1024)::BIGINT AS block_no, count(*)::INT AS n_ids, md5(string_agg(id::VARCHAR, ',' ORDER BY place)) AS digest FROM t GROUP BY 1"
 )
 ORACLES["padded_batches"] = (
     f"WITH b AS (SELECT doc_id, row_index // 16 AS batch_id, ids[1:1024] AS part FROM ({SHUFFLED}) JOIN "
@@ -335,7 +337,7 @@ ORACLES["instruction_texts"] = f"WITH {INSTRUCTIONS} SELECT id, {instruct('instr
 def pair_summary(keys: str, source: str) -> str:
     cols = []
     for s in ("chosen", "rejected"):
-        cols.append(f"len({s})::INT AS n_{s}, {weighted(s)} AS ids_{s}, len({s})::BIGINT AS mask_{s}")
+        cols.append(f"len({s})::INT AS n_{s}, {digest(s)} AS ids_{s}, {digest(ones(f'len({s})'))} AS mask_{s}")
     ids = ", ".join(f"({encoded('(' + instruct('instruction', s) + ')')})[1:1024] AS {s}" for s in ("chosen", "rejected"))
     return f"SELECT {keys}, {', '.join(cols)} FROM (SELECT {keys}, {ids} FROM {source})"
 

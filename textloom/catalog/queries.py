@@ -38,28 +38,30 @@ def register(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
-def _sum(ids: str | Column) -> Column:
-    return F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, x: a + x)
+def _digest(ids: str | Column) -> Column:
+    """Fingerprint of an array of ids, in order."""
+    col = F.col(ids) if isinstance(ids, str) else ids
+    return F.md5(F.array_join(col.cast("array<string>"), ","))
 
 
-def _weighted(ids: str | Column) -> Column:
-    """Order-sensitive sum: each id times its position."""
-    at = F.transform(ids, lambda x, i: x.cast("bigint") * (i + 1))
-    return F.aggregate(at, F.lit(0).cast("bigint"), lambda a, x: a + x)
+def _n_tokens(mask: str = "attention_mask") -> Column:
+    """Ones of a mask: everything before its first zero."""
+    at = F.array_position(mask, 0)
+    return F.when(at == 0, F.size(mask)).otherwise(at - 1).cast("bigint")
 
 
 def _id_summary(df: DataFrame, keys: list[str], ids: str = "ids") -> DataFrame:
-    return df.select(*keys, F.size(ids).alias("n_ids"), _sum(ids).alias("id_sum"), _weighted(ids).alias("id_weighted"))
+    return df.select(*keys, F.size(ids).alias("n_ids"), _digest(ids).alias("digest"))
 
 
 def _block_summary(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Checksums of both arrays of a block."""
+    """Fingerprints of both arrays of a block."""
     return df.select(
         *keys,
         F.size("input_ids").alias("width"),
-        _sum("attention_mask").alias("n_tokens"),
-        _sum("input_ids").alias("id_sum"),
-        _weighted("input_ids").alias("id_weighted"),
+        _n_tokens().alias("n_tokens"),
+        _digest("input_ids").alias("ids_digest"),
+        _digest("attention_mask").alias("mask_digest"),
     )
 
 
@@ -110,7 +112,7 @@ def sorted_block_shards(spark, sf):
     storage.write_blocks(storage.sort_blocks(pretraining.tokenize_and_block(docs, BYTE_TOKENIZER), shards), path)
     stored = storage.read_blocks(spark, path)
     return stored.groupBy("doc_id").agg(
-        F.count("block_no").alias("n_blocks"), F.sum(_sum("attention_mask")).alias("n_tokens")
+        F.count("block_no").alias("n_blocks"), F.sum(_n_tokens()).alias("n_tokens")
     )
 
 
@@ -363,7 +365,7 @@ def decode_ids(spark, sf):
 def causal_labels(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", "text")
     out = pretraining.tokenize_and_block(docs, BYTE_TOKENIZER).withColumn("labels", B.causal_labels("input_ids"))
-    return out.select("doc_id", "block_no", _sum("labels").alias("label_sum"), _weighted("labels").alias("label_weighted"))
+    return out.select("doc_id", "block_no", _digest("labels").alias("digest"))
 
 
 @register
@@ -426,8 +428,8 @@ def _pair_summary(df: DataFrame, keys: list[str]) -> DataFrame:
         for side in ("chosen", "rejected")
         for c in (
             F.size(f"input_ids_{side}").alias(f"n_{side}"),
-            _weighted(f"input_ids_{side}").alias(f"ids_{side}"),
-            _sum(f"attention_mask_{side}").alias(f"mask_{side}"),
+            _digest(f"input_ids_{side}").alias(f"ids_{side}"),
+            _digest(f"attention_mask_{side}").alias(f"mask_{side}"),
         )
     ]
     return df.select(*keys, *sides)
@@ -496,7 +498,7 @@ def training_blocks(spark, sf):
 def stage_counts(spark, sf):
     docs, read_docs = observed(fx.documents(spark, sf).select("doc_id", "text"), "documents", tokens=F.sum(F.lit(0)))
     out = pretraining.tokenize_and_block(docs, BYTE_TOKENIZER)
-    out, made = observed(out, "blocks", tokens=F.sum(_sum("attention_mask")))
+    out, made = observed(out, "blocks", tokens=F.sum(_n_tokens()))
     storage.write_blocks(out, fresh_path(spark, "counted"))
     rows = [(name, int(o.get["rows"]), int(o.get["tokens"])) for name, o in (("documents", read_docs), ("blocks", made))]
     return spark.createDataFrame(rows, "stage string, rows bigint, tokens bigint")
@@ -610,7 +612,8 @@ def streamed_blocks(spark, sf):
     schema = fx.read(spark, sf, "documents").schema
     docs = read_new_files(spark, f"{sf}/documents.parquet*", schema).select("doc_id", "text")
     out, state = fresh_path(spark, "stream-out"), fresh_path(spark, "stream-state")
-    stream_blocks(docs, fx.TOKENIZER, out, state).awaitTermination()
+    slots = spark.sparkContext.defaultParallelism
+    stream_blocks(docs, fx.TOKENIZER, out, state, partitions=slots).awaitTermination()
     return _block_summary(storage.read_blocks(spark, out), ["doc_id", "block_no"])
 
 
@@ -647,8 +650,8 @@ def blocks_per_language(spark: SparkSession, sf: str) -> DataFrame:
     out = pretraining.tokenize_and_block(docs, BYTE_TOKENIZER)
     return out.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_blocks"),
-        F.sum(_sum("attention_mask")).alias("n_tokens"),
-        F.round(1 - F.sum(_sum("attention_mask")) / F.sum(F.size("input_ids")), 6).alias("pad_share"),
+        F.sum(_n_tokens()).alias("n_tokens"),
+        F.round(1 - F.sum(_n_tokens()) / F.sum(F.size("input_ids")), 6).alias("pad_share"),
     )
 
 

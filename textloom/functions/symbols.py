@@ -61,6 +61,5 @@ def byte_symbols(text: str | Column) -> Column:
 def byte_ids(text: str | Column) -> Column:
     """Token ids of ``text`` under the alphabet alone (no merges)."""
     col = F.col(text) if isinstance(text, str) else text
-    ids = F.array(*[F.lit(BYTE_TO_ID[b]) for b in range(256)])
-    pairs = F.regexp_extract_all(F.hex(F.encode(col, "UTF-8")), F.lit(".."), 0)
-    return F.transform(pairs, lambda x: F.element_at(ids, F.conv(x, 16, 10).cast("int") + 1))
+    chars = F.when(F.length(col) > 0, F.split(byte_symbols(col), "")).otherwise(F.array().cast("array<string>"))
+    return F.transform(chars, lambda c: F.ascii(c) - _BASE)

@@ -21,14 +21,11 @@ def count_with_dictionary(
     Its most frequent entries, which cover most of any corpus, are broadcast up
     to ``HOT_PRETOKENS`` rows; only rare pretokens are shuffled.
     """
-    per_text = (
-        docs.select(key, F.explode_outer(pretokens_with_specials(text)).alias("pretoken"))
-        .groupBy(key, "pretoken")
-        .agg(F.count("pretoken").alias("n"))
-    )
-    seen = per_text.filter(F.col("pretoken").isNotNull()).groupBy("pretoken").agg(F.count(F.lit(1)).alias("_texts"))
-    sizes = seen.select("pretoken", "_texts", tokenizer.piece_length("pretoken").alias("_size"))
-    joined = attach_group_values(per_text, sizes, "pretoken", "_texts", key, HOT_PRETOKENS)
+    pieces = docs.select(key, F.explode_outer(pretokens_with_specials(text)).alias("pretoken"))
+    per_text = pieces.groupBy(key, "pretoken").agg(F.count("pretoken").alias("n"))
+    seen = pieces.filter(F.col("pretoken").isNotNull()).groupBy("pretoken").agg(F.count(F.lit(1)).alias("_seen"))
+    sizes = seen.select("pretoken", "_seen", tokenizer.piece_length("pretoken").alias("_size"))
+    joined = attach_group_values(per_text, sizes, "pretoken", "_seen", key, HOT_PRETOKENS)
     return joined.groupBy(key).agg(
         F.sum("n").alias("n_pretokens"),
         F.coalesce(F.sum(F.col("n") * F.col("_size")), F.lit(0)).alias("n_tokens"),

@@ -26,6 +26,8 @@ def attach_group_values(
     carry a salt that spreads them over the shuffle of the second join.
     """
     values = [c for c in groups.columns if c != key]
+    # Stated here, not left to the join, so that both uses of ``groups`` share one exchange.
+    groups = groups.filter(F.col(key).isNotNull())
     hot = groups.orderBy(F.desc(size_col), F.asc(key)).limit(hot_groups)
     hot = hot.select(F.col(key), F.lit(True).alias("_hot"), *[F.col(c).alias(f"_hot_{c}") for c in values])
     # The salt of the second side is always 0, written so that it stays a join key.

@@ -32,6 +32,7 @@ from textloom.functions.symbols import (
 )
 
 CACHED_PRETOKENS = 500_000
+SCAN_LENGTH = 32
 
 
 def _byte_encode(text: Column) -> Column:
@@ -49,10 +50,20 @@ def _byte_encode(text: Column) -> Column:
 def merge_ids(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
     """Apply merges to one pretoken, lowest rank first, leftmost first.
 
-    A heap over linked neighbours keeps long pretokens at n log n.
+    Words are scanned for their best pair again and again; long pretokens use a
+    heap over linked neighbours, which keeps them at n log n.
     """
     n = len(ids)
     ids = list(ids)
+    while len(ids) <= SCAN_LENGTH:
+        best, at = None, 0
+        for i, pair in enumerate(zip(ids, ids[1:])):
+            hit = ranks.get(pair)
+            if hit is not None and (best is None or hit < best):
+                best, at = hit, i
+        if best is None:
+            return ids
+        ids[at : at + 2] = [best[1]]
     after = list(range(1, n + 1))
     before = list(range(-1, n - 1))
     heap = []
@@ -183,10 +194,14 @@ class Tokenizer:
         def encode_pretokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             return _encode_batches(batches, ranks.value, lengths_only)
 
-        return encode_pretokens(pieces)
+        return (encode_pretokens.asNondeterministic() if lengths_only else encode_pretokens)(pieces)
 
     def length(self, text: str | Column) -> Column:
-        """Number of tokens of ``text``; the ids themselves stay in the Python worker."""
+        """Number of tokens of ``text``; the ids themselves stay in the Python worker.
+
+        Marked as not repeatable so that a filter on the result is not pushed
+        below it, which would encode every text twice.
+        """
         col = F.col(text) if isinstance(text, str) else text
         if self.merges:
             return self._merge_udf(pretokens_with_specials(col), lengths_only=True)

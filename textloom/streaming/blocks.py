@@ -19,13 +19,20 @@ def read_new_files(
 
 
 def stream_blocks(
-    docs: DataFrame, tokenizer: Tokenizer, out: str, checkpoint: str, block_size: int = BLOCK_SIZE
+    docs: DataFrame,
+    tokenizer: Tokenizer,
+    out: str,
+    checkpoint: str,
+    block_size: int = BLOCK_SIZE,
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """Tokenize and block all documents that arrived since the last run, exactly once.
 
     Stateless, so batches need no order between them; the checkpoint and the
-    file sink's own log make a restart continue without gaps or repeats.
+    file sink's own log make a restart continue without gaps or repeats. Set
+    ``partitions`` when files arrive in fewer splits than there are task slots.
     """
+    docs = docs.repartition(partitions) if partitions else docs
     return (
         tokenize_and_block(docs, tokenizer, block_size)
         .writeStream.format("parquet")
