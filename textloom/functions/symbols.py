@@ -61,5 +61,5 @@ def byte_symbols(text: str | Column) -> Column:
 def byte_ids(text: str | Column) -> Column:
     """Token ids of ``text`` under the alphabet alone (no merges)."""
     col = F.col(text) if isinstance(text, str) else text
-    chars = F.when(F.length(col) > 0, F.split(byte_symbols(col), "")).otherwise(F.array().cast("array<string>"))
+    chars = F.when(col == "", F.array().cast("array<string>")).otherwise(F.split(byte_symbols(col), ""))
     return F.transform(chars, lambda c: F.ascii(c) - _BASE)

@@ -17,6 +17,11 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _text(col: str | Column) -> Column:
+    """A template field; null counts as empty."""
+    return F.coalesce(_c(col), F.lit(""))
+
+
 def strip(col: str | Column) -> Column:
     """Trim all Unicode whitespace on both ends."""
     return F.btrim(_c(col), F.lit(PY_WHITESPACE))
@@ -24,14 +29,14 @@ def strip(col: str | Column) -> Column:
 
 def compose(left: str | Column, right: str | Column) -> Column:
     """``left right`` with one space, stripped; a null field counts as empty."""
-    return strip(F.concat(F.coalesce(_c(left), F.lit("")), F.lit(" "), F.coalesce(_c(right), F.lit(""))))
+    return strip(F.concat(_text(left), F.lit(" "), _text(right)))
 
 
 def turn_line(role: str | Column, content: str | Column) -> Column:
     """``User: ...`` or ``Assistant: ...``; null for every other role."""
     line = None
     for name, label in ROLE_LABELS.items():
-        cond, value = _c(role) == name, F.concat(F.lit(label), F.coalesce(_c(content), F.lit("")))
+        cond, value = _c(role) == name, F.concat(F.lit(label), _text(content))
         line = F.when(cond, value) if line is None else line.when(cond, value)
     return line
 
@@ -43,21 +48,21 @@ def conversation_text(conversation: str | Column) -> Column:
 
 
 def instruction_response(instruction: str | Column, response: str | Column) -> Column:
-    return F.concat(F.lit("Instruction: "), _c(instruction), F.lit("\nResponse: "), _c(response))
+    return F.concat(F.lit("Instruction: "), _text(instruction), F.lit("\nResponse: "), _text(response))
 
 
 def chat_generation_prompt(text: str | Column) -> Column:
-    return F.concat(F.lit("User: "), _c(text), F.lit("\nAssistant:"))
+    return F.concat(F.lit("User: "), _text(text), F.lit("\nAssistant:"))
 
 
 def instruction_generation_prompt(instruction: str | Column) -> Column:
-    return F.concat(F.lit("Instruction: "), _c(instruction), F.lit("\n" + RESPONSE_MARKER))
+    return F.concat(F.lit("Instruction: "), _text(instruction), F.lit("\n" + RESPONSE_MARKER))
 
 
 def with_input(instruction: str | Column, extra: str | Column) -> Column:
     """Instruction, then a newline and the extra input if there is any."""
-    has_input = F.length(F.coalesce(_c(extra), F.lit(""))) > 0
-    return F.when(has_input, F.concat(_c(instruction), F.lit("\n"), _c(extra))).otherwise(_c(instruction))
+    has_input = F.length(_text(extra)) > 0
+    return F.when(has_input, F.concat(_text(instruction), F.lit("\n"), _c(extra))).otherwise(_text(instruction))
 
 
 def extract_response(output: str | Column) -> Column:
