@@ -109,7 +109,7 @@ def sorted_block_shards(spark, sf):
     path = fresh_path(spark, "shards")
     docs = fx.documents(spark, sf).select("doc_id", "text")
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    storage.write_blocks(storage.sort_blocks(pretraining.tokenize_and_block(docs, BYTE_TOKENIZER), shards), path)
+    storage.write_blocks(pretraining.tokenize_and_block(storage.sort_by_key(docs, shards), BYTE_TOKENIZER), path)
     stored = storage.read_blocks(spark, path)
     return stored.groupBy("doc_id").agg(
         F.count("block_no").alias("n_blocks"), F.sum(_n_tokens()).alias("n_tokens")

@@ -65,8 +65,8 @@ def kth_key(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> tupl
 
 def _at_or_before(order: list[str], key: tuple) -> Column:
     """Rows whose ``order`` columns are lexicographically <= ``key``."""
-    cond = F.lit(True)
-    for name, value in reversed(list(zip(order, key, strict=True))):
+    cond = F.col(order[-1]) <= F.lit(key[-1])
+    for name, value in reversed(list(zip(order[:-1], key[:-1], strict=True))):
         cond = (F.col(name) < F.lit(value)) | ((F.col(name) == F.lit(value)) & cond)
     return cond
 

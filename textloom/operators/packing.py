@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textloom.functions.blocks import BLOCK_SIZE, attention_mask, blocks, pad_right
 from textloom.functions.hashing import SEED
@@ -53,10 +54,12 @@ def pack_rows(
 
 
 def pad_to_longest(df: DataFrame, batch: str = "batch_id", ids: str = "ids", pad_id: int = PAD_ID) -> DataFrame:
-    """Pad each row to the longest row of its batch (batches have a fixed size)."""
-    longest = df.groupBy(batch).agg(F.max(F.size(ids)).alias("_longest"))
-    padded = df.join(longest, batch)
-    return padded.select(
+    """Pad each row to the longest row of its batch.
+
+    Batches have a fixed, small number of rows, so a window over one is bounded.
+    """
+    longest = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    return df.withColumn("_longest", longest).select(
         *[F.col(c) for c in df.columns if c != ids],
         pad_right(ids, F.col("_longest"), pad_id).alias("input_ids"),
         attention_mask(F.size(ids), F.col("_longest")).alias("attention_mask"),

@@ -128,7 +128,7 @@ def learn_merges(
     # A counted pretoken without two symbols can never take part in a merge.
     # An explicit partition count keeps the table spread out although it is small.
     slots = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = cut_lineage(
+    words = _stored(
         counts.select(byte_symbols("pretoken").alias("w"), "n")
         .filter(F.length("w") > 1)
         .repartition(slots, "w")
@@ -144,7 +144,7 @@ def learn_merges(
             if pool and pool.floor is None:
                 break
             if pending:
-                words = cut_lineage(_merged(words, pending))
+                words = _stored(_merged(words, pending), words)
                 pending = []
             pool = _count_pairs(words, pool_size)
             ranked = pool.ranked()
@@ -170,11 +170,23 @@ def learn_merges(
             pool.keep_best(4 * pool_size)
         pending += step
         if len(pending) >= MERGES_PER_CUT:
-            words = cut_lineage(_merged(words, pending))
+            words = _stored(_merged(words, pending), words)
             pending = []
+    words.unpersist()
     return Tokenizer(merges)
 
 
+def _stored(words: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
+    """Checkpoint the words and keep them in executor memory for the next rounds.
+
+    A lost executor's part is read again from the checkpoint.
+    """
+    out = cut_lineage(words).persist()
+    if replaced is not None:
+        replaced.unpersist()
+    return out
+
+
 def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """Words after the merges; finished single-symbol words drop out."""
     return words.selectExpr(f"{_apply('w', merges)} as w", "n").filter(F.length("w") > 1)

@@ -30,9 +30,13 @@ def write_blocks(df: DataFrame, path: str, max_records: int = 200_000) -> None:
     df.write.option("maxRecordsPerFile", max_records).parquet(path)
 
 
-def sort_blocks(df: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
-    """Blocks in ``(key, block_no)`` order over ``shards`` range partitions."""
-    return df.repartitionByRange(shards, key, "block_no").sortWithinPartitions(key, "block_no")
+def sort_by_key(docs: DataFrame, shards: int, key: str = "doc_id") -> DataFrame:
+    """Rows in key order over ``shards`` range partitions.
+
+    Meant for documents before they are blocked: blocks come out in
+    ``(key, block_no)`` order by themselves, and only text is moved.
+    """
+    return docs.repartitionByRange(shards, key).sortWithinPartitions(key)
 
 
 def read_blocks(spark: SparkSession, pattern: str) -> DataFrame:
