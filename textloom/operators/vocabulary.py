@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textloom.functions.pretokens import pretokens
 from textloom.functions.symbols import (
-    FIRST_MERGE_ID,
+    FIRST_BYTE_ID,
     byte_symbols,
     id_to_symbol,
     symbol_to_id,
@@ -20,7 +20,7 @@ from textloom.workspace import cut_lineage
 VOCAB_SIZE = 32_000
 POOL_SIZE = 20_000
 MAX_BATCH = 256
-MERGES_PER_CUT = 128
+ROUNDS_PER_CUT = 32
 
 
 def count_pretokens(lines: DataFrame, text: str = "text") -> DataFrame:
@@ -38,16 +38,11 @@ def count_pretokens(lines: DataFrame, text: str = "text") -> DataFrame:
 def _apply(word: str, merges: list[tuple[str, str]]) -> str:
     """SQL that replaces each pair of symbols by its new symbol, in list order.
 
-    The merges travel as one string literal, so every round has the same
-    generated code. Symbols are never quotes, spaces or backslashes.
+    The merges are one folded array literal, so every round has the same
+    generated code. Symbols are never quotes or backslashes.
     """
-    if not merges:
-        return word
-    listed = " ".join(pair + made for pair, made in merges)
-    return (
-        f"aggregate(split('{listed}', ' '), {word}, "
-        "(w, m) -> replace(w, substring(m, 1, 2), substring(m, 3, 1)))"
-    )
+    listed = ", ".join(f"struct('{pair}' as p, '{made}' as s)" for pair, made in merges)
+    return f"aggregate(array({listed}), {word}, (w, m) -> replace(w, m.p, m.s))"
 
 
 def _pairs(word: str) -> str:
@@ -125,27 +120,19 @@ def learn_merges(
     these counts a round applies one batch of merges and sums, in one job, how
     the counts of the touched pairs change. Stops early when no pair is left.
     """
-    # A counted pretoken without two symbols can never take part in a merge.
     # An explicit partition count keeps the table spread out although it is small.
     slots = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = _stored(
-        counts.select(byte_symbols("pretoken").alias("w"), "n")
-        .filter(F.length("w") > 1)
-        .repartition(slots, "w")
-    )
+    words = _cut(counts.select(byte_symbols("pretoken").alias("w"), "n").repartition(slots, "w"))
     tokens = list(BYTE_TOKENIZER.tokens)
-    made = {t: i for i, t in enumerate(tokens) if i >= FIRST_MERGE_ID - 256}
+    made = {t: i for i, t in enumerate(tokens) if i >= FIRST_BYTE_ID}
     merges: list[tuple[int, int]] = []
-    pending: list[tuple[str, str]] = []
     pool: _Pool | None = None
+    rounds = 0
     while len(tokens) < vocab_size:
         ranked = pool.ranked() if pool else []
         if not ranked:
             if pool and pool.floor is None:
                 break
-            if pending:
-                words = _stored(_merged(words, pending), words)
-                pending = []
             pool = _count_pairs(words, pool_size)
             ranked = pool.ranked()
             if not ranked:
@@ -162,40 +149,44 @@ def learn_merges(
             step.append((pair, id_to_symbol(made[result])))
         if len(tokens) >= vocab_size:
             break
+        merged = _merge(words, step).persist()
         if repeated:
-            # The counts of an existing symbol may rise, so the pool is void.
-            pool = None
+            # The counts of an existing symbol may rise, so all pairs are counted anew.
+            pool = _count_pairs(merged, pool_size)
         else:
-            _update(pool, words, pending, step)
+            _update(pool, merged, step)
             pool.keep_best(4 * pool_size)
-        pending += step
-        if len(pending) >= MERGES_PER_CUT:
-            words = _stored(_merged(words, pending), words)
-            pending = []
+        words.unpersist()
+        words = merged
+        rounds += 1
+        if rounds % ROUNDS_PER_CUT == 0:
+            words = _cut(merged)
+            merged.unpersist()
     words.unpersist()
     return Tokenizer(merges)
 
 
-def _stored(words: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
-    """Checkpoint the words and keep them in executor memory for the next rounds.
+def _cut(words: DataFrame) -> DataFrame:
+    """Checkpoint the words, without those that are one symbol and can never merge again.
 
-    A lost executor's part is read again from the checkpoint.
+    The result is kept in executor memory; a lost part is read again from the
+    checkpoint and goes through the rounds since then.
     """
-    out = cut_lineage(words).persist()
-    if replaced is not None:
-        replaced.unpersist()
-    return out
+    rest = words.select(F.lit(None).cast("string").alias("old"), "w", "n").filter(F.length("w") > 1)
+    return cut_lineage(rest).persist()
 
 
-def _merged(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """Words after the merges; finished single-symbol words drop out."""
-    return words.selectExpr(f"{_apply('w', merges)} as w", "n").filter(F.length("w") > 1)
+def _merge(words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
+    """Words after one batch; ``old`` holds the former symbols of a changed word, else null."""
+    return words.selectExpr("w", f"{_apply('w', step)} as v", "n").selectExpr(
+        "if(v = w, null, w) as old", "v as w", "n"
+    )
 
 
 def _count_pairs(words: DataFrame, size: int) -> _Pool:
-    pairs = words.selectExpr(f"explode_outer({_pairs('w')}) as pair", "n")
     top = (
-        pairs.groupBy("pair")
+        words.selectExpr(f"explode_outer({_pairs('w')}) as pair", "n")
+        .groupBy("pair")
         .agg(F.sum("n").alias("n"))
         .filter(F.col("pair").isNotNull())
         .orderBy(F.desc("n"), F.asc("pair"))
@@ -206,10 +197,8 @@ def _count_pairs(words: DataFrame, size: int) -> _Pool:
     return _Pool(counts, _rank((top[-1].pair, top[-1].n)) if len(top) == size else None)
 
 
-def _update(
-    pool: _Pool, words: DataFrame, pending: list[tuple[str, str]], step: list[tuple[str, str]]
-) -> None:
-    """Apply one batch to the pool's counts with one job over the touched words.
+def _update(pool: _Pool, words: DataFrame, step: list[tuple[str, str]]) -> None:
+    """Bring the pool's counts up to date with one job over the changed words.
 
     What comes back: changes of pool pairs next to a merged pair, and new pairs
     that are at least as frequent as the pool's last one, of which there are at
@@ -220,14 +209,12 @@ def _update(
     symbols = "".join(s for _, s in step)
     # Pool pairs whose count may change: those meeting a merged pair end to end.
     near = [p for p in pool.counts if p[0] in rights or p[1] in lefts]
-    # Untouched words give one null row, dropped after the sum. A filter on w and
-    # v, or a plain explode, would be pushed down and apply all merges again.
+    # Unchanged words give one null row, dropped after the sum; a plain explode
+    # would make the optimizer build the arrays twice.
     changes = (
-        words.selectExpr(f"{_apply('w', pending)} as w", "n")
-        .selectExpr("w", f"{_apply('w', step)} as v", "n")
-        .selectExpr(
-            f"if(w = v, null, concat(transform({_pairs('w')}, p -> struct(p as pair, -1 as s)),"
-            f" transform({_pairs('v')}, p -> struct(p as pair, 1 as s)))) as signed",
+        words.selectExpr(
+            f"if(old is null, null, concat(transform({_pairs('old')}, p -> struct(p as pair, -1 as s)),"
+            f" transform({_pairs('w')}, p -> struct(p as pair, 1 as s)))) as signed",
             "n",
         )
         .selectExpr("explode_outer(signed) as c", "n")
@@ -238,13 +225,14 @@ def _update(
     lowest = -pool.floor[0] if pool.floor else 1
     wanted = is_new & (F.col("d") >= lowest)
     if near:
-        wanted = wanted | F.array_contains(F.split(F.lit(" ".join(near)), " "), F.col("pair"))
+        listed = ", ".join(f"'{p}'" for p in near)
+        wanted = wanted | F.expr(f"pair in ({listed})")  # a hash set, however long
     for pair, _ in step:
         pool.counts.pop(pair, None)
     for r in changes.filter((F.col("d") != 0) & wanted).collect():
         pool.counts[r.pair] = pool.counts.get(r.pair, 0) + r.d
 
 
-def vocabulary(tokenizer: Tokenizer, spark) -> DataFrame:
+def vocabulary(tokenizer: Tokenizer, spark: SparkSession) -> DataFrame:
     """Specials, then the 256 bytes, then merge results, each with its id."""
     return tokenizer.vocab_table(spark)
