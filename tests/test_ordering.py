@@ -23,6 +23,8 @@ def test_split_sizes(spark, n, tests):
     assert len({r.k for r in rows}) == len(rows) == n
     keys = sorted((r.k for r in rows), key=lambda k: (h(k), k))
     assert {r.k for r in rows if r.split == "test"} == set(keys[:tests])
+    parts = ordering.by_split(ordering.train_test_split(numbered(spark, n), 0.1, "k"))
+    assert {name: p.count() for name, p in parts.items()} == {"train": n - tests, "test": tests}
 
 
 @pytest.mark.parametrize("sort_rows", [1, 50])

@@ -40,6 +40,20 @@ def test_late_lines_are_dropped(spark, tmp_path):
     assert (rows[10].mean_loss, rows[10].latest_step, rows[10].first_bucket, rows[10].last_bucket, rows[10].lines) == (3.0, 60, 0, 1, 2)
 
 
+def test_log_files_become_metrics(spark, tmp_path):
+    from textloom.streaming.metrics import read_log_stream
+
+    for run in ("r1", "r2"):
+        (tmp_path / "logs" / run).mkdir(parents=True)
+        lines = [f"2025-01-01 10:0{i}:00,000 - INFO - [Step {50 * i}] train_loss={i}.0000 " for i in range(1, 4)]
+        (tmp_path / "logs" / run / "train.log").write_text("\n".join([*lines, "2025-01-01 12:00:00,000 - INFO - [Step 400] train_loss=1.0"]))
+    q = windowed_loss(read_log_stream(spark, str(tmp_path / "logs" / "*"))).writeStream.format("parquet")
+    q = q.option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state"))
+    q.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r.run, r.mean_loss, r.latest_step) for r in rows) == [("r1", 2.0, 150), ("r2", 2.0, 150)]
+
+
 def test_bucket_means(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (1, 49, 3.0), (1, 50, None)], "run long, step long, train_loss double")
     assert {r.bucket: (r.mean_loss, r.lines) for r in loss_by_bucket(df).collect()} == {0: (2.0, 2), 1: (None, 0)}

@@ -359,6 +359,15 @@ ORACLES["prompts"] = (
     "f AS (SELECT id, any_value(p) AS p, max(i) AS i, max(o) AS o FROM c WHERE o <= 350 GROUP BY 1) "
     f"SELECT id, {strip('left(p, i) || CASE WHEN o < 350 AND i < length(p) THEN chr(65533) ELSE ' + chr(39) * 2 + ' END')} AS prompt FROM f"
 )
+TOKEN_BYTES = "[" + ",".join(str(len(t)) for t in TOKENIZER.tokens) + "]"
+# The first 350 tokens end after a known number of bytes.
+ORACLES["sampled_prompts"] = (
+    f"WITH {INSTRUCTIONS}, s AS (SELECT id, {CLIPPED} AS p FROM (SELECT *, row_number() OVER (ORDER BY {hashed('id')}, id) AS r FROM ins) WHERE r <= 2000), "
+    f"t AS (SELECT id, {prefixed('p')} AS p, list_sum(list_transform(({encoded('p')})[1:350], lambda x: {TOKEN_BYTES}[x + 1])) AS cut FROM s), "
+    "c AS (SELECT id, p, cut, i, octet_length(encode(left(p, i))) AS o FROM (SELECT *, unnest(range(0, length(p) + 1)) AS i FROM t)), "
+    "f AS (SELECT id, any_value(p) AS p, any_value(cut) AS cut, max(i) AS i, max(o) AS o FROM c WHERE o <= cut GROUP BY 1) "
+    f"SELECT id, {strip('left(p, i) || CASE WHEN o < cut THEN chr(65533) ELSE ' + chr(39) * 2 + ' END')} AS prompt FROM f"
+)
 ORACLES["generation_prompts"] = (
     "SELECT conv_id, turn, 'User: ' || text || chr(10) || 'Assistant:' AS chat_prompt, "
     "'Instruction: ' || text || chr(10) || 'Response:' AS instruction_prompt FROM conversations"

@@ -104,6 +104,11 @@ def train_test_split(df: DataFrame, test_size: float, key: str, seed: int = SEED
     return hashed.withColumn("split", F.when(is_test, "test").otherwise("train")).drop(_HASH)
 
 
+def by_split(df: DataFrame) -> dict[str, DataFrame]:
+    """The two parts of a split table by name, without the ``split`` column."""
+    return {name: df.filter(F.col("split") == name).drop("split") for name in ("train", "test")}
+
+
 def shuffle_rows(df: DataFrame, key: str, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """Rows in global seeded-hash order: one exchange, no sampling pass.
 

@@ -18,8 +18,10 @@ def best_and_worst(df: DataFrame, completions: str = "completions") -> DataFrame
             F.coalesce(c["overall_score"], F.lit(0.0)).alias("score"), (-i).alias("place"), c["response"].alias("response")
         ),
     )
-    return df.withColumn("chosen", F.array_max(scored)["response"]).withColumn(
-        "rejected", F.array_min(scored)["response"]
+    return df.withColumn("_scored", scored).select(
+        *[F.col(c) for c in df.columns],
+        F.array_max("_scored")["response"].alias("chosen"),
+        F.array_min("_scored")["response"].alias("rejected"),
     )
 
 

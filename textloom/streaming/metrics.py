@@ -2,14 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.operators.runs import main_process_only
+from textloom.operators.runs import main_process_only, parse_log
 
 LOGGING_STEPS = 50
 
 
+def read_log_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Metrics of all log files that appear under ``path``, the run being a file's folder.
+
+    A file is read once, so logs should be rotated into new files.
+    """
+    run = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+    lines = spark.readStream.text(path).select(run.alias("run"), "value")
+    return parse_log(lines).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def windowed_loss(
     metrics: DataFrame, window: str = "1 hour", late: str = "10 minutes", logging_steps: int = LOGGING_STEPS
 ) -> DataFrame:
