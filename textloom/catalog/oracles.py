@@ -388,12 +388,12 @@ ORACLES["stage_counts"] = (
 )
 ORACLES["pair_accuracy"] = (
     f"WITH {PAIRS}, s AS (SELECT length(chosen) AS g, length(rejected) AS b FROM pairs), "
-    "a AS (SELECT count(*) FILTER (WHERE g > b) AS correct, count(*) AS total, round(avg(g - b), 6) AS mean_margin FROM s) "
-    "SELECT correct, total, mean_margin, round(correct / total, 6) AS accuracy, "
+    "a AS (SELECT count(*) FILTER (WHERE g > b) AS correct, count(*) AS total, avg(g - b) AS mean_margin FROM s) "
+    "SELECT correct, total, mean_margin, correct / total AS accuracy, "
     "CASE WHEN correct / total >= 0.8 THEN 'excellent' WHEN correct / total >= 0.6 THEN 'good' ELSE 'needs work' END AS verdict FROM a"
 )
 ORACLES["generation_time"] = (
-    f"WITH {PAIRS} SELECT model, count(*) AS n, round(sum(length(output)) / 100, 4) AS total_seconds, round(avg(length(output)) / 100, 4) AS avg_seconds FROM gen GROUP BY 1"
+    f"WITH {PAIRS} SELECT model, count(*) AS n, round(sum(length(output)) / 100, 4) AS total_seconds, round(avg(length(output)) / 100, 8) AS avg_seconds FROM gen GROUP BY 1"
 )
 ORACLES["group_advantage"] = (
     "SELECT conv_id AS prompt_id, turn AS sample_id, r AS reward, round((r - avg(r) OVER w) / (coalesce(stddev_samp(r) OVER w, 0) + 0.0001), 5) AS advantage "
@@ -410,7 +410,7 @@ ORACLES["generated_ids"] = (
 ORACLES["prompt_suite_report"] = (
     f"WITH {PAIRS}, g AS (SELECT prompt_id, count(*) AS n, sum(length(output)) AS s FROM gen GROUP BY 1) "
     "SELECT item_id % 7 AS \"group\", count(*) AS prompts, coalesce(sum(n), 0)::BIGINT AS answers, round(sum(s) / 100, 4) AS total_seconds, "
-    "round(sum(s) / 100 / sum(n), 4) AS avg_seconds FROM benchmark LEFT JOIN g ON prompt_id = item_id GROUP BY 1"
+    "round(sum(s) / 100 / sum(n), 8) AS avg_seconds FROM benchmark LEFT JOIN g ON prompt_id = item_id GROUP BY 1"
 )
 
 # Runs
@@ -435,7 +435,7 @@ ORACLES["run_progress"] = (
 )
 ORACLES["main_process_log"] = f"WITH {LOG} SELECT run, step, train_loss FROM log WHERE rank = 0"
 ORACLES["loss_per_bucket"] = (
-    f"WITH {LOG} SELECT run, step // 50 AS bucket, round(avg(train_loss), 5) AS mean_loss, count(train_loss) AS lines FROM log GROUP BY 1, 2"
+    f"WITH {LOG} SELECT run, step // 50 AS bucket, round(avg(train_loss), 8) AS mean_loss, count(train_loss) AS lines FROM log GROUP BY 1, 2"
 )
 CHECKPOINTS = "SELECT user_id % 10 AS run, event_id + 1 AS step, 'out/run-' || user_id % 10 || '/checkpoint-' || (event_id + 1) AS path, value AS loss FROM events"
 ORACLES["latest_checkpoint"] = f"SELECT run, arg_max(path, step) AS latest_path FROM ({CHECKPOINTS}) GROUP BY 1"
@@ -445,7 +445,7 @@ ORACLES["newest_checkpoints"] = (
 )
 # A stream only closes the windows that end before the watermark.
 ORACLES["streamed_loss"] = (
-    f"WITH {LOG} SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, run, round(avg(train_loss), 5) AS mean_loss, max(step) AS latest_step, "
+    f"WITH {LOG} SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, run, round(avg(train_loss), 8) AS mean_loss, max(step) AS latest_step, "
     "min(step // 50) AS first_bucket, max(step // 50) AS last_bucket, count(*) AS lines FROM log WHERE rank = 0 AND train_loss IS NOT NULL GROUP BY 1, 2 "
     "HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM log WHERE rank = 0 AND train_loss IS NOT NULL)"
 )
@@ -453,5 +453,5 @@ ORACLES["streamed_loss"] = (
 ORACLES["blocks_per_language"] = (
     f"WITH t AS (SELECT lang, {strip('text')} AS text FROM documents), n AS (SELECT lang, {N_BYTES} AS n FROM t) "
     "SELECT lang, sum(ceil(n / 1024.0))::BIGINT AS n_blocks, sum(n)::BIGINT AS n_tokens, "
-    "round(1 - sum(n) / (sum(ceil(n / 1024.0)) * 1024), 6) AS pad_share FROM n GROUP BY 1"
+    "1 - sum(n) / (sum(ceil(n / 1024.0)) * 1024) AS pad_share FROM n GROUP BY 1"
 )

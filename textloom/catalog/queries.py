@@ -515,15 +515,13 @@ def _scored_pairs(spark, sf):
 
 @register
 def pair_accuracy(spark, sf):
-    return ev.pair_accuracy(_scored_pairs(spark, sf)).withColumn("mean_margin", F.round("mean_margin", 6)).withColumn(
-        "accuracy", F.round("accuracy", 6)
-    )
+    return ev.pair_accuracy(_scored_pairs(spark, sf))
 
 
 @register
 def generation_time(spark, sf):
     out = ev.generation_time(fx.generations(spark, sf), by="model")
-    return out.select("model", "n", F.round("total_seconds", 4).alias("total_seconds"), F.round("avg_seconds", 4).alias("avg_seconds"))
+    return out.select("model", "n", F.round("total_seconds", 4).alias("total_seconds"), F.round("avg_seconds", 8).alias("avg_seconds"))
 
 
 @register
@@ -564,7 +562,7 @@ def generated_ids(spark, sf):
 def prompt_suite_report(spark, sf):
     suite = fx.read(spark, sf, "benchmark").select(F.col("item_id").alias("prompt_id"), (F.col("item_id") % 7).alias("group"))
     out = ev.suite_report(fx.generations(spark, sf), suite)
-    return out.select("group", "prompts", "answers", F.round("total_seconds", 4).alias("total_seconds"), F.round("avg_seconds", 4).alias("avg_seconds"))
+    return out.select("group", "prompts", "answers", F.round("total_seconds", 4).alias("total_seconds"), F.round("avg_seconds", 8).alias("avg_seconds"))
 
 
 @register
@@ -586,7 +584,7 @@ def main_process_log(spark, sf):
 @register
 def loss_per_bucket(spark, sf):
     out = loss_by_bucket(runs.parse_log(fx.train_log(spark, sf)))
-    return out.withColumn("mean_loss", F.round("mean_loss", 5))
+    return out.withColumn("mean_loss", F.round("mean_loss", 8))
 
 
 @register
@@ -636,7 +634,7 @@ def streamed_loss(spark, sf):
     return spark.read.parquet(out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "run",
-        F.round("mean_loss", 5).alias("mean_loss"),
+        F.round("mean_loss", 8).alias("mean_loss"),
         "latest_step",
         "first_bucket",
         "last_bucket",
@@ -651,7 +649,7 @@ def blocks_per_language(spark: SparkSession, sf: str) -> DataFrame:
     return out.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_blocks"),
         F.sum(_n_tokens()).alias("n_tokens"),
-        F.round(1 - F.sum(_n_tokens()) / F.sum(F.size("input_ids")), 6).alias("pad_share"),
+        (1 - F.sum(_n_tokens()) / F.sum(F.size("input_ids"))).alias("pad_share"),
     )
 
 
