@@ -177,3 +177,16 @@ def test_materialize_builds_once_per_parameters(spark, tmp_path):
 def test_rendered_column_is_reusable(spark):
     df = spark.createDataFrame([([("user", "q")],)], f"c {TURNS}")
     assert df.select(conversation_text("c").alias("t")).first().t == "User: q"
+
+
+def test_one_conversation_with_a_third_of_all_turns(spark):
+    """The hot conversation is left out by its turn count; the others are unaffected."""
+    small = [(c, t, ("user", "assistant")[t % 2], f"word{c} " * 3) for c in range(1, 60) for t in range(10)]
+    hot = [(0, t, ("user", "assistant")[t % 2], "x") for t in range(300)]
+    turns = spark.createDataFrame(small + hot, "conv_id long, turn long, role string, text string")
+    meta = [(k, "model_a", 2 * k, 2 * k + 1, "English") for k in range(30)]
+    battles = spark.createDataFrame(meta, "id long, winner string, conv_a long, conv_b long, language string")
+    got = finetuning.chat_texts_of_turns(turns, battles, BYTE_TOKENIZER, max_length=512)
+    assert sorted(r.id for r in got.collect()) == list(range(1, 30))
+    wide = finetuning.chat_texts_of_turns(turns, battles, BYTE_TOKENIZER, max_length=20_000)
+    assert {r.id: r.text.count("\n") for r in wide.collect()}[0] == 299

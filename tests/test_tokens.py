@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from textloom.functions import blocks as B
 from textloom.functions.symbols import BYTE_TO_ID, id_to_symbol, printable, symbol_to_id

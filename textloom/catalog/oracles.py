@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from textloom.catalog.fixtures import MERGES, PLAIN_SOURCES, ROLES, TOKENIZER, WINNERS
+from textloom.catalog.fixtures import PLAIN_SOURCES, TOKENIZER, WINNERS
 from textloom.functions.symbols import BYTE_TO_ID, FIRST_BYTE_ID, SPECIALS, id_to_symbol, printable
 from textloom.functions.text import PY_WHITESPACE
 
@@ -10,7 +10,7 @@ LEARNED = 16
 EOS, PAD = SPECIALS["</s>"], SPECIALS["<pad>"]
 SEP = "chr(1)"
 # A character the texts do not hold; marks where a whitespace run must be cut.
-CUT = ""
+CUT = "\ue000"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 BYTE_IDS = "[" + ",".join(str(BYTE_TO_ID[b]) for b in range(256)) + "]"
 BYTE_SYMBOLS = "[" + ",".join(f"'{id_to_symbol(BYTE_TO_ID[b])}'" for b in range(256)) + "]"

@@ -13,7 +13,7 @@ from textloom.functions import blocks as B
 from textloom.functions import text as X
 from textloom.functions.hashing import seeded_hash
 from textloom.functions.pretokens import pretokens
-from textloom.functions.symbols import EOS_ID, FIRST_BYTE_ID, FIRST_MERGE_ID, byte_ids
+from textloom.functions.symbols import FIRST_MERGE_ID, byte_ids
 from textloom.operators import evaluation as ev
 from textloom.operators import filters, ordering, packing, runs
 from textloom.operators.chat import pick_winner, render_turns
