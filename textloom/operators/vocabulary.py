@@ -120,8 +120,11 @@ def learn_merges(
     these counts a round applies one batch of merges and sums, in one job, how
     the counts of the touched pairs change. Stops early when no pair is left.
     """
-    # An explicit partition count keeps the table spread out although it is small.
-    slots = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # An explicit partition count keeps the table spread out although it is small;
+    # the rounds are many and short, so one partition per task slot is enough.
+    spark = counts.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = min(most, spark.sparkContext.defaultParallelism)
     words = _cut(counts.select(byte_symbols("pretoken").alias("w"), "n").repartition(slots, "w"))
     tokens = list(BYTE_TOKENIZER.tokens)
     made = {t: i for i, t in enumerate(tokens) if i >= FIRST_BYTE_ID}
