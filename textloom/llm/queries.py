@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from textloom.llm import bpe, fertility
+from textloom.llm import bpe, fertility, secrets
+from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +51,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, byte_bpe()).drop("text")
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    ledger = secrets.scan_batch(docs, fresh_path(spark, "ledger"), None, key="doc_id")
+    return secrets.digest(secrets.findings(docs, ledger, key="doc_id"))
+
+
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return fertility.quality_rules(docs, vocabularies(), bands()).drop("text")
@@ -57,7 +64,46 @@ def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
+    "op2_secrets": op2_secrets,
     "op8_fertility": op8_fertility,
 }
 
-ORACLES: dict[str, str] = {}
+
+def _spans_sql() -> str:
+    """Matches of each rule from the pieces between and the matches themselves."""
+    rules = [
+        ("assign", secrets.ASSIGN, "length(regexp_extract_all(text, '{p}', 2)[i]) >= 12"),
+        ("access", "AKIA[A-Z0-9]+", "length(m[i]) >= 18"),
+        ("hex", "[0-9a-f]+", "length(m[i]) >= 16"),
+        *[(r.kind, r.pattern, "true") for r in secrets.RULES[3:]],
+    ]
+    parts = []
+    for k, (kind, pattern, good) in enumerate(rules):
+        p = pattern.replace("'", "''")
+        parts.append(f"""
+            SELECT doc_id, {k} AS o, '{kind}' AS kind,
+                   list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS s,
+                   length(m[i]) AS n
+            FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (
+                SELECT doc_id, text, regexp_extract_all(text, '{p}') AS m, regexp_split_to_array(text, '{p}') AS g
+                FROM d WHERE regexp_matches(text, '{p}')))
+            WHERE {good.format(p=p)}""")
+    return " UNION ALL ".join(parts)
+
+
+ORACLES: dict[str, str] = {
+    "op2_secrets": f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+        f AS ({_spans_sql()}),
+        a AS (SELECT doc_id,
+                string_agg(kind || ':' || s::bigint || ':' || (s + n)::bigint, ',' ORDER BY s, o) AS spans,
+                string_agg(kind || ':' || s::bigint || ':' || (s + n)::bigint, ',' ORDER BY s, o)
+                    FILTER (o < 3) AS base,
+                count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access,
+                count(*) FILTER (o = 2) AS n_hex
+              FROM f GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+               coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+               coalesce(spans, '') AS spans, sha256(d.text) AS blob
+        FROM d LEFT JOIN a USING (doc_id)""",
+}
