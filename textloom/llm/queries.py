@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textloom.llm import bpe, fertility, secrets
+from textloom.llm import bpe, fertility, secrets, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,10 +63,51 @@ def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fertility.quality_rules(docs, vocabularies(), bands()).drop("text")
 
 
+def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with a fetch day that follows from the page number."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return pages.withColumn("fetched", F.expr("date_add(DATE'2024-01-01', cast(page_id * 7 % 366 as int))"))
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated entries for a part of the domains, sections and locations that the pages have."""
+    seen = pages.select(url_lists.host_of("url").alias("host"), url_lists.location_of("url").alias("location"))
+    seen = seen.filter("host != ''")
+    number = F.conv(F.substring(F.md5("pattern"), 1, 6), 16, 10).cast("int")
+
+    def patterns(kind: str, pattern, keep: int) -> DataFrame:
+        rows = seen.select(F.lit(kind).alias("kind"), pattern.alias("pattern")).distinct()
+        return rows.withColumn("v", number).filter(F.col("v") % keep == 0)
+
+    named = (
+        patterns("domain", F.regexp_replace("host", r"^(www|m|blog)\.", ""), 3)
+        .unionByName(patterns("prefix", F.substring_index("location", "/", 2), 5))
+        .unionByName(patterns("url", F.col("location"), 11))
+    )
+    category = F.element_at(F.array(*map(F.lit, ("ads", "adult", "spam"))), F.expr("v div 7 % 3 + 1").cast("int"))
+
+    def event(action: str, days: str):
+        day = F.expr(f"date_add(DATE'2024-01-01', cast({days} as int))")
+        return F.struct(F.lit(action).alias("action"), day.alias("at"))
+
+    events = F.array(
+        event("add", "v % 200"), event("remove", "v % 200 + 30 + v % 50"),
+        F.when(F.col("v") % 2 == 0, event("add", "v % 200 + 120")),
+    )
+    rows = named.select("kind", "pattern", category.alias("category"), F.explode(events).alias("e"))
+    return rows.filter("e is not null").select("kind", "pattern", "category", "e.action", "e.at")
+
+
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = captures(spark, sf_dir)
+    return url_lists.judge(pages, url_lists.intervals(list_entries(pages))).drop("url")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
     "op8_fertility": op8_fertility,
+    "op10_url_lists": op10_url_lists,
 }
 
 
@@ -106,4 +148,25 @@ ORACLES: dict[str, str] = {
                coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
                coalesce(spans, '') AS spans, sha256(d.text) AS blob
         FROM d LEFT JOIN a USING (doc_id)""",
+    "op10_url_lists": r"""
+        WITH p AS (SELECT page_id, url, DATE '2024-01-01' + (page_id * 7 % 366)::int AS fetched,
+            regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host,
+            regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', '') AS path FROM pages),
+        n AS (SELECT DISTINCT 'domain' AS kind, regexp_replace(host, '^(www|m|blog)\.', '') AS pattern, 3 AS keep FROM p
+            UNION SELECT 'prefix', host || '/' || split_part(path, '/', 2), 5 FROM p WHERE path LIKE '/%'
+            UNION SELECT 'prefix', host, 5 FROM p WHERE path NOT LIKE '/%'
+            UNION SELECT 'url', host || path, 11 FROM p),
+        v AS (SELECT *, ('0x' || substr(md5(pattern), 1, 6))::int AS v FROM n),
+        i AS (SELECT kind, pattern, ['ads', 'adult', 'spam'][v // 7 % 3 + 1] AS category,
+                DATE '2024-01-01' + (v % 200)::int AS a, DATE '2024-01-01' + (v % 200 + 30 + v % 50)::int AS b,
+                CASE WHEN v % 2 = 0 THEN DATE '2024-01-01' + (v % 200 + 120)::int END AS c
+              FROM v WHERE v % keep = 0),
+        m AS (SELECT page_id, count(*) AS n_entries, string_agg(DISTINCT category, ',' ORDER BY category) AS categories
+              FROM p JOIN i ON (kind = 'domain' AND ('.' || host) LIKE ('%.' || pattern)
+                    OR kind = 'prefix' AND (host || path || '/') LIKE (pattern || '/%')
+                    OR kind = 'url' AND host || path = pattern)
+              WHERE (a <= fetched AND fetched < b) OR c <= fetched
+              GROUP BY page_id)
+        SELECT page_id, fetched, n_entries IS NOT NULL AS blocked, coalesce(n_entries, 0) AS n_entries,
+               coalesce(categories, '') AS categories FROM p LEFT JOIN m USING (page_id)""",
 }
