@@ -40,11 +40,16 @@ class Ranks:
     lines: bytes
     pattern: str
 
-    def load(self):
+    def ranks(self) -> dict[bytes, int]:
+        return {base64.b64decode(t): int(r) for t, r in map(bytes.split, self.lines.splitlines())}
+
+    def model(self):
         import tiktoken
 
-        ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, self.lines.splitlines())}
-        model = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=self.ranks(), special_tokens={})
+
+    def load(self):
+        model, ranks = self.model(), self.ranks()
         fallback = np.zeros(max(ranks.values()) + 1, bool)
         for token, rank in ranks.items():
             try:

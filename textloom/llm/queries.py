@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, fertility, secrets, url_lists
+from textloom.llm import bpe, fertility, rollups, secrets, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,33 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.findings(docs, ledger, key="doc_id"))
 
 
+def byte_ranks() -> fertility.Ranks:
+    return fertility.rank_file(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = training_order.write_in_training_order(
+        documents(spark, sf_dir), fresh_path(spark, "shards"), byte_ranks(), eos=50256
+    )
+    return out.withColumnRenamed("keys", "doc_ids")
+
+
+def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents come in; one source is withdrawn and one language normalised; one batch comes twice."""
+    docs = documents(spark, sf_dir).select(F.col("doc_id").alias("key"), "text", "source", "lang")
+    store, name = fresh_path(spark, "rollups"), "byte_bpe_50k"
+    whole = rollups.count_tokens(docs, byte_ranks(), name).drop("text").withColumn("deleted", F.lit(False))
+    rollups.apply_batch(store, 1, [], whole)
+    withdrawn = docs.filter("source = 'src3'").drop("text")
+    withdrawn = withdrawn.withColumns({"n_tokens": F.lit(0), "tokenizer": F.lit(name), "deleted": F.lit(True)})
+    rollups.apply_batch(store, 2, [1], withdrawn)
+    squeezed = docs.filter("lang = 'fr'").withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
+    revised = rollups.count_tokens(squeezed, byte_ranks(), name).drop("text").withColumn("deleted", F.lit(False))
+    rollups.apply_batch(store, 3, [1, 2], revised)
+    rollups.apply_batch(store, 2, [1], withdrawn)
+    return rollups.totals(spark, store, [1, 2, 3])
+
+
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     return fertility.quality_rules(docs, vocabularies(), bands()).drop("text")
@@ -106,6 +133,8 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
+    "op3_training_order": op3_training_order,
+    "op7_rollups": op7_rollups,
     "op8_fertility": op8_fertility,
     "op10_url_lists": op10_url_lists,
 }
