@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, fertility, rollups, secrets, training_order, url_lists
+from textloom.llm import bpe, fertility, ngram_join, rollups, secrets, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,10 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("keys", "doc_ids")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_components(documents(spark, sf_dir))
+
+
 def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; one source is withdrawn and one language normalised; one batch comes twice."""
     docs = documents(spark, sf_dir).select(F.col("doc_id").alias("key"), "text", "source", "lang")
@@ -134,6 +138,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
     "op3_training_order": op3_training_order,
+    "op5_ngram_join": op5_ngram_join,
     "op7_rollups": op7_rollups,
     "op8_fertility": op8_fertility,
     "op10_url_lists": op10_url_lists,
@@ -177,6 +182,20 @@ ORACLES: dict[str, str] = {
                coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
                coalesce(spans, '') AS spans, sha256(d.text) AS blob
         FROM d LEFT JOIN a USING (doc_id)""",
+    "op5_ngram_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+              FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM d)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+              GROUP BY ALL),
+        e AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+              WHERE 100 * c >= 80 * (a.n + b.n - c)),
+        r AS (SELECT doc_id AS v, doc_id AS c FROM d UNION SELECT e.y, r.c FROM r JOIN e ON r.v = e.x),
+        m AS (SELECT v AS doc_id, min(c) AS component_id FROM r GROUP BY v)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id
+        FROM d LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)""",
     "op10_url_lists": r"""
         WITH p AS (SELECT page_id, url, DATE '2024-01-01' + (page_id * 7 % 366)::int AS fetched,
             regexp_extract(lower(url), '^[a-z]+://([^/?#]*)', 1) AS host,
