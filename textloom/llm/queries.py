@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, fertility, ngram_join, rollups, secrets, training_order, url_lists
+from textloom.llm import bpe, decontaminate, fertility, ngram_join, rollups, secrets, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,10 @@ def op3_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("keys", "doc_ids")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(documents(spark, sf_dir))
 
@@ -138,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
     "op3_training_order": op3_training_order,
+    "op4_decontaminate": op4_decontaminate,
     "op5_ngram_join": op5_ngram_join,
     "op7_rollups": op7_rollups,
     "op8_fertility": op8_fertility,
