@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, fertility, ngram_join, rollups, secrets, training_order, url_lists
+from textloom.llm import bpe, decontaminate, fertility, ngram_join, rollups, secrets, sparse_suffix, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_components(documents(spark, sf_dir))
 
 
+def op6_sparse_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sparse_suffix.repeated_passages(documents(spark, sf_dir))
+
+
 def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents come in; one source is withdrawn and one language normalised; one batch comes twice."""
     docs = documents(spark, sf_dir).select(F.col("doc_id").alias("key"), "text", "source", "lang")
@@ -144,6 +148,7 @@ QUERIES: dict[str, Query] = {
     "op3_training_order": op3_training_order,
     "op4_decontaminate": op4_decontaminate,
     "op5_ngram_join": op5_ngram_join,
+    "op6_sparse_suffix": op6_sparse_suffix,
     "op7_rollups": op7_rollups,
     "op8_fertility": op8_fertility,
     "op10_url_lists": op10_url_lists,
