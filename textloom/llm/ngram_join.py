@@ -141,7 +141,7 @@ def _least_shared(na, nb, percent: int):
     return (percent * (na + nb) + 99 + percent) // (100 + percent)
 
 
-def _bounded(pairs: DataFrame, features: DataFrame, percent: int, orders: int) -> DataFrame:
+def bounded(pairs: DataFrame, features: DataFrame, percent: int, orders: int) -> DataFrame:
     """Pairs ``a < b`` that pass the sizes, the bitmaps and every further order."""
     small = features.select("key", "n", "sig")
     x = small.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
@@ -163,7 +163,7 @@ def _bounded(pairs: DataFrame, features: DataFrame, percent: int, orders: int) -
     return both
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs whose whole sets are similar enough.
 
     Only documents of the pairs send their sets. A bitmap of hashed keys, whose size is
@@ -201,12 +201,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Dat
     return pairs.join(x, "a").join(y, "b").filter(shared_size * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     pairs = pairs.filter(F.col(x) != F.col(y))
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """Pairs of one bucket in different components that the bitmaps allow, block against block.
 
     ``rows`` has the bucket ``t`` and the number of its documents ``size``; a bucket is
@@ -303,7 +303,7 @@ def similar_components(
     # Equal sets: one representative goes on.
     classes = keyed.groupBy("d1", "d2").agg(F.min("key").alias("rep"))
     copies = keyed.select("key", "d1", "d2").join(classes, ["d1", "d2"])
-    links = _ordered(copies, "key", "rep")
+    links = ordered(copies, "key", "rep")
     reps = keyed.join(
         classes.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("rep").alias("key")), "key"
     ).filter("d1 = e1 and d2 = e2")
@@ -318,8 +318,8 @@ def similar_components(
     # Where a bucket is dealt over several tasks, its pivots are compared with one of them.
     tops = shared.filter("s > 0").select("t", "pivot").distinct()
     top = tops.groupBy("t").agg(F.min("pivot").alias("top"))
-    stars = _ordered(shared, "key", "pivot").unionByName(_ordered(tops.join(top, "t"), "pivot", "top")).distinct()
-    near = write_through(_verified(_bounded(stars, features, percent, orders), docs, size, percent), "links")
+    stars = ordered(shared, "key", "pivot").unionByName(ordered(tops.join(top, "t"), "pivot", "top")).distinct()
+    near = write_through(verified(bounded(stars, features, percent, orders), docs, size, percent), "links")
     links = write_through(links.unionByName(near), "links")
 
     # What is still apart although it shares a token: buckets of three and more with several components.
@@ -335,8 +335,8 @@ def similar_components(
         .select("t", "size")
     )
     rows = apart.join(mixed_up, "t").join(features.select("key", "n", "sig"), "key")
-    rest = _bounded(_block_pairs(rows, percent), features, percent, orders)
-    far = write_through(_verified(rest, docs, size, percent), "links")
+    rest = bounded(block_pairs(rows, percent), features, percent, orders)
+    far = write_through(verified(rest, docs, size, percent), "links")
     found = connected_components(links.unionByName(far))
     out = features.select("key", F.col("n").alias("n_shingles")).join(found, F.col("key") == F.col("node"), "left")
     return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))

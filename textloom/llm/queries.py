@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, fertility, ngram_join, rollups, secrets, sparse_suffix, training_order, url_lists
+from textloom.llm import bpe, decontaminate, fertility, ngram_join, paragraphs, rollups, secrets, sparse_suffix, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -137,6 +137,10 @@ def list_entries(pages: DataFrame) -> DataFrame:
     return rows.filter("e is not null").select("kind", "pattern", "category", "e.action", "e.at")
 
 
+def op9_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.near_paragraphs(documents(spark, sf_dir))
+
+
 def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = captures(spark, sf_dir)
     return url_lists.judge(pages, url_lists.intervals(list_entries(pages))).drop("url")
@@ -151,6 +155,7 @@ QUERIES: dict[str, Query] = {
     "op6_sparse_suffix": op6_sparse_suffix,
     "op7_rollups": op7_rollups,
     "op8_fertility": op8_fertility,
+    "op9_paragraphs": op9_paragraphs,
     "op10_url_lists": op10_url_lists,
 }
 
