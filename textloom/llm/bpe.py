@@ -467,10 +467,12 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "
     return with_python_rows(df.drop(out), make, [T.StructField(out, T.StringType())])
 
 
-def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
-    """Add ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and ``round_trip`` without keeping ids or texts.
+def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str | None = None) -> DataFrame:
+    """Add ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and ``round_trip``.
 
-    Ids flow from the encoder to the decoder in bounded runs. Null counts as empty.
+    Ids flow from the encoder to the decoder in bounded runs and are kept only where
+    ``ids`` names a column for them. Null counts as empty; rows, their order and other
+    columns stay, existing columns of the new names are replaced.
     """
     shared = _broadcast(df, vocabulary)
 
@@ -479,19 +481,23 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Dat
 
         def work(batch):
             rows: dict[str, list] = {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "round_trip")}
+            kept: list[list[int]] = []
             for t in batch.column(text).to_pylist():
-                n, ids, back = 0, hashlib.sha256(), hashlib.sha256()
+                n, digest, back, own = 0, hashlib.sha256(), hashlib.sha256(), []
                 for raw in encoder.chunks(t or ""):
                     n += len(raw) // 4
-                    ids.update(raw)
+                    digest.update(raw)
+                    if ids:
+                        own += memoryview(raw).cast("I")
                     back.update(decoder.feed(raw).encode())
                 back.update(decoder.finish().encode())
                 rows["n_tokens"].append(n)
-                rows["ids_sha256"].append(ids.hexdigest())
+                kept.append(own)
+                rows["ids_sha256"].append(digest.hexdigest())
                 rows["decoded_sha256"].append(back.hexdigest())
                 whole = hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).digest()
                 rows["round_trip"].append(back.digest() == whole)
-            return rows
+            return rows | ({ids: kept} if ids else {})
 
         return work
 
@@ -500,5 +506,6 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> Dat
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
         T.StructField("round_trip", T.BooleanType()),
+        *([T.StructField(ids, T.ArrayType(T.IntegerType()))] if ids else []),
     ]
     return with_python_rows(df.drop(*({f.name for f in fields} - {text})), make, fields)

@@ -172,43 +172,25 @@ def contaminated(
     are not read. With no item or no document the result is empty. Items are collected
     ``ITEMS`` or ``ITEM_WORDS`` words at a time; a larger benchmark is asked in turns.
     """
-    spark = df.sparkSession
-    items = benchmark.select(F.col(item).cast("bigint").alias("item"), F.col(item_text).alias("text"))
-    total = items.agg(F.count("text").alias("n"), F.sum(F.length("text")).alias("chars")).first()
-    turns = max(1, -(-total.n // ITEMS), -(-(total.chars or 0) // (6 * ITEM_WORDS)))
     found = None
     split = df.select(F.col(key).alias("k"), F.col(text).alias("t"))
-    words = _benchmark_words(items)
-    length = words.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("words")).first()
-    mean = (length.words or 0) / max(length.n, 1)
-    for turn in range(turns):
-        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(turns)) == turn)
-        rows = [(r.item, r.text) for r in part.collect() if fold(r.text)]
-        mine = {w for _, t in rows for w in set(fold(t))}
-        counts = words.select(F.explode("words").alias("w")).groupBy("w").count()
-        if turns > 1:
-            wanted = spark.createDataFrame([(bytearray(w),) for w in mine], "w binary")
-            counts = counts.join(wanted, "w", "left_semi")
-        frequency = {bytes(r.w): r["count"] for r in counts.collect()}
-        shared = spark.sparkContext.broadcast(Index.build(rows, frequency, length.n, mean))
+    for shared in _indexes(benchmark, item, item_text):
 
         def run(batches, shared=shared):
-            for whole in batches:
-                for at in range(0, whole.num_rows, 500):
-                    batch = whole.slice(at, 500)
-                    index = shared.value
-                    keys = batch.column("k")
-                    got = list(passages_found(index, batch.column("t").to_pylist())) if index.ids else []
-                    columns = list(zip(*got, strict=True)) or [[]] * 6
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            keys.take(pa.array(columns[0], pa.int64())),
-                            pa.array([index.ids[i] for i in columns[1]], pa.int64()),
-                            *[pa.array(c, pa.float64()) for c in columns[2:5]],
-                            pa.array(columns[5], pa.int64()),
-                        ],
-                        names=["k", "item_id", "score", "question_overlap", "answer_overlap", "start"],
-                    )
+            index = shared.value
+            for batch in _slices(batches):
+                keys = batch.column("k")
+                got = list(passages_found(index, batch.column("t").to_pylist())) if index.ids else []
+                columns = list(zip(*got, strict=True)) or [[]] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        keys.take(pa.array(columns[0], pa.int64())),
+                        pa.array([index.ids[i] for i in columns[1]], pa.int64()),
+                        *[pa.array(c, pa.float64()) for c in columns[2:5]],
+                        pa.array(columns[5], pa.int64()),
+                    ],
+                    names=["k", "item_id", "score", "question_overlap", "answer_overlap", "start"],
+                )
 
         kind = split.schema["k"].dataType.simpleString()
         one = split.mapInArrow(
@@ -218,6 +200,53 @@ def contaminated(
     return found.withColumnRenamed("k", key)
 
 
+def decontaminated(
+    df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The rows of ``df`` that hold no item, with all their columns; found as by ``contaminated``.
+
+    A row is judged by its own text, so repeated rows and null keys need no care.
+    """
+    for shared in _indexes(benchmark, item, item_text):
+
+        def run(batches, shared=shared):
+            index = shared.value
+            for batch in _slices(batches):
+                clean = np.ones(batch.num_rows, bool)
+                if index.ids:
+                    clean[[f[0] for f in passages_found(index, batch.column(text).to_pylist())]] = False
+                yield batch.filter(pa.array(clean))
+
+        df = df.mapInArrow(run, df.schema)
+    return df
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _indexes(benchmark: DataFrame, item: str, item_text: str) -> Iterator:
+    """Broadcast indexes of at most ``ITEMS`` items and about ``ITEM_WORDS`` words; weights are of the whole benchmark."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col(item).cast("bigint").alias("item"), F.col(item_text).alias("text")).filter("text is not null")
+    total = items.agg(F.count("text").alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    turns = max(1, -(-total.n // ITEMS), -(-(total.chars or 0) // (6 * ITEM_WORDS)))
+    words = _benchmark_words(items)
+    length = words.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("words")).first()
+    mean = (length.words or 0) / max(length.n, 1)
+    for turn in range(turns):
+        part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(turns)) == turn)
+        rows = [(r.item, r.text) for r in part.collect() if fold(r.text)]
+        counts = words.select(F.explode("words").alias("w")).groupBy("w").count()
+        if turns > 1:
+            mine = {w for _, t in rows for w in set(fold(t))}
+            counts = counts.join(spark.createDataFrame([(bytearray(w),) for w in mine], "w binary"), "w", "left_semi")
+        frequency = {bytes(r.w): r["count"] for r in counts.collect()}
+        yield spark.sparkContext.broadcast(Index.build(rows, frequency, length.n, mean))
+
+
 def _benchmark_words(items: DataFrame) -> DataFrame:
     """Distinct words and length of every item with a word, by the same folding as the texts."""
 

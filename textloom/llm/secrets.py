@@ -155,18 +155,11 @@ def _joined(spans: Column, kinds: tuple[str, ...]) -> Column:
     )
 
 
-def findings(
-    history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "path", text: str = "text"
-) -> DataFrame:
-    """Each row of ``history`` (without its text) with its blob and all spans of the current rule versions.
-
-    Adds ``blob``, ``found`` (array of start, order, kind, end: by start, then rule order).
-    Null texts are empty and have no spans; repeated rows stay; a path may have any number
-    of versions. Columns of ``history`` called ``blob`` or ``found`` are replaced.
-    """
+def by_blob(ledger: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """``blob`` and ``found``: all spans of the current rule versions by start, then rule order."""
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
     current = F.concat_ws("@", "kind", F.col("version").cast("string")).isin(*[f"{r.kind}@{r.version}" for r in rules])
-    of_blob = (
+    return (
         ledger.filter(current & (F.size("spans") > 0))
         .dropDuplicates(["blob", "kind"])
         .select(F.col("blob"), F.element_at(order, F.col("kind")).alias("order"), "kind", "spans")
@@ -180,6 +173,18 @@ def findings(
         .groupBy("blob")
         .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("found"))
     )
+
+
+def findings(
+    history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "path", text: str = "text"
+) -> DataFrame:
+    """Each row of ``history`` (without its text) with its blob and all spans of the current rule versions.
+
+    Adds ``blob``, ``found`` (array of start, order, kind, end: by start, then rule order).
+    Null texts are empty and have no spans; repeated rows stay; a path may have any number
+    of versions. Columns of ``history`` called ``blob`` or ``found`` are replaced.
+    """
+    of_blob = by_blob(ledger, rules)
     rows = history.drop("found").withColumn("_blob", blob_of(text)).drop("blob", text)
     rows = rows.withColumnRenamed("_blob", "blob")
     return rows.join(of_blob, "blob", "left").withColumn(
@@ -198,3 +203,29 @@ def digest(found: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             "spans": _joined(F.col("found"), tuple(r.kind for r in rules)),
         }
     ).drop("found")
+
+
+def redact(
+    df: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", mask: str = "[SECRET]"
+) -> DataFrame:
+    """``df`` with every span of the ledger replaced by ``mask``; spans that meet become one.
+
+    Texts without a finding, null ones too, stay as they are; columns and rows stay.
+    """
+    found = by_blob(ledger, rules).select(F.col("blob").alias("_blob"), F.col("found").alias("_found"))
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out"))
+
+    def step(acc: Column, s: Column) -> Column:
+        before = F.substring(F.col(text), (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
+        fresh = F.concat(acc["out"], F.array(before, F.lit(mask)))
+        return F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out")
+        )
+
+    def finish(acc: Column) -> Column:
+        rest = F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.length(F.col(text)))
+        return F.concat(F.array_join(acc["out"], ""), rest)
+
+    joined = df.withColumn("_key", blob_of(text)).join(found, F.col("_key") == F.col("_blob"), "left")
+    masked = F.when(F.col("_found").isNotNull(), F.aggregate("_found", start, step, finish)).otherwise(F.col(text))
+    return joined.withColumn(text, masked).select(*[F.col(f"`{c}`") for c in df.columns])
