@@ -31,7 +31,7 @@ SPACES = frozenset(c for c in map(chr, range(0x10000)) if regex.match(r"\s", c))
 
 # Bounds of the caches (entries), of what enters them (characters) and of the runs of text and bytes
 # handled at a time; none of them changes a result.
-CACHED_SEGMENTS = 300_000
+CACHED_SEGMENTS = 400_000
 LONG = 128
 CHUNK = 1 << 14
 PIECE = 1 << 10
