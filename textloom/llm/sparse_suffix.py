@@ -177,24 +177,25 @@ def _compare(ordered: DataFrame) -> DataFrame:
             best[ok], left[ok], right[ok], partner[ok] = r + lft, lft, r, key[near[ok]]
         good = best >= SIDE
         opened = (first == 0) | (last == n - 1)
-        # A suffix without a match may have one further away: all runs of its group are counted.
+        # A document further away may share other words than the neighbours do: the runs of such groups are counted.
         more = np.zeros(len(turn) + 1, bool)
-        more[group[~good & ~opened]] = True
+        more[group[(best < 2 * SIDE) & ~opened]] = True
         more &= np.bincount(group, minlength=len(more)) > 2
         rows = np.flatnonzero(more[group])
         if len(rows):
             row, a, w = _windows(head[rows], ahead[rows], behind[rows])
             order = np.lexsort((key[rows][row], w))
-            row, a, w = row[order], a[order], w[order]
-            k = key[rows][row]
+            row, a, w = rows[row[order]], a[order], w[order]
             edge = np.concatenate([[0], np.flatnonzero(np.diff(w)) + 1, [len(w)]])
             of = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-            low, high = k[edge[:-1]][of], k[edge[1:] - 1][of]
-            for i in np.flatnonzero(low != high):
-                r = rows[row[i]]
-                if not good[r]:
-                    good[r], left[r], right[r] = True, a[i], SIDE - a[i]
-                    partner[r] = high[i] if k[i] == low[i] else low[i]
+            low, high = key[row[edge[:-1]]][of], key[row[edge[1:] - 1]][of]
+            hit = low != high
+            row, a, low, high = row[hit], a[hit], low[hit], high[hit]
+            np.maximum.at(left, row, a)
+            np.maximum.at(right, row, SIDE - a)
+            alone = ~good[row]
+            partner[row[alone]] = np.where(key[row] == low, high, low)[alone]
+            good[row] = True
         done = np.flatnonzero(good & ~opened)
         result = [key[done], at[done], left[done], right[done], partner[done], np.zeros(len(done), np.int64), np.zeros(len(done), bool)]
         rows = np.flatnonzero(opened)
