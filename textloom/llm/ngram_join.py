@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from textloom.llm.components import connected_components
-from textloom.llm.words import SHINGLE, WordHashes, mixed, shingle_set
+from textloom.llm.words import SHINGLE, mixed, shingle_sets
 from textloom.workspace import write_through
 
 PERCENT = 80
@@ -36,14 +36,11 @@ BLOCK = 1024
 FILTER_BITS = 27
 
 
-def _words(text: str | None) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
-
-
-def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    hashes = WordHashes()
+def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows, their sets one after another, and the bounds of the sets."""
     for batch in batches:
-        yield batch, [shingle_set(hashes.of(_words(t)), size) for t in batch.column("text").to_pylist()]
+        for rows, tokens, bounds in shingle_sets(batch.column("text"), size):
+            yield batch.slice(rows.start, rows.stop - rows.start), tokens, bounds
 
 
 def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -61,11 +58,9 @@ def token_frequencies(docs: DataFrame, size: int) -> np.ndarray:
 
     def run(batches):
         counts, total = np.zeros(1 << COUNT_BITS, np.int64), 0
-        for _, sets in _sets(batches, size):
-            if sets:
-                tokens = np.concatenate(sets) & np.uint64((1 << COUNT_BITS) - 1)
-                counts += np.bincount(tokens.astype(np.int64), minlength=len(counts))
-                total += len(tokens)
+        for _, tokens, _ in _sets(batches, size):
+            np.add.at(counts, (tokens & np.uint64((1 << COUNT_BITS) - 1)).astype(np.int64), 1)
+            total += len(tokens)
         mean = total / len(counts)
         at = np.flatnonzero(counts > mean + 4 * mean**0.5 + 1)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
@@ -82,54 +77,65 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
-def _features(docs: DataFrame, table: np.ndarray, size: int, percent: int, orders: int) -> DataFrame:
-    """Size, 128-bit digest, bitmap and first tokens of each set under each order."""
+def _features(docs: DataFrame, size: int) -> DataFrame:
+    """Size, 128-bit digest and bitmap of each set."""
+    schema = "key long, n long, d1 long, d2 long, sig array<long>"
+
+    def run(batches):
+        for batch, tokens, bounds in _sets(batches, size):
+            count = batch.num_rows
+            digests = np.empty((count, 2), np.int64)
+            bits = np.zeros((count, SIGNATURE), np.uint8)
+            spot = ((tokens >> np.uint64(COUNT_BITS)) % np.uint64(SIGNATURE)).astype(np.int64)
+            bits[np.repeat(np.arange(count), np.diff(bounds)), spot] = 1
+            sig = np.packbits(bits, axis=1).view(np.int64)
+            for i in range(count):
+                digests[i] = np.frombuffer(xxhash.xxh3_128_digest(tokens[bounds[i] : bounds[i + 1]]), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(np.diff(bounds)), pa.array(digests[:, 0]), pa.array(digests[:, 1]), _lists(list(sig), pa.int64())],
+                names=["key", "n", "d1", "d2", "sig"],
+            )
+
+    return docs.select("key", "text").mapInArrow(run, schema)
+
+
+def _often(tokens: np.ndarray, table: np.ndarray) -> np.ndarray:
+    return table[(tokens & np.uint64(len(table) - 1)).astype(np.int64)]
+
+
+def _prefix(tokens: np.ndarray, often: np.ndarray, order: int, percent: int) -> np.ndarray:
+    """Positions of the first tokens of a set: rare ones first, then by the hash of this order."""
+    if not len(tokens):
+        return np.empty(0, np.int64)
+    k = prefix_length(len(tokens), percent)
+    plain = not often.any()
+    if order == 1:  # sets are sorted by it
+        return np.arange(k) if plain else np.lexsort((tokens, often))[:k]
+    other = mixed(tokens * np.uint64(2 * order + 1) + np.uint64(0x5851F42D4C957F2D))
+    return np.argpartition(other, k - 1)[:k] if plain else np.lexsort((other, often))[:k]
+
+
+def _first_tokens(docs: DataFrame, table: np.ndarray, size: int, percent: int) -> DataFrame:
+    """The first tokens ``t`` of each set under the first order; ``s`` deals frequent ones over several tasks."""
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    token = T.StructType([T.StructField("t", T.LongType()), T.StructField("s", T.IntegerType())])
-    others = [f"p{i}" for i in range(2, orders + 1)]
-    schema = T.StructType(
-        [T.StructField(c, T.LongType()) for c in ("key", "n", "d1", "d2")]
-        + [T.StructField("sig", T.ArrayType(T.LongType())), T.StructField("p1", T.ArrayType(token))]
-        + [T.StructField(p, T.ArrayType(T.IntegerType())) for p in others]
-    )
 
     def run(batches):
-        from pyspark.sql.pandas.types import to_arrow_schema
-
-        target, table = to_arrow_schema(schema), shared.value
-        for batch, sets in _sets(batches, size):
-            digests, sigs, firsts, salts = [], [], [], []
-            rest: list[list[np.ndarray]] = [[] for _ in others]
-            for key, s in zip(batch.column("key").to_pylist(), sets, strict=True):
-                raw = xxhash.xxh3_128_digest(s.tobytes())
-                digests.append(np.frombuffer(raw, np.int64))
-                k = prefix_length(len(s), percent) if len(s) else 0
-                often = table[(s & np.uint64(len(table) - 1)).astype(np.int64)]
-                plain = not often.any()
-                at = np.arange(k) if plain else np.lexsort((s, often))[:k]
+        table = shared.value
+        for batch, tokens, bounds in _sets(batches, size):
+            often = _often(tokens, table)
+            firsts, salts = [], []
+            for i, key in enumerate(batch.column("key").to_pylist()):
+                s, o = tokens[bounds[i] : bounds[i + 1]], often[bounds[i] : bounds[i + 1]]
+                at = _prefix(s, o, 1, percent)
                 firsts.append(s[at].view(np.int64))
-                width = np.left_shift(1, np.maximum(often[at].astype(np.int64) - SALTED, 0))
+                width = np.left_shift(1, np.maximum(o[at].astype(np.int64) - SALTED, 0))
                 own = xxhash.xxh3_64_intdigest(str(key)) & 0x7FFFFFFF
                 salts.append(np.where(width > 1, 1 + own % width, 0).astype(np.int32))
-                for i, out in enumerate(rest):
-                    other = mixed(s * np.uint64(2 * i + 3) + np.uint64(0x5851F42D4C957F2D))
-                    if k:
-                        at = np.argpartition(other, k - 1)[:k] if plain else np.lexsort((other, often))[:k]
-                    out.append((other[at[:k]] >> np.uint64(32)).astype(np.uint32).view(np.int32))
-                bits = np.zeros(SIGNATURE, np.uint8)
-                bits[(s >> np.uint64(COUNT_BITS)) % np.uint64(SIGNATURE)] = 1
-                sigs.append(np.packbits(bits).view(np.int64))
-            d = np.array(digests, np.int64).reshape(-1, 2)
             t, z = _lists(firsts, pa.int64()), _lists(salts, pa.int32())
             pairs = pa.StructArray.from_arrays([t.values, z.values], names=["t", "s"])
-            columns = [
-                batch.column("key"), pa.array(list(map(len, sets)), pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]),
-                _lists(sigs, pa.int64()), pa.ListArray.from_arrays(t.offsets, pairs),
-                *[_lists(r, pa.int32()) for r in rest],
-            ]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, target, strict=True)], schema=target)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.ListArray.from_arrays(t.offsets, pairs)], names=["key", "p"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.select("key", "text").mapInArrow(run, "key long, p array<struct<t:long,s:int>>")
 
 
 def _alike_size(a: Column, b: Column, percent: int) -> Column:
@@ -141,8 +147,8 @@ def _least_shared(na, nb, percent: int):
     return (percent * (na + nb) + 99 + percent) // (100 + percent)
 
 
-def bounded(pairs: DataFrame, features: DataFrame, percent: int, orders: int) -> DataFrame:
-    """Pairs ``a < b`` that pass the sizes, the bitmaps and every further order."""
+def bounded(pairs: DataFrame, features: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a < b`` that pass the sizes and the bitmaps."""
     small = features.select("key", "n", "sig")
     x = small.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa"))
     y = small.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("sig").alias("sb"))
@@ -155,16 +161,13 @@ def bounded(pairs: DataFrame, features: DataFrame, percent: int, orders: int) ->
 
     shared = F.expr(f"({percent} * (na + nb) + {99 + percent}) div {100 + percent}")
     both = both.filter((only("sa", "sb") <= F.col("na") - shared) & (only("sb", "sa") <= F.col("nb") - shared))
-    both = both.select("a", "b")
-    for i in range(2, orders + 1):
-        first = features.select(F.col("key").alias("a"), F.col(f"p{i}").alias("pa"))
-        second = features.select(F.col("key").alias("b"), F.col(f"p{i}").alias("pb"))
-        both = both.join(first, "a").join(second, "b").filter(F.arrays_overlap("pa", "pb")).select("a", "b")
-    return both
+    return both.select("a", "b")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs whose whole sets are similar enough.
+def verified(
+    pairs: DataFrame, docs: DataFrame, size: int, percent: int, table: np.ndarray | None = None, orders: int = 1
+) -> DataFrame:
+    """Pairs that every further order lets through and whose whole sets are similar enough.
 
     Only documents of the pairs send their sets. A bitmap of hashed keys, whose size is
     bounded, keeps the others from leaving the scan; a join removes what it lets through.
@@ -179,26 +182,37 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
         ids.select(F.shiftright(spot, 6).alias("w"), F.expr("shiftleft(1L, cast(pmod(xxhash64(key), 64) as int))").alias("m"))
         .groupBy("w").agg(F.bit_or("m").alias("m")).collect()
     )
-    table = np.zeros(1 << (bits - 6), np.int64)
+    known = np.zeros(1 << (bits - 6), np.int64)
     for r in words:
-        table[r.w] = r.m
-    shared = spark.sparkContext.broadcast(table)
+        known[r.w] = r.m
+    shared = spark.sparkContext.broadcast((known, table))
 
     def run(batches):
-        hashes = WordHashes()
-        for batch in batches:
-            spots = batch.column("spot").to_numpy()
-            inside = (shared.value[spots >> 6] >> (spots & 63)) & 1 == 1
-            batch = batch.filter(pa.array(inside))
-            sets = [shingle_set(hashes.of(_words(t)), size).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(sets, pa.int64())], names=["key", "tokens"])
-
-    sets = docs.select("key", "text", spot.alias("spot")).mapInArrow(run, "key long, tokens array<long>")
-    x = sets.select(F.col("key").alias("a"), F.col("tokens").alias("ta"))
-    y = sets.select(F.col("key").alias("b"), F.col("tokens").alias("tb"))
-    shared_size = F.size(F.array_intersect("ta", "tb"))
-    union = F.size("ta") + F.size("tb") - shared_size
-    return pairs.join(x, "a").join(y, "b").filter(shared_size * 100 >= union * percent).select("a", "b").distinct()
+        known, table = shared.value
+        for whole in batches:
+            spots = whole.column("spot").to_numpy()
+            inside = (known[spots >> 6] >> (spots & 63)) & 1 == 1
+            for batch, tokens, bounds in _sets([whole.filter(pa.array(inside))], size):
+                sets = [tokens[bounds[i] : bounds[i + 1]] for i in range(batch.num_rows)]
+                firsts: list[list] = [[] for _ in sets]
+                for order in range(2, orders + 1):
+                    for out, s in zip(firsts, sets, strict=True):
+                        out.append(s[_prefix(s, _often(s, table), order, percent)].view(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("key"), _lists([s.view(np.int64) for s in sets], pa.int64()), pa.array(firsts, pa.list_(pa.list_(pa.int64())))],
+                    names=["key", "tokens", "firsts"],
+                )
+
+    sets = docs.select("key", "text", spot.alias("spot")).mapInArrow(run, "key long, tokens array<long>, firsts array<array<long>>")
+    if orders == 1:
+        sets = sets.drop("firsts")
+    x, y = (sets.select(*[F.col(c).alias(f"{side}_{c}") for c in sets.columns]) for side in ("a", "b"))
+    both = pairs.join(x, F.col("a") == F.col("a_key")).join(y, F.col("b") == F.col("b_key"))
+    for i in range(orders - 1):
+        both = both.filter(F.arrays_overlap(F.col("a_firsts")[i], F.col("b_firsts")[i]))
+    common = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    union = F.size("a_tokens") + F.size("b_tokens") - common
+    return both.filter(common * 100 >= union * percent).select("a", "b").distinct()
 
 
 def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
@@ -298,7 +312,8 @@ def similar_components(
     cannot clash. An empty table gives an empty result.
     """
     docs = df.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text"))
-    features = write_through(_features(docs, token_frequencies(docs, size), size, percent, orders), "features")
+    table = token_frequencies(docs, size)
+    features = write_through(_features(docs, size), "features")
     keyed = features.filter("key is not null and n > 0")
     # Equal sets: one representative goes on.
     classes = keyed.groupBy("d1", "d2").agg(F.min("key").alias("rep"))
@@ -306,8 +321,9 @@ def similar_components(
     links = ordered(copies, "key", "rep")
     reps = keyed.join(
         classes.select(F.col("d1").alias("e1"), F.col("d2").alias("e2"), F.col("rep").alias("key")), "key"
-    ).filter("d1 = e1 and d2 = e2")
-    postings = reps.select("key", F.explode("p1").alias("p")).select("key", "p.t", "p.s")
+    ).filter("d1 = e1 and d2 = e2").select(F.col("key").alias("rep")).distinct()
+    firsts = _first_tokens(docs, table, size, percent).join(reps, F.col("key") == F.col("rep"), "left_semi")
+    postings = firsts.select("key", F.explode("p").alias("p")).select("key", "p.t", "p.s")
     bucket = Window.partitionBy("t", "s")
     marked = postings.select(
         "*",
@@ -319,7 +335,7 @@ def similar_components(
     tops = shared.filter("s > 0").select("t", "pivot").distinct()
     top = tops.groupBy("t").agg(F.min("pivot").alias("top"))
     stars = ordered(shared, "key", "pivot").unionByName(ordered(tops.join(top, "t"), "pivot", "top")).distinct()
-    near = write_through(verified(bounded(stars, features, percent, orders), docs, size, percent), "links")
+    near = write_through(verified(bounded(stars, features, percent), docs, size, percent, table, orders), "links")
     links = write_through(links.unionByName(near), "links")
 
     # What is still apart although it shares a token: buckets of three and more with several components.
@@ -335,8 +351,7 @@ def similar_components(
         .select("t", "size")
     )
     rows = apart.join(mixed_up, "t").join(features.select("key", "n", "sig"), "key")
-    rest = bounded(block_pairs(rows, percent), features, percent, orders)
-    far = write_through(verified(rest, docs, size, percent), "links")
+    far = write_through(verified(block_pairs(rows, percent), docs, size, percent, table, orders), "links")
     found = connected_components(links.unionByName(far))
     out = features.select("key", F.col("n").alias("n_shingles")).join(found, F.col("key") == F.col("node"), "left")
     return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from textloom.llm.components import connected_components
 from textloom.llm.ngram_join import FILTER_BITS, block_pairs, bounded, ordered, verified
-from textloom.llm.words import SHINGLE, WordHashes, mixed, shingle_set
+from textloom.llm.words import SHINGLE, mixed, shingle_sets
 from textloom.workspace import write_through
 
 MIN_WORDS = 20
@@ -34,38 +34,50 @@ def paragraphs_of(text: str | None) -> list[str]:
     return text.split("\n") if text else []
 
 
+def _lists(matrix: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(matrix).ravel()))
+
+
 def _table(docs: DataFrame, min_words: int, bands: int, rows: int, size: int) -> DataFrame:
     rng = np.random.default_rng(97)
     factors = rng.integers(1, 2**63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def run(batches):
-        hashes = WordHashes()
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                out: list[list] = [[] for _ in range(8)]
+            for at in range(0, whole.num_rows, 200):
+                batch = whole.slice(at, 200)
+                docs, places, lines = [], [], []
                 for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    for i, line in enumerate(paragraphs_of(text)):
-                        words = line.encode("utf-8", "surrogatepass").lower().split()
-                        if len(words) < min_words:
-                            continue
-                        s = shingle_set(hashes.of(words), size)
-                        low = mixed(s[:, None] * factors).min(0)
-                        band = np.zeros(bands, np.uint64)
-                        for r in range(rows):
-                            band = mixed(band * np.uint64(31) + low[r::rows] + np.arange(bands, dtype=np.uint64))
-                        bits = np.zeros(SIGNATURE, np.uint8)
-                        bits[s % np.uint64(SIGNATURE)] = 1
-                        d = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), np.int64)
-                        row = (key, i, len(s), int(d[0]), int(d[1]), np.packbits(bits).view(np.int64), band.view(np.int64), line)
-                        for o, x in zip(out, row, strict=True):
-                            o.append(x)
-                lists = pa.list_(pa.int64())
-                kinds = [pa.int64()] * 5 + [lists, lists, pa.string()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(o, k) for o, k in zip(out, kinds, strict=True)],
-                    names=["doc", "paragraph", "n", "d1", "d2", "sig", "bands", "text"],
-                )
+                    own = paragraphs_of(text)
+                    docs += [key] * len(own)
+                    places += range(len(own))
+                    lines += own
+                for part, tokens, bounds in shingle_sets(pa.array(lines, pa.string()), size, least=min_words):
+                    sizes = np.diff(bounds)
+                    long = np.flatnonzero(sizes)
+                    if not len(long):
+                        continue
+                    starts = bounds[:-1][long]
+                    band = np.zeros((len(long), bands), np.uint64)
+                    for r in range(rows):
+                        for b in range(bands):
+                            low = np.minimum.reduceat(mixed(tokens * factors[b * rows + r]), starts)
+                            band[:, b] = mixed(band[:, b] * np.uint64(31) + low + np.uint64(b))
+                    bits = np.zeros((len(long), SIGNATURE), np.uint8)
+                    bits[np.repeat(np.arange(len(long)), sizes[long]), (tokens % np.uint64(SIGNATURE)).astype(np.int64)] = 1
+                    digests = [xxhash.xxh3_128_digest(tokens[bounds[i] : bounds[i + 1]]) for i in long]
+                    d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    here = long + part.start
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([docs[i] for i in here], pa.int64()), pa.array([places[i] for i in here], pa.int64()),
+                            pa.array(sizes[long]), pa.array(d[:, 0]), pa.array(d[:, 1]),
+                            _lists(np.packbits(bits, axis=1).view(np.int64)), _lists(band.view(np.int64)),
+                            pa.array([lines[i] for i in here], pa.string()),
+                        ],
+                        names=["doc", "paragraph", "n", "d1", "d2", "sig", "bands", "text"],
+                    )
 
     schema = "doc long, paragraph long, n long, d1 long, d2 long, sig array<long>, bands array<long>, text string"
     # The number is final because the table is stored before anything reads it.
@@ -127,7 +139,7 @@ def near_paragraphs(
     pivots = shared.groupBy("t").agg(F.count(F.lit(1)).alias("size"), first.alias("pivot")).filter("size > 1")
     pivots = write_through(pivots, "pivots")
     stars = ordered(shared.join(pivots, "t"), "key", "pivot")
-    near = write_through(verified(bounded(stars, features, percent, 1), texts, size, percent), "links")
+    near = write_through(verified(bounded(stars, features, percent), texts, size, percent), "links")
     known = connected_components(near)
     # Buckets that are still in several components: all that the pivot did not decide.
     apart = (
@@ -142,7 +154,7 @@ def near_paragraphs(
         .select("t", "size")
     )
     rest = block_pairs(apart.join(mixed_up, "t").join(features, "key"), percent)
-    far = write_through(verified(bounded(rest, features, percent, 1), texts, size, percent), "links")
+    far = write_through(verified(rest, texts, size, percent), "links")
     found = connected_components(near.unionByName(far)).withColumnRenamed("node", "rep")
     cluster = members.join(found, "rep", "left").select("key", F.coalesce("component", "rep").alias("cluster"))
     placed = write_through(table.select("key", "doc", "paragraph", "n").join(cluster, "key"), "clusters")

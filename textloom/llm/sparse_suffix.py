@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from textloom.llm.words import WordHashes, grams, mixed, words_of
+from textloom.llm.words import grams, hashed_rows, mixed
 from textloom.workspace import write_through
 
 LEAST = 50  # words of a passage that counts
@@ -39,13 +39,14 @@ def anchors(hashes: np.ndarray) -> np.ndarray:
 
 
 def _of_batches(batches):
-    hashes = WordHashes()
     for batch in batches:
-        for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            h = hashes.of(words_of(text))
-            at = anchors(h)
-            if len(at):
-                yield key, h, at, grams(h, AHEAD)[at].view(np.int64)
+        keys = batch.column("key").to_pylist()
+        for rows, hashes, ends in hashed_rows(batch.column("text")):
+            for key, begin, end in zip(keys[rows], ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+                h = hashes[begin:end]
+                at = anchors(h)
+                if len(at):
+                    yield key, h, at, grams(h, AHEAD)[at].view(np.int64)
 
 
 def _spot(head: np.ndarray, bits: int) -> np.ndarray:
