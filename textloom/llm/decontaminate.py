@@ -1,8 +1,8 @@
 """Benchmark decontamination: a BM25 index of the test items with block maxima is asked with every passage.
 
 The index is of the benchmark, the queries are all passages of all documents. A passage
-is skipped for a whole block of items when the largest scores that its words can have
-there stay below the threshold; what is left is scored exactly, and an item found is
+is skipped for a whole block of items when the largest scores that its rare words can have
+there, and the most that common words add, stay below the threshold; what is left is scored exactly, and an item found is
 verified by the overlap of its question and of its answer with the text around.
 """
 
@@ -16,13 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.words import hash_words, hashed_rows
+
 K1, B = 1.2, 0.75
 SCORE = 0.5  # share of the item's score with itself
 OVERLAP = 0.6  # share of the word runs of a part
 GRAM = 3
 STEP = 32  # words from one passage to the next
 SPAN = 4  # steps of a passage
-ITEM_BLOCK = 16
+ITEM_BLOCK = 4
+COMMON = 0.03  # share of the items from which on a word is common
+LEADING = 18  # bits of a word hash that find its terms
 ITEMS = 20_000  # items of one index; more are asked in turns
 ITEM_WORDS = 2_000_000  # words of one index
 
@@ -31,6 +35,8 @@ _FOLD = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256)
 )
 
+_FOLDED = np.frombuffer(_FOLD, np.uint8)
+
 
 def fold(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
@@ -56,10 +62,15 @@ class Index:
     words: list[list[bytes]]
     questions: list[int]
     terms: dict[bytes, int] = field(default_factory=dict)
-    posting: np.ndarray | None = None  # where the items of a term start
-    items: np.ndarray | None = None
-    weights: np.ndarray | None = None  # BM25 weight over the item's own score
-    peaks: np.ndarray | None = None  # term x block of items: largest weight
+    own: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by item: terms, BM25 weight over the item's own score
+    held: np.ndarray | None = None  # terms of the passage that is being scored
+    rest: np.ndarray | None = None  # by block of items: the most that common words add
+    rare: np.ndarray | None = None  # where the blocks of a term start; common terms have none
+    blocks: np.ndarray | None = None
+    peaks: np.ndarray | None = None  # largest weight of the term in the block
+    hashes: np.ndarray | None = None  # of the terms, in order
+    places: np.ndarray | None = None  # term of each of these hashes
+    slots: np.ndarray | None = None  # first of these hashes at or after each leading bits
 
     @classmethod
     def build(cls, rows: list[tuple[int, str]], frequency: dict[bytes, int], count: int, mean: float) -> Index:
@@ -74,28 +85,60 @@ class Index:
                 idf = np.log(1 + (count - df + 0.5) / (df + 0.5))
                 own[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
             total = sum(own.values())
-            for term, value in own.items():
-                entries.append((index.terms.setdefault(term, len(index.terms)), item, value / total))
+            numbers = [index.terms.setdefault(term, len(index.terms)) for term in own]
+            shares = [value / total for value in own.values()]
+            index.own.append((np.array(numbers, np.int64), np.array(shares)))
+            entries += [(t, item, v) for t, v in zip(numbers, shares, strict=True)]
         entries.sort()
-        index.items = np.array([e[1] for e in entries], np.int32)
-        index.weights = np.array([e[2] for e in entries], np.float64)
-        index.posting = np.searchsorted([e[0] for e in entries], np.arange(len(index.terms) + 1))
-        index.peaks = np.zeros((len(index.terms), -(-max(len(ids), 1) // ITEM_BLOCK)), np.float32)
+        index.held = np.zeros(len(index.terms), bool)
+        index.lookup()
+        common = {t for w in index.terms for t in [index.terms[w]] if frequency[w] > max(2, COMMON * count)}
+        most = np.zeros(max(len(ids), 1))
+        peaks: dict[tuple[int, int], float] = {}
         for term, item, value in entries:
-            at = index.peaks[term], item // ITEM_BLOCK
-            at[0][at[1]] = max(at[0][at[1]], value)
+            if term in common:
+                most[item] += value
+            else:
+                at = term, item // ITEM_BLOCK
+                peaks[at] = max(peaks.get(at, 0.0), value)
+        index.rest = np.maximum.reduceat(most, np.arange(0, len(most), ITEM_BLOCK))
+        index.rare = np.searchsorted([t for t, _ in peaks], np.arange(len(index.terms) + 1))
+        index.blocks = np.array([b for _, b in peaks], np.int64)
+        index.peaks = np.array(list(peaks.values()))
         return index
 
-    def scores(self, terms: np.ndarray, blocks: np.ndarray) -> Iterator[tuple[int, float]]:
+    def lookup(self) -> None:
+        """Order the terms by hash, with the place where each run of equal leading bits starts."""
+        hashes = hash_words(list(self.terms))
+        self.places = np.argsort(hashes)
+        self.hashes = hashes[self.places]
+        self.slots = np.searchsorted(self.hashes >> np.uint64(64 - LEADING), np.arange(1 << LEADING, dtype=np.uint64))
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Term of each word hash, or -1."""
+        out = np.full(len(hashes), -1)
+        at = self.slots[hashes >> np.uint64(64 - LEADING)]
+        todo = np.flatnonzero(at < len(self.hashes))
+        while len(todo):
+            here = self.hashes[at[todo]]
+            hit = here == hashes[todo]
+            out[todo[hit]] = self.places[at[todo[hit]]]
+            # The next hash may be smaller still; a larger one ends the search.
+            todo = todo[here < hashes[todo]]
+            at[todo] += 1
+            todo = todo[at[todo] < len(self.hashes)]
+        return out
+
+    def scores(self, terms: np.ndarray, blocks: list[int]) -> Iterator[tuple[int, float]]:
         """Items of ``blocks`` that reach the threshold for a passage with these distinct terms."""
-        wanted = np.zeros(self.peaks.shape[1], bool)
-        wanted[blocks] = True
-        parts = [np.arange(self.posting[t], self.posting[t + 1]) for t in terms]
-        at = np.concatenate(parts) if parts else np.empty(0, np.int64)
-        at = at[wanted[self.items[at] // ITEM_BLOCK]]
-        total = np.bincount(self.items[at], self.weights[at], minlength=len(self.ids))
-        for item in np.flatnonzero(total >= SCORE):
-            yield int(item), float(total[item])
+        self.held[terms] = True
+        for block in blocks:
+            for item in range(block * ITEM_BLOCK, min((block + 1) * ITEM_BLOCK, len(self.own))):
+                own, weights = self.own[item]
+                score = float(weights[self.held[own]].sum())
+                if score >= SCORE:
+                    yield item, score
+        self.held[terms] = False
 
 
 def runs(words: list[bytes], size: int) -> set[bytes]:
@@ -109,46 +152,55 @@ def overlap(part: list[bytes], around: set[bytes], size: int) -> float:
     return len(own & around) / len(own) if own else 0.0
 
 
-def passages_found(index: Index, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, float, int]]:
+def passages_found(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, float, float, float, int]]:
     """Row, item, score, question and answer overlap and first word of the best passage, for verified items."""
-    words = [fold(t) for t in texts]
-    get = index.terms.get
+    for rows, hashes, ends in hashed_rows(texts, fold=_FOLDED):
+        for row, *found in _slice_found(index, texts, rows.start, hashes, ends):
+            yield rows.start + row, *found
+
+
+def _slice_found(index: Index, texts: pa.Array, offset: int, hashes: np.ndarray, ends: np.ndarray):
     # Words of all rows in steps; a row begins with a step of its own.
-    lengths = np.array([len(w) for w in words], np.int64)
+    lengths = np.diff(ends)
     steps = -(-lengths // STEP)
     first_step = np.concatenate([[0], np.cumsum(steps)])
-    terms, at_step = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for row, w in enumerate(words):
-        t = np.fromiter((get(x, -1) for x in w), np.int64, len(w))
-        known = np.flatnonzero(t >= 0)
-        terms.append(t[known])
-        at_step.append(first_step[row] + known // STEP)
-    pair = np.unique(np.concatenate(at_step) * len(index.terms) + np.concatenate(terms)) if index.terms else np.empty(0, np.int64)
+    terms = index.find(hashes)
+    at = np.flatnonzero(terms >= 0)
+    row = np.repeat(np.arange(len(lengths)), lengths)[at]
+    at_step = first_step[row] + (at - ends[row]) // STEP
+    pair = np.unique(at_step * max(len(index.terms), 1) + terms[at])
     step, term = np.divmod(pair, max(len(index.terms), 1))
-    row_of = np.repeat(np.arange(len(words)), steps)
-    starts = np.searchsorted(step, np.arange(first_step[-1] + 1))
+    row_of = np.repeat(np.arange(len(lengths)), steps)
+    count = int(first_step[-1])
+    starts = np.searchsorted(step, np.arange(count + 1))
+    # The largest that the rare words of a step can add for each block of items, in order of block and step.
+    many = index.rare[term + 1] - index.rare[term]
+    each = np.repeat(np.arange(len(term)), many)
+    at = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many) + index.rare[term][each]
+    key = index.blocks[at] * max(count, 1) + step[each]
+    order = np.argsort(key, kind="stable")
+    key, reach = key[order], np.concatenate([[0.0], np.cumsum(index.peaks[at[order]])])
+    opening = np.flatnonzero(np.diff(key, prepend=-1))
+    block, begin = np.divmod(key[opening], max(count, 1))
+    stop = np.minimum(begin + SPAN, first_step[row_of[begin] + 1]) if len(begin) else begin
+    bound = reach[np.searchsorted(key, block * max(count, 1) + stop)] - reach[opening] + index.rest[block]
+    asked: dict[int, set[int]] = {}
+    for i in np.flatnonzero(bound >= SCORE * (1 - 1e-6)):
+        # A passage that begins earlier has no more rare words of this block than the one from here.
+        for s in range(max(int(first_step[row_of[begin[i]]]), int(begin[i]) - SPAN + 1), int(begin[i]) + 1):
+            asked.setdefault(s, set()).add(int(block[i]))
+    for b in np.flatnonzero(index.rest >= SCORE * (1 - 1e-6)):  # items of common words alone
+        for s in range(count):
+            asked.setdefault(s, set()).add(int(b))
     best: dict[tuple[int, int], tuple[float, int]] = {}
-    for low in range(0, index.peaks.shape[1], 64):
-        peaks = index.peaks[:, low : low + 64]
-        # The largest a step can add for each block of items, then for a passage of several steps.
-        sums = np.zeros((first_step[-1], peaks.shape[1]), np.float32)
-        some = np.flatnonzero(np.diff(starts))
-        if not len(some):
-            continue
-        sums[some] = np.add.reduceat(peaks[term], starts[some], axis=0)
-        reach = sums.copy()
-        for k in range(1, SPAN):
-            follow = np.zeros_like(sums)
-            follow[:-k] = np.where((row_of[k:] == row_of[:-k])[:, None], sums[k:], 0)
-            reach += follow
-        hit = reach >= SCORE * (1 - 1e-4)
-        for s in np.flatnonzero(hit.any(1)):
-            end = min(s + SPAN, first_step[row_of[s] + 1])
-            distinct = np.unique(term[starts[s] : starts[end]])
-            for item, score in index.scores(distinct, low + np.flatnonzero(hit[s])):
-                key = (int(row_of[s]), item)
-                if score > best.get(key, (0.0, 0))[0]:
-                    best[key] = (score, int(s - first_step[row_of[s]]) * STEP)
+    for s in sorted(asked):
+        end = min(s + SPAN, first_step[row_of[s] + 1])
+        distinct = np.unique(term[starts[s] : starts[end]])
+        for item, score in index.scores(distinct, sorted(asked[s])):
+            found = (int(row_of[s]), item)
+            if score > best.get(found, (0.0, 0))[0]:
+                best[found] = (score, int(s - first_step[row_of[s]]) * STEP)
+    words = {row: fold(texts[offset + row].as_py()) for row, _ in best}
     for (row, item), (score, start) in best.items():
         own, q = index.words[item], index.questions[item]
         size = max(1, min(GRAM, q, len(own) - q))
@@ -180,7 +232,7 @@ def contaminated(
             index = shared.value
             for batch in _slices(batches):
                 keys = batch.column("k")
-                got = list(passages_found(index, batch.column("t").to_pylist())) if index.ids else []
+                got = list(passages_found(index, batch.column("t"))) if index.ids else []
                 columns = list(zip(*got, strict=True)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -214,7 +266,7 @@ def decontaminated(
             for batch in _slices(batches):
                 clean = np.ones(batch.num_rows, bool)
                 if index.ids:
-                    clean[[f[0] for f in passages_found(index, batch.column(text).to_pylist())]] = False
+                    clean[[f[0] for f in passages_found(index, batch.column(text))]] = False
                 yield batch.filter(pa.array(clean))
 
         df = df.mapInArrow(run, df.schema)

@@ -70,13 +70,29 @@ def _places(count: int) -> np.ndarray:
     return _PLACES
 
 
-def hashed_rows(column: pa.Array, lower: bool = False) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def hash_words(words: list[bytes]) -> np.ndarray:
+    """The same hashes of words that are given one by one."""
+    if not words:
+        return np.empty(0, np.uint64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    first = np.cumsum(sizes) - sizes
+    data = np.frombuffer(b"".join(words), np.uint8).astype(np.uint64) + np.uint64(1)
+    terms = data * _places(int(sizes.max()))[np.arange(len(data)) - np.repeat(first, sizes)]
+    return mixed(mixed(np.add.reduceat(terms, first) + sizes.astype(np.uint64)))
+
+
+def hashed_rows(
+    column: pa.Array, lower: bool = False, fold: np.ndarray | None = None
+) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """64-bit hash of every word of the texts of an Arrow column, some rows at a time.
 
     Yields the rows, their word hashes one after another and where each row's begin and
     the last one's end. A hash is a sum over the bytes with a multiplier for each place,
-    so whole slices are hashed by array arithmetic. Nulls are empty; ``lower`` folds A to Z.
+    so whole slices are hashed by array arithmetic. Nulls are empty; ``lower`` folds A to Z,
+    ``fold`` is another replacement for each byte.
     """
+    fold = fold if fold is not None else _LOWER if lower else _SAME
+    apart = _SPACE[fold]
     column = column.fill_null("").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     content = np.frombuffer(column.buffers()[2] or b"", np.uint8)
@@ -88,7 +104,7 @@ def hashed_rows(column: pa.Array, lower: bool = False) -> Iterator[tuple[slice,
             yield slice(row, stop), np.empty(0, np.uint64), np.zeros(stop - row + 1, np.int64)
             row = stop
             continue
-        inside = ~_SPACE[data]
+        inside = ~apart[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
         # A row begins a word of its own, whatever ends the row before.
@@ -99,7 +115,7 @@ def hashed_rows(column: pa.Array, lower: bool = False) -> Iterator[tuple[slice,
         first = np.searchsorted(at, starts)
         sizes = np.diff(first, append=len(at))
         place = at - np.repeat(starts, sizes)
-        folded = (_LOWER if lower else _SAME)[data[at]].astype(np.uint64) + np.uint64(1)
+        folded = fold[data[at]].astype(np.uint64) + np.uint64(1)
         terms = folded * _places(int(sizes.max(initial=1)))[place]
         hashes = mixed(mixed(np.add.reduceat(terms, first) + sizes.astype(np.uint64))) if len(first) else np.empty(0, np.uint64)
         yield slice(row, stop), hashes, np.searchsorted(starts, cuts)
