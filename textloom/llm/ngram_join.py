@@ -66,10 +66,9 @@ def token_frequencies(docs: DataFrame, size: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[at])], names=["bucket", "n"])
 
     sums = docs.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    rows = sums.filter(F.col("n") >= FREQUENT).collect()  # at most 2 ** COUNT_BITS
+    rows = sums.filter(F.col("n") >= FREQUENT).toArrow()  # at most 2 ** COUNT_BITS
     table = np.zeros(1 << COUNT_BITS, np.uint8)
-    for r in rows:
-        table[r.bucket] = r.n.bit_length()
+    table[rows["bucket"].to_numpy()] = np.log2(rows["n"].to_numpy()).astype(np.uint8) + 1
     return table
 
 
@@ -180,11 +179,10 @@ def verified(
     spot = F.pmod(F.xxhash64("key"), F.lit(1 << bits))
     words = (
         ids.select(F.shiftright(spot, 6).alias("w"), F.expr("shiftleft(1L, cast(pmod(xxhash64(key), 64) as int))").alias("m"))
-        .groupBy("w").agg(F.bit_or("m").alias("m")).collect()
+        .groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
     )
     known = np.zeros(1 << (bits - 6), np.int64)
-    for r in words:
-        known[r.w] = r.m
+    known[words["w"].to_numpy()] = words["m"].to_numpy()
     shared = spark.sparkContext.broadcast((known, table))
 
     def run(batches):

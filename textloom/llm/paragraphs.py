@@ -93,10 +93,10 @@ def _shared_bands(table: DataFrame) -> DataFrame:
     bits = min(FILTER_BITS, max(16, (16 * many.count()).bit_length()))
     found = (
         many.select(F.expr(f"shiftrightunsigned(t, {70 - bits})").alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(t, {64 - bits}) & 63 as int))").alias("m"))
-        .groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+        .groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
     )
     bitmap = np.zeros(1 << (bits - 6), np.int64)
-    bitmap[found["w"].to_numpy(np.int64)] = found["m"].to_numpy(np.int64)
+    bitmap[found["w"].to_numpy()] = found["m"].to_numpy()
     shared = spark.sparkContext.broadcast(bitmap)
 
     def run(batches):

@@ -75,10 +75,10 @@ def _shared_heads(docs: DataFrame) -> tuple[np.ndarray, int]:
     place = F.shiftrightunsigned("head", 64 - bits)
     words = (
         found.select(F.shiftright(place, 6).alias("w"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(head, {64 - bits}) & 63 as int))").alias("m"))
-        .groupBy("w").agg(F.bit_or("m").alias("m")).toPandas()
+        .groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
     )  # at most 2 ** (FILTER_BITS - 6) rows
     table = np.zeros(1 << (bits - 6), np.int64)
-    table[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64)
+    table[words["w"].to_numpy()] = words["m"].to_numpy()
     return table, bits
 
 
