@@ -46,6 +46,19 @@ def test_comparison_keeps_prompts_of_one_model(spark):
     assert got == {1: ("p", "b", "t"), 2: ("q", "plain", None)}
 
 
+def test_comparison_by_sample_is_a_full_outer_join(spark):
+    rows = [(1, 0, "base", "x"), (1, 1, "base", "y"), (1, 0, "tuned", "z"), (2, 0, "tuned", "w"), (2, 0, "tuned", "v")]
+    df = spark.createDataFrame([(p, s, m, "q", o) for p, s, m, o in rows], "prompt_id long, sample_id long, model string, prompt string, output string")
+    got = sorted((r.prompt_id, r.sample_id, r.base_response, r.tuned_response) for r in ev.compare_models(df, sample="sample_id").collect())
+    assert got == [(1, 0, "x", "z"), (1, 1, "y", None), (2, 0, None, "v"), (2, 0, None, "w")]
+
+
+def test_rows_without_a_group_are_one_group(spark):
+    df = spark.createDataFrame([(None, 1, 1.0), (None, 2, 3.0), (7, 3, 5.0)], "prompt_id long, sample_id long, reward double")
+    got = {r.sample_id: r.advantage for r in ev.group_advantage(df, scale=False).collect()}
+    assert got == {1: -1.0, 2: 1.0, 3: 0.0}
+
+
 def test_zip_stops_at_the_shorter_array(spark):
     df = spark.createDataFrame([(1, ["a", "b", "c"], ["x", "y"]), (2, [], ["z"])], "k long, prompts array<string>, responses array<string>")
     got = [(r.k, r.position, r.prompt, r.response) for r in ev.zip_responses(df).collect()]
@@ -107,6 +120,28 @@ def test_parse_log(spark):
     assert rows[3].lr is None and rows[0].train_loss is None and rows[1].train_loss is None
 
 
+def test_damaged_lines_do_not_stop_the_parse(spark):
+    lines = [
+        "2024-13-41 10:00:00,125 - INFO - [Step 1] train_loss=nan lr=1.2-3 ",
+        "2025-07-23 10:00:00,125 - INFO - [Step 99999999999999999999] train_loss=1.0",
+        "2025-07-23 10:00:00,125 - INFO - [Step 2] train_loss=-inf train_loss=7 runtime=x",
+        "2025-07-23 10:00:00,125 - INFO - [Step 3", "", None,
+    ]
+    df = spark.createDataFrame([("r", x) for x in lines], "run string, value string")
+    rows = {r.step: r for r in runs.parse_log(df).collect()}
+    assert sorted(rows) == [1, 2, 3]
+    assert rows[1].train_loss != rows[1].train_loss and rows[1].lr is None and rows[1].ts is None
+    assert rows[2].train_loss == float("-inf") and rows[2].runtime is None
+    report = runs.log_report(df).first()
+    assert (report["lines"], report.with_step, report.damaged, report.not_finite) == (6, 3, 3, 2)
+
+
+def test_no_clock_without_time_or_run(spark):
+    df = spark.createDataFrame([(None, 5, None), (None, 6, "2025-01-01 00:00:00"), ("a", 7, None)], "run string, step long, ts string")
+    for r in runs.with_progress(df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))).collect():
+        assert r.elapsed == ("00:00:00" if r.step == 6 else None)
+
+
 def test_progress(spark):
     df = runs.parse_log(spark.createDataFrame([(x,) for x in LINES if "10:1" in x or "10:0" in x], "value string"))
     rows = runs.with_progress(df.withColumn("run", F.lit("r")), max_steps=1000).orderBy("step").collect()

@@ -30,7 +30,7 @@ def test_split_sizes(spark, n, tests):
 @pytest.mark.parametrize("sort_rows", [1, 50])
 def test_slices_narrow_down_without_sorting(spark, monkeypatch, sort_rows):
     monkeypatch.setattr(ordering, "SORT_ROWS", sort_rows)
-    monkeypatch.setattr(ordering, "FANOUT", 5)
+    monkeypatch.setattr(ordering, "PIVOTS", 5)
     df = numbered(spark, 1000)
     keys = sorted(r.k for r in df.collect())
     assert sorted(r.k for r in ordering.head_rows(df, 137, "k").collect()) == keys[:137]
@@ -102,8 +102,52 @@ def test_group_values_reach_hot_and_cold_rows(spark):
     assert len(got) == 3001
     for r in got:
         if r.g is None:
-            assert r.n is None
+            assert (r.n, r.s) == (1, -1)
         elif r.g == 0:
             assert (r.n, r.s) == (1000, sum(range(0, 3000, 3)))
         else:
             assert (r.n, r.s) == (1, r.r)
+
+
+@pytest.mark.parametrize("hot_groups", [1, 2, 5, 100])
+def test_repeated_group_keys_lose_no_row(spark, hot_groups):
+    rows = spark.createDataFrame([(g, i) for g in (1, 2, None) for i in range(10)], "g long, r long")
+    groups = spark.createDataFrame([(1, 10, "a"), (1, 10, "b"), (2, 10, "c"), (2, 10, "d"), (None, 10, "e")], "g long, n long, v string")
+    got = attach_group_values(rows, groups, "g", "n", "r", hot_groups=hot_groups).collect()
+    assert sorted((r.g or 0, r.r, r.v) for r in got) == sorted(
+        (g or 0, i, v) for g, vs in ((1, "ab"), (2, "cd"), (None, "e")) for i in range(10) for v in vs
+    )
+
+
+def any_keys(spark):
+    wide = [None, -(2**63), 2**63 - 1, *[h(i) * 8 - 2**62 for i in range(300)]]
+    rows = [(k, None if k is None else f"{'same long beginning' * 3}{k}", None if k is None else k / 7) for k in wide]
+    return spark.createDataFrame(rows, "i long, s string, d double")
+
+
+@pytest.mark.parametrize("column", ["i", "s", "d"])
+@pytest.mark.parametrize("n", [1, 2, 150, 302, 303])
+def test_slices_of_any_key_do_not_depend_on_the_sort_limit(spark, monkeypatch, column, n):
+    df = any_keys(spark)
+    order = sorted((r[column] for r in df.collect()), key=lambda v: (v is not None, v))
+    for limit in (10, 100_000):
+        monkeypatch.setattr(ordering, "SORT_ROWS", limit)
+        got = [r[column] for r in ordering.head_rows(df, n, column).collect()]
+        assert sorted(got, key=lambda v: (v is not None, v)) == order[:n]
+
+
+def test_ties_at_the_end_of_a_slice_come_together(spark, monkeypatch):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"))
+    for limit in (10, 100_000):
+        monkeypatch.setattr(ordering, "SORT_ROWS", limit)
+        assert ordering.head_rows(df, 400, "k").count() == 667
+
+
+def test_no_sort_grows_with_the_rows_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SORT_ROWS", 10)
+    seen = []
+    limit = type(spark.range(1)).limit
+    monkeypatch.setattr(type(spark.range(1)), "limit", lambda self, n: seen.append(n) or limit(self, n))
+    df = spark.range(2000).select(F.col("id").cast("string").alias("k"))
+    assert ordering.head_fraction(df, 0.5, "k").count() == 1000
+    assert max(seen) <= 64 * ordering.PIVOTS

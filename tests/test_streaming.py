@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from textloom.catalog import fixtures as fx
 from textloom.plans.pretraining import tokenize_and_block
 from textloom.streaming.blocks import read_new_files, stream_blocks
-from textloom.streaming.metrics import loss_by_bucket, windowed_loss
+from textloom.streaming.metrics import bucket_means, loss_by_bucket, streamed_bucket_loss, windowed_loss
 
 
 def block_rows(df):
@@ -57,3 +57,10 @@ def test_log_files_become_metrics(spark, tmp_path):
 def test_bucket_means(spark):
     df = spark.createDataFrame([(1, 0, 1.0), (1, 49, 3.0), (1, 50, None)], "run long, step long, train_loss double")
     assert {r.bucket: (r.mean_loss, r.lines) for r in loss_by_bucket(df).collect()} == {0: (2.0, 2), 1: (None, 0)}
+
+
+def test_bucket_parts_add_up_to_the_batch_means(spark):
+    rows = [(f"2025-01-01 {10 + i // 20}:{i % 20:02d}:00", i % 2, i, float(i), 0) for i in range(90)]
+    df = spark.createDataFrame(rows, "ts string, run int, step long, train_loss double, rank long").withColumn("ts", F.to_timestamp("ts"))
+    key = lambda r: (r.run, r.bucket)
+    assert sorted(bucket_means(streamed_bucket_loss(df)).collect(), key=key) == sorted(loss_by_bucket(df).collect(), key=key)

@@ -92,16 +92,16 @@ def nested_arena(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def battles(spark: SparkSession, sf: str) -> DataFrame:
-    """Battle k is conversation 2k against 2k+1, in the language of document 2k."""
-    docs = read(spark, sf, "documents").filter(F.col("doc_id") % 2 == 0)
-    last = turns(spark, sf).groupBy("conv_id").agg(F.count(F.lit(1)).alias("n"))
-    even = last.filter(F.col("conv_id") % 2 == 0).select(F.col("conv_id").alias("doc_id"))
-    k = F.expr("doc_id div 2")
-    return docs.select("doc_id", "lang").join(even, "doc_id").select(
-        k.alias("id"),
-        _labels(WINNERS, k % 4).alias("winner"),
-        F.col("doc_id").alias("conv_a"),
-        (F.col("doc_id") + 1).alias("conv_b"),
+    """A battle per document between two conversations, in the document's language.
+
+    There are more documents than conversations, so conversations are shared.
+    """
+    count = turns(spark, sf).agg(F.max("conv_id")).first()[0] + 1
+    return read(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"),
+        _labels(WINNERS, F.col("doc_id") % 4).alias("winner"),
+        (F.col("doc_id") % count).alias("conv_a"),
+        ((F.col("doc_id") * 7 + 1) % count).alias("conv_b"),
         F.when(F.col("lang") == "en", "English").otherwise(F.col("lang")).alias("language"),
     )
 
@@ -167,21 +167,41 @@ def rollouts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def numbered_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """Answers of two models to each conversation: several numbered ones, some without a counterpart."""
+    model = F.when(F.expr("turn div 2 % 2") == 0, "tuned").otherwise("base")
+    return turns(spark, sf).filter("role = 'assistant'").select(
+        F.col("conv_id").alias("prompt_id"),
+        F.expr("turn div 4").alias("sample_id"),
+        model.alias("model"),
+        F.concat(F.lit("prompt "), F.col("conv_id").cast("string")).alias("prompt"),
+        F.concat(F.lit("Response: "), F.col("text")).alias("output"),
+    )
+
+
 def log_lines(events: DataFrame) -> DataFrame:
-    """A training-log line per event; works on a stream as well."""
-    step = F.col("event_id") + 1
-    lr = F.when(
-        F.col("event_type") != "error", F.format_string(" lr=%.8f", (F.col("event_id") % 997) / F.lit(1e7))
-    ).otherwise("")
-    value = F.concat(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"),
-        F.format_string(" - INFO - [Step %d] train_loss=%.4f", step, F.col("value")),
+    """A training-log line per event; works on a stream as well.
+
+    By event number some lines have no step, no loss, a loss that is no number, or damage.
+    """
+    e = F.col("event_id")
+    lr = F.when(F.col("event_type") != "error", F.format_string(" lr=%.8f", (e % 997) / F.lit(1e7))).otherwise("")
+    loss = (
+        F.when(e % 997 == 5, " train_loss=nan")
+        .when(e % 11 == 7, "")
+        .when(e % 19 == 4, " train_loss=1.2-3")
+        .otherwise(F.format_string(" train_loss=%.4f", F.col("value")))
+    )
+    stamp = F.when(e % 23 == 6, "2024-13-41 00:00:00,000").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS"))
+    metrics = F.concat(
+        F.format_string("[Step %d]", e + 1),
+        loss,
         lr,
-        F.format_string(
-            " runtime=%.2fs samples/s=%.2f ", (F.col("event_id") % 5000) / F.lit(100.0), (F.col("user_id") % 300) / F.lit(4.0)
-        ),
+        F.format_string(" runtime=%.2fs samples/s=%.2f", (e % 5000) / F.lit(100.0), (F.col("user_id") % 300) / F.lit(4.0)),
+        F.when(e % 3 == 0, F.format_string(" steps/s=%.4f ", (e % 400) / F.lit(16.0))).otherwise(" "),
     )
-    return events.select((F.col("user_id") % 10).alias("run"), (F.col("event_id") % 4).alias("rank"), value.alias("value"))
+    value = F.concat(stamp, F.lit(" - INFO - "), F.when(e % 17 == 3, "saving a checkpoint").otherwise(metrics))
+    return events.select((F.col("user_id") % 10).alias("run"), (e % 4).alias("rank"), value.alias("value"))
 
 
 def train_log(spark: SparkSession, sf: str) -> DataFrame:

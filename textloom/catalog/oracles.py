@@ -130,14 +130,15 @@ ORACLES["source_scan"] = f"SELECT 'documents' AS source, doc_id AS id, {strip('t
 ORACLES["source_builders"] = f"WITH {CORPUS} SELECT source, count(*) AS rows, sum(length(text))::BIGINT AS chars FROM corpus GROUP BY 1"
 RANKED = "SELECT doc_id, n_chars, row_number() OVER (ORDER BY doc_id) AS r, count(*) OVER () AS n FROM documents"
 ORACLES["head_fraction"] = f"SELECT doc_id, n_chars FROM ({RANKED}) WHERE r <= round_even(0.1::DOUBLE * n, 0)"
-ORACLES["head_rows"] = f"SELECT doc_id, n_chars FROM ({RANKED}) WHERE r <= 1000"
+ORACLES["head_rows"] = f"SELECT doc_id, n_chars FROM ({RANKED}) WHERE r <= 100"
+ORACLES["head_rows_by_text"] = "SELECT source || ':' || doc_id AS name, lang FROM documents ORDER BY 1 LIMIT 60"
 BYTE_BLOCKS = (
     f"d AS (SELECT doc_id, list_append({byte_encoded('text')}, {EOS}) AS ids FROM documents), "
     f"b AS ({block_rows('d', 'doc_id')})"
 )
 ORACLES["block_glob_scan"] = f"WITH {BYTE_BLOCKS} {block_summary('doc_id, block_no', 'b')}"
 N_BYTES = f"(octet_length(encode({prefixed('text')})) + 1)"
-ORACLES["sorted_block_shards"] = f"SELECT doc_id, ceil({N_BYTES} / 1024.0)::BIGINT AS n_blocks, {N_BYTES}::BIGINT AS n_tokens FROM documents"
+ORACLES["sorted_block_shards"] = f"SELECT doc_id, ceil({N_BYTES} / 1024.0)::BIGINT AS n_blocks, {N_BYTES}::BIGINT AS n_tokens, true AS sorted_in_files, true AS files_apart FROM documents"
 ORACLES["text_sink"] = f"WITH {CORPUS}, {LINES} SELECT source, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM lines GROUP BY 1"
 ORACLES["line_pretoken_counts"] = f"WITH {CORPUS}, {LINES} {pretoken_table('lines')}"
 ORACLES["materialize_once"] = f"WITH {CORPUS} SELECT source, id, length(text)::INT AS chars FROM corpus"
@@ -185,10 +186,13 @@ gen AS (SELECT id AS prompt_id, model, 'Instruction: ' || instruction || chr(10)
   'Instruction: ' || instruction || chr(10) || 'Response: ' || answer AS output FROM (
   SELECT id, instruction, 'tuned' AS model, chosen AS answer FROM pairs UNION ALL SELECT id, instruction, 'base', rejected FROM pairs))"""
 LAST_ANSWER = strip("list_last(string_split(output, 'Response:'))")
+ANSWERS = (
+    "SELECT conv_id AS prompt_id, turn // 4 AS sample_id, turn // 2 % 2 = 0 AS tuned, 'prompt ' || conv_id AS prompt, "
+    f"{strip('text')} AS response FROM conversations WHERE role = 'assistant'"
+)
 ORACLES["model_comparison"] = (
-    f"WITH {PAIRS} SELECT prompt_id, b.prompt AS prompt, {LAST_ANSWER.replace('output', 'b.output')} AS base_response, "
-    f"{LAST_ANSWER.replace('output', 't.output')} AS tuned_response FROM (SELECT * FROM gen WHERE model = 'base') b "
-    "FULL JOIN (SELECT * FROM gen WHERE model = 'tuned') t USING (prompt_id)"
+    f"WITH a AS ({ANSWERS}) SELECT prompt_id, sample_id, coalesce(b.prompt, t.prompt) AS prompt, b.response AS base_response, "
+    "t.response AS tuned_response FROM (SELECT * FROM a WHERE NOT tuned) b FULL JOIN (SELECT * FROM a WHERE tuned) t USING (prompt_id, sample_id)"
 )
 ORACLES["zipped_responses"] = (
     "SELECT doc_id, (i - 1)::INT AS position, 'Instruction: ' || l[i] || chr(10) || 'Response: ' || l[len(l) + 1 - i] AS text "
@@ -210,7 +214,7 @@ ORACLES["seeded_hashes"] = f"SELECT doc_id, {hashed('doc_id')} AS h FROM documen
 SHUFFLED = f"SELECT doc_id, lang, row_number() OVER (ORDER BY {hashed('doc_id')}, doc_id) - 1 AS row_index, count(*) OVER () AS n FROM documents"
 ORACLES["shuffled_order"] = f"SELECT doc_id, lang, row_index FROM ({SHUFFLED})"
 ORACLES["shuffled_shards"] = f"SELECT doc_id, ({hashed('doc_id')} // {(1 << 60) // 16 + 1})::INT AS shard FROM documents"
-ORACLES["uniform_sample"] = f"SELECT doc_id, lang FROM ({SHUFFLED}) WHERE row_index < 5000"
+ORACLES["uniform_sample"] = f"SELECT doc_id, lang FROM ({SHUFFLED}) WHERE row_index < 50"
 ORACLES["exact_split"] = (
     f"SELECT doc_id, lang, CASE WHEN row_index < ceil(0.1::DOUBLE * n) THEN 'test' ELSE 'train' END AS split FROM ({SHUFFLED})"
 )
@@ -315,9 +319,9 @@ def chat(source: str, ids: str) -> str:
 ORACLES["chat_texts"] = f"WITH {ARENA}, {chat('arena', encoded('text'))} SELECT id, text, length FROM chat"
 ORACLES["trainer_text"] = f"WITH {ARENA}, {chat('arena', byte_encoded('text'))} SELECT text FROM chat"
 ORACLES["chat_texts_of_turns"] = (
-    "WITH battles AS (SELECT d.doc_id // 2 AS k, d.doc_id AS a FROM documents d WHERE d.doc_id % 2 = 0 AND lang = 'en' "
-    "AND doc_id IN (SELECT conv_id FROM conversations)), "
-    f"won AS (SELECT k AS id, {side('winner', 'k', 'a', 'a + 1')} AS conv_id FROM (SELECT *, {pick('k % 4', WINNERS)} AS winner FROM battles)), "
+    "WITH c AS (SELECT max(conv_id) + 1 AS c FROM conversations), "
+    f"won AS (SELECT id, {side('winner', 'id', 'id % c', '(id * 7 + 1) % c')} AS conv_id FROM "
+    f"(SELECT doc_id AS id, {pick('doc_id % 4', WINNERS)} AS winner, c FROM documents, c WHERE lang = 'en')), "
     f"r AS (SELECT id, {strip(f'string_agg({TURN_LINE}, chr(10) ORDER BY turn)')} AS text FROM won JOIN conversations USING (conv_id) "
     f"WHERE role IN ('user', 'assistant') GROUP BY 1), {chat('r', encoded('text'))} SELECT id, text, length FROM chat"
 )
@@ -345,8 +349,8 @@ def pair_summary(keys: str, source: str) -> str:
 ORACLES["preference_tokens"] = pair_summary("id", f"(SELECT * FROM ({BEST}) WHERE n >= 2)")
 ORACLES["preference_tokens_of_turns"] = f"WITH {PAIRS} {pair_summary('id', 'pairs')}"
 SPLIT_BEST = (
-    "SELECT *, CASE WHEN r <= ceil(0.1::DOUBLE * least(total, 5000)) THEN 'test' ELSE 'train' END AS split FROM "
-    f"(SELECT *, row_number() OVER (ORDER BY {hashed('id')}, id) AS r, count(*) OVER () AS total FROM ({BEST})) WHERE r <= 5000 AND n >= 2"
+    "SELECT *, CASE WHEN r <= ceil(0.1::DOUBLE * least(total, 150)) THEN 'test' ELSE 'train' END AS split FROM "
+    f"(SELECT *, row_number() OVER (ORDER BY {hashed('id')}, id) AS r, count(*) OVER () AS total FROM ({BEST})) WHERE r <= 150 AND n >= 2"
 )
 ORACLES["preference_split"] = pair_summary("id, split", f"({SPLIT_BEST})")
 CLIPPED = "left(CASE WHEN input <> '' THEN instruction || chr(10) || input ELSE instruction END, 1500)"
@@ -362,7 +366,7 @@ ORACLES["prompts"] = (
 TOKEN_BYTES = "[" + ",".join(str(len(t)) for t in TOKENIZER.tokens) + "]"
 # The first 350 tokens end after a known number of bytes.
 ORACLES["sampled_prompts"] = (
-    f"WITH {INSTRUCTIONS}, s AS (SELECT id, {CLIPPED} AS p FROM (SELECT *, row_number() OVER (ORDER BY {hashed('id')}, id) AS r FROM ins) WHERE r <= 2000), "
+    f"WITH {INSTRUCTIONS}, s AS (SELECT id, {CLIPPED} AS p FROM (SELECT *, row_number() OVER (ORDER BY {hashed('id')}, id) AS r FROM ins) WHERE r <= 120), "
     f"t AS (SELECT id, {prefixed('p')} AS p, list_sum(list_transform(({encoded('p')})[1:350], lambda x: {TOKEN_BYTES}[x + 1])) AS cut FROM s), "
     "c AS (SELECT id, p, cut, i, octet_length(encode(left(p, i))) AS o FROM (SELECT *, unnest(range(0, length(p) + 1)) AS i FROM t)), "
     "f AS (SELECT id, any_value(p) AS p, any_value(cut) AS cut, max(i) AS i, max(o) AS o FROM c WHERE o <= cut GROUP BY 1) "
@@ -416,11 +420,24 @@ ORACLES["prompt_suite_report"] = (
 # Runs
 
 LOG = (
-    "log AS (SELECT user_id % 10 AS run, event_id % 4 AS rank, date_trunc('milliseconds', ts) AS ts, event_id + 1 AS step, "
-    "round(value, 4) AS train_loss, CASE WHEN event_type <> 'error' THEN (event_id % 997) / 1e7::DOUBLE END AS lr, "
-    "(event_id % 5000) / 100.0::DOUBLE AS runtime, (user_id % 300) / 4.0::DOUBLE AS samples_per_second, NULL::DOUBLE AS steps_per_second FROM events)"
+    "log AS (SELECT user_id % 10 AS run, event_id % 4 AS rank, CASE WHEN event_id % 23 <> 6 THEN date_trunc('milliseconds', ts) END AS ts, event_id + 1 AS step, "
+    "CASE WHEN event_id % 997 = 5 THEN 'nan'::DOUBLE WHEN event_id % 11 <> 7 AND event_id % 19 <> 4 THEN round(value, 4) END AS train_loss, "
+    "CASE WHEN event_type <> 'error' THEN (event_id % 997) / 1e7::DOUBLE END AS lr, "
+    "(event_id % 5000) / 100.0::DOUBLE AS runtime, (user_id % 300) / 4.0::DOUBLE AS samples_per_second, "
+    "CASE WHEN event_id % 3 = 0 THEN (event_id % 400) / 16.0::DOUBLE END AS steps_per_second FROM events WHERE event_id % 17 <> 3)"
+)
+
+
+def named_nan(column: str) -> str:
+    return f"coalesce(isnan({column}), false) AS is_nan, CASE WHEN NOT isnan({column}) THEN round({column}, 8) END AS {column}"
+
+
+ORACLES["parsed_log"] = f"WITH {LOG} SELECT * REPLACE (CASE WHEN NOT isnan(train_loss) THEN train_loss END AS train_loss), coalesce(isnan(train_loss), false) AS is_nan FROM log"
+ORACLES["log_report"] = (
+    "SELECT user_id % 10 AS run, count(*) AS lines, count(*) FILTER (WHERE event_id % 17 <> 3) AS with_step, "
+    "count(*) FILTER (WHERE event_id % 23 = 6 OR (event_id % 17 <> 3 AND event_id % 997 <> 5 AND event_id % 11 <> 7 AND event_id % 19 = 4)) AS damaged, "
+    "count(*) FILTER (WHERE event_id % 17 <> 3 AND event_id % 997 = 5) AS not_finite FROM events GROUP BY 1"
 )
-ORACLES["parsed_log"] = f"WITH {LOG} SELECT * FROM log"
 
 
 def clock(x: str) -> str:
@@ -433,9 +450,10 @@ ORACLES["run_progress"] = (
     "(epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6::DOUBLE AS el FROM log) "
     f"SELECT run, step, ts, progress, {clock('el')} AS elapsed, {clock('el / progress - el')} AS remaining FROM e"
 )
-ORACLES["main_process_log"] = f"WITH {LOG} SELECT run, step, train_loss FROM log WHERE rank = 0"
+ORACLES["main_process_log"] = f"WITH {LOG} SELECT run, step, CASE WHEN isnan(train_loss) THEN -1 ELSE train_loss END AS train_loss FROM log WHERE rank = 0"
 ORACLES["loss_per_bucket"] = (
-    f"WITH {LOG} SELECT run, step // 50 AS bucket, round(avg(train_loss), 8) AS mean_loss, count(train_loss) AS lines FROM log GROUP BY 1, 2"
+    f"WITH {LOG}, b AS (SELECT run, step // 50 AS bucket, avg(train_loss) AS mean_loss, count(train_loss) AS lines FROM log GROUP BY 1, 2) "
+    f"SELECT run, bucket, {named_nan('mean_loss')}, lines FROM b"
 )
 CHECKPOINTS = "SELECT user_id % 10 AS run, event_id + 1 AS step, 'out/run-' || user_id % 10 || '/checkpoint-' || (event_id + 1) AS path, value AS loss FROM events"
 ORACLES["latest_checkpoint"] = f"SELECT run, arg_max(path, step) AS latest_path FROM ({CHECKPOINTS}) GROUP BY 1"
@@ -444,10 +462,19 @@ ORACLES["newest_checkpoints"] = (
     f"SELECT run, path FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY step DESC) AS r FROM ({CHECKPOINTS})) WHERE r <= 3"
 )
 # A stream only closes the windows that end before the watermark.
+OPEN = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM log WHERE rank = 0 AND train_loss IS NOT NULL)"
+CLOSED = (
+    f"{LOG}, w AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start FROM log WHERE rank = 0 AND train_loss IS NOT NULL AND ts IS NOT NULL), "
+    f"closed AS (SELECT * FROM w WHERE window_start + INTERVAL 1 HOUR <= {OPEN})"
+)
 ORACLES["streamed_loss"] = (
-    f"WITH {LOG} SELECT time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01') AS window_start, run, round(avg(train_loss), 8) AS mean_loss, max(step) AS latest_step, "
-    "min(step // 50) AS first_bucket, max(step // 50) AS last_bucket, count(*) AS lines FROM log WHERE rank = 0 AND train_loss IS NOT NULL GROUP BY 1, 2 "
-    "HAVING window_start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM log WHERE rank = 0 AND train_loss IS NOT NULL)"
+    f"WITH {CLOSED}, s AS (SELECT window_start, run, avg(train_loss) AS mean_loss, max(step) AS latest_step, "
+    "min(step // 50) AS first_bucket, max(step // 50) AS last_bucket, count(*) AS lines FROM closed GROUP BY 1, 2) "
+    f"SELECT window_start, run, {named_nan('mean_loss')}, latest_step, first_bucket, last_bucket, lines FROM s"
+)
+ORACLES["streamed_bucket_means"] = (
+    f"WITH {CLOSED}, s AS (SELECT run, step // 50 AS bucket, avg(train_loss) AS mean_loss, count(*) AS lines FROM closed GROUP BY 1, 2) "
+    f"SELECT run, bucket, {named_nan('mean_loss')}, lines FROM s"
 )
 
 ORACLES["blocks_per_language"] = (

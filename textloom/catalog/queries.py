@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from textloom.catalog import fixtures as fx
 from textloom.functions import blocks as B
@@ -25,7 +26,7 @@ from textloom.operators.vocabulary import count_pretokens, learn_merges, vocabul
 from textloom.plans import finetuning, pretraining
 from textloom.sources import registry, storage
 from textloom.streaming.blocks import read_new_files, stream_blocks
-from textloom.streaming.metrics import loss_by_bucket, windowed_loss
+from textloom.streaming.metrics import bucket_means, loss_by_bucket, streamed_bucket_loss, windowed_loss
 from textloom.workspace import fresh_path, write_through
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,7 +94,13 @@ def head_fraction(spark, sf):
 
 @register
 def head_rows(spark, sf):
-    return ordering.head_rows(fx.read(spark, sf, "documents"), 1000, "doc_id").select("doc_id", "n_chars")
+    return ordering.head_rows(fx.read(spark, sf, "documents"), 100, "doc_id").select("doc_id", "n_chars")
+
+
+@register
+def head_rows_by_text(spark, sf):
+    named = fx.read(spark, sf, "documents").select(F.concat_ws(":", "source", F.col("doc_id").cast("string")).alias("name"), "lang")
+    return ordering.head_rows(named, 60, "name")
 
 
 @register
@@ -111,9 +118,19 @@ def sorted_block_shards(spark, sf):
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     storage.write_blocks(pretraining.tokenize_and_block(storage.sort_by_key(docs, shards), BYTE_TOKENIZER), path)
     stored = storage.read_blocks(spark, path)
+    in_files, apart = _order_of_files(stored, ["doc_id", "block_no"])
     return stored.groupBy("doc_id").agg(
         F.count("block_no").alias("n_blocks"), F.sum(_n_tokens()).alias("n_tokens")
-    )
+    ).withColumns({"sorted_in_files": F.lit(in_files), "files_apart": F.lit(apart)})
+
+
+def _order_of_files(stored: DataFrame, keys: list[str]) -> tuple[bool, bool]:
+    """Whether rows are in key order in every file, and whether the files' key ranges do not meet."""
+    rows = stored.select(F.struct(*keys).alias("k"), F.col("_metadata.file_name").alias("f"), F.col("_metadata.row_index").alias("i"))
+    before = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    checked = rows.withColumn("ok", F.coalesce(before < F.col("k"), F.lit(True)))
+    files = checked.groupBy("f").agg(F.min("k").alias("low"), F.max("k").alias("high"), F.min("ok").alias("ok")).orderBy("low").collect()
+    return all(f.ok for f in files), all(tuple(x.high) < tuple(y.low) for x, y in zip(files, files[1:]))
 
 
 def _written_lines(spark, sf):
@@ -229,7 +246,7 @@ def id_range_check(spark, sf):
 
 @register
 def model_comparison(spark, sf):
-    return ev.compare_models(fx.generations(spark, sf))
+    return ev.compare_models(fx.numbered_answers(spark, sf), sample="sample_id")
 
 
 @register
@@ -280,7 +297,7 @@ def shuffled_shards(spark, sf):
 
 @register
 def uniform_sample(spark, sf):
-    return ordering.sample_rows(fx.read(spark, sf, "documents"), 5000, "doc_id").select("doc_id", "lang")
+    return ordering.sample_rows(fx.read(spark, sf, "documents"), 50, "doc_id").select("doc_id", "lang")
 
 
 @register
@@ -295,10 +312,9 @@ def best_and_worst_completion(spark, sf):
 
 @register
 def batch_assignment(spark, sf):
-    docs = fx.read(spark, sf, "documents").select("doc_id")
-    every = ordering.assign_batches(docs, "doc_id", 16).select("doc_id", "batch_id")
-    full = ordering.assign_batches(docs, "doc_id", 16, drop_last=True).select("doc_id", F.lit(True).alias("in_full_batch"))
-    return every.join(full, "doc_id", "left").fillna(False, ["in_full_batch"])
+    indexed, total = ordering.with_row_index(fx.read(spark, sf, "documents").select("doc_id"), "doc_id")
+    batch = F.expr("row_index div 16")
+    return indexed.select("doc_id", batch.alias("batch_id"), (batch < total // 16).alias("in_full_batch"))
 
 
 # Vocabulary and tokens
@@ -450,7 +466,7 @@ def preference_tokens_of_turns(spark, sf):
 def preference_split(spark, sf):
     """Sample, split, then drop records that have no pair, in that order."""
     records = fx.nested_completions(spark, sf)
-    split = ordering.train_test_split(ordering.sample_rows(records, 5000, "id"), 0.1, "id")
+    split = ordering.train_test_split(ordering.sample_rows(records, 150, "id"), 0.1, "id")
     return _pair_summary(finetuning.preference_tokens(split, fx.TOKENIZER, carry=("id", "split")), ["id", "split"])
 
 
@@ -466,7 +482,7 @@ def prompts(spark, sf):
 
 @register
 def sampled_prompts(spark, sf):
-    return finetuning.sampled_prompts(fx.instructions(spark, sf), fx.TOKENIZER)
+    return finetuning.sampled_prompts(fx.instructions(spark, sf), fx.TOKENIZER, 120)
 
 
 @register
@@ -565,9 +581,21 @@ def prompt_suite_report(spark, sf):
     return out.select("group", "prompts", "answers", F.round("total_seconds", 4).alias("total_seconds"), F.round("avg_seconds", 8).alias("avg_seconds"))
 
 
+def _named_nan(df: DataFrame, column: str) -> DataFrame:
+    """NaN as null with a flag, so that results can be compared as values."""
+    return df.withColumns(
+        {"is_nan": F.coalesce(F.isnan(column), F.lit(False)), column: F.when(~F.isnan(column), F.round(column, 8))}
+    )
+
+
 @register
 def parsed_log(spark, sf):
-    return runs.parse_log(fx.train_log(spark, sf))
+    return _named_nan(runs.parse_log(fx.train_log(spark, sf)), "train_loss")
+
+
+@register
+def log_report(spark, sf):
+    return runs.log_report(fx.train_log(spark, sf))
 
 
 @register
@@ -578,13 +606,13 @@ def run_progress(spark, sf):
 
 @register
 def main_process_log(spark, sf):
-    return runs.parse_log(runs.main_process_only(fx.train_log(spark, sf))).select("run", "step", "train_loss")
+    return runs.parse_log(runs.main_process_only(fx.train_log(spark, sf))).select("run", "step", F.nanvl("train_loss", F.lit(-1.0)).alias("train_loss"))
 
 
 @register
 def loss_per_bucket(spark, sf):
     out = loss_by_bucket(runs.parse_log(fx.train_log(spark, sf)))
-    return out.withColumn("mean_loss", F.round("mean_loss", 8))
+    return _named_nan(out, "mean_loss")
 
 
 @register
@@ -615,14 +643,14 @@ def streamed_blocks(spark, sf):
     return _block_summary(storage.read_blocks(spark, out), ["doc_id", "block_no"])
 
 
-@register
-def streamed_loss(spark, sf):
+def _streamed(spark, sf, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a query over the stream of log lines has appended when all lines have been read."""
     schema = fx.read(spark, sf, "events").schema
     lines = fx.log_lines(read_new_files(spark, f"{sf}/events.parquet*", schema))
     metrics = runs.parse_log(lines).withColumn("ts", F.col("ts").cast("timestamp"))
     out = fresh_path(spark, "loss-out")
     (
-        windowed_loss(metrics)
+        build(metrics)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", out)
@@ -631,10 +659,16 @@ def streamed_loss(spark, sf):
         .start()
         .awaitTermination()
     )
-    return spark.read.parquet(out).select(
+    return spark.read.parquet(out)
+
+
+@register
+def streamed_loss(spark, sf):
+    return _named_nan(_streamed(spark, sf, windowed_loss), "mean_loss").select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         "run",
-        F.round("mean_loss", 8).alias("mean_loss"),
+        "mean_loss",
+        "is_nan",
         "latest_step",
         "first_bucket",
         "last_bucket",
@@ -642,6 +676,11 @@ def streamed_loss(spark, sf):
     )
 
 
+@register
+def streamed_bucket_means(spark, sf):
+    return _named_nan(bucket_means(_streamed(spark, sf, streamed_bucket_loss)), "mean_loss")
+
+
 def blocks_per_language(spark: SparkSession, sf: str) -> DataFrame:
     """Blocks, tokens and padding share per language."""
     docs = fx.documents(spark, sf).select("doc_id", "lang", X.strip("text").alias("text"))

@@ -77,6 +77,7 @@ def drop_prompt(output: str | Column, prompt: str | Column) -> Column:
 
 
 def clock(seconds: str | Column) -> Column:
-    """``HH:MM:SS`` with floor division; hours may exceed two digits."""
+    """``HH:MM:SS`` with floor division; hours may exceed two digits. Null stays null."""
     s = F.floor(_c(seconds)).cast("bigint")
-    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor((s % 3600) / 60), s % 60)
+    parts = F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor((s % 3600) / 60), s % 60)
+    return F.when(s.isNotNull(), parts)

@@ -23,7 +23,8 @@ def count_with_dictionary(
     """
     pieces = docs.select(key, F.explode_outer(pretokens_with_specials(text)).alias("pretoken"))
     per_text = pieces.groupBy(key, "pretoken").agg(F.count("pretoken").alias("n"))
-    seen = pieces.filter(F.col("pretoken").isNotNull()).groupBy("pretoken").agg(F.count(F.lit(1)).alias("_seen"))
+    # From the counts per text, so that texts are split once.
+    seen = per_text.filter(F.col("pretoken").isNotNull()).groupBy("pretoken").agg(F.sum("n").alias("_seen"))
     sizes = seen.select("pretoken", "_seen", tokenizer.piece_length("pretoken").alias("_size"))
     joined = attach_group_values(per_text, sizes, "pretoken", "_seen", key, HOT_PRETOKENS)
     return joined.groupBy(key).agg(

@@ -74,7 +74,8 @@ def group_advantage(
 ) -> DataFrame:
     """Add ``advantage``: reward minus its group's mean, over its deviation if ``scale``.
 
-    A group of one has no deviation and gets advantage 0. Group statistics are
+    A group of one has no deviation and gets advantage 0; rows without a group are
+    one group. Group statistics are
     pre-aggregated and joined back, so one huge group does not end up in one task.
     """
     stats = df.groupBy(group).agg(
@@ -89,25 +90,33 @@ def group_advantage(
 
 
 def compare_models(
-    generations: DataFrame, base: str = "base", tuned: str = "tuned", key: str = "prompt_id", model: str = "model"
+    generations: DataFrame,
+    base: str = "base",
+    tuned: str = "tuned",
+    key: str = "prompt_id",
+    model: str = "model",
+    sample: str | None = None,
 ) -> DataFrame:
-    """One row per prompt: ``prompt, base_response, tuned_response``.
+    """Full outer join of the two models' outputs: ``prompt, base_response, tuned_response``.
 
-    Same rows as a full outer join of the two models' outputs, from one scan and
-    one exchange. A prompt answered by one model only has a null on the other side.
+    With ``sample`` the answers of a prompt are matched by their number, and it is
+    returned too. What only one model has answered has a null on the other side.
+    Repeated answers under one key give a row for each combination.
     """
+    keys = [key, sample] if sample else [key]
 
-    def answer(name: str) -> Column:
-        return F.max(F.when(F.col(model) == name, extract_response("output")))
-
-    return (
-        generations.filter(F.col(model).isin(base, tuned))
-        .groupBy(key)
-        .agg(
-            F.max("prompt").alias("prompt"),
-            answer(base).alias("base_response"),
-            answer(tuned).alias("tuned_response"),
+    def side(name: str) -> DataFrame:
+        rows = generations.filter(F.col(model) == name)
+        return rows.select(
+            *keys, F.col("prompt").alias(f"_{name}"), extract_response("output").alias(f"{name}_response")
         )
+
+    joined = side(base).join(side(tuned), keys, "full")
+    return joined.select(
+        *keys,
+        F.coalesce(f"_{base}", f"_{tuned}").alias("prompt"),
+        F.col(f"{base}_response").alias("base_response"),
+        F.col(f"{tuned}_response").alias("tuned_response"),
     )
 
 

@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from textloom.functions.hashing import HASH_BITS, SEED, seeded_hash
 
-FANOUT = 4096
+PIVOTS = 31
 SORT_ROWS = 100_000
 BUCKET_BITS = 16
 ROWS_PER_BUCKET = 250_000
@@ -29,57 +29,69 @@ _HASH = "_order_hash"
 def kth_key(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> tuple[tuple | None, int]:
     """Values of ``order`` at the ``rank(n)``-th row (1-based), and the row count ``n``.
 
-    Integer columns are narrowed by counting equal-width ranges, ``FANOUT`` per
-    pass, until at most ``SORT_ROWS`` candidates are left to sort. The key is
+    Works for columns of any ordered type; nulls come first. A few sampled values cut
+    the rest into ranges that are counted exactly, until at most ``SORT_ROWS`` rows or
+    one value are left. Which values are sampled has no effect on the result. The key is
     None when the rank is 0 or beyond the last row.
     """
-    rest = df.select(*order)
-    kinds = dict(rest.dtypes)
-    first = order[0]
-    low, high, total = rest.agg(F.min(first), F.max(first), F.count(F.lit(1))).first()
+    value = F.struct(*[F.col(c) for c in order])
+    rest = df.select(value.alias("v"))
+    total = rest.count()
     k = rank(total)
     if k <= 0 or k > total:
         return None, total
-    fixed: list = []
     left = total
-    for pos, name in enumerate(order):
-        tail = order[pos:]
-        if pos:
-            low, high = rest.agg(F.min(name), F.max(name)).first()
-        while left > SORT_ROWS and low != high and kinds[name] in ("tinyint", "smallint", "int", "bigint"):
-            width = (high - low) // FANOUT + 1
-            slot = F.expr(f"(`{name}` - {low}L) div {width}L")
-            for b, n in sorted(tuple(r) for r in rest.groupBy(slot.alias("b")).count().collect()):
-                if k <= n:
-                    break
-                k -= n
-            low, high, left = low + b * width, min(high, low + (b + 1) * width - 1), n
-            rest = rest.filter(F.col(name).between(low, high))
-        if left <= SORT_ROWS or low != high:
-            row = rest.orderBy(*tail).limit(k).agg(F.max(F.struct(*tail)).alias("v")).first().v
-            return (*fixed, *row), total
-        fixed.append(low)
-        rest = rest.filter(F.col(name) == low)
-    return tuple(fixed), total
-
-
-def _at_or_before(order: list[str], key: tuple) -> Column:
-    """Rows whose ``order`` columns are lexicographically <= ``key``."""
-    cond = F.col(order[-1]) <= F.lit(key[-1])
-    for name, value in reversed(list(zip(order[:-1], key[:-1], strict=True))):
-        cond = (F.col(name) < F.lit(value)) | ((F.col(name) == F.lit(value)) & cond)
+    while left > SORT_ROWS:
+        share = min(1.0, 16.0 * PIVOTS / left)
+        drawn = [r.v for r in rest.sample(share, seed=left).orderBy("v").limit(64 * PIVOTS).collect()]
+        pivots = list(dict.fromkeys(drawn[i * len(drawn) // (PIVOTS + 1)] for i in range(1, PIVOTS + 1))) if drawn else []
+        bounds = [_literal(p, df, order) for p in pivots]
+        counts = rest.agg(
+            F.min("v").alias("low"), F.max("v").alias("high"),
+            *[F.count(F.when(F.col("v") <= p, 1)).alias(f"n{i}") for i, p in enumerate(bounds)],
+        ).first()
+        if counts.low == counts.high:
+            return tuple(counts.low), total
+        at = next((i for i in range(len(bounds)) if counts[f"n{i}"] >= k), len(bounds))
+        before = counts[f"n{at - 1}"] if at else 0
+        if at < len(bounds):
+            rest = rest.filter(F.col("v") <= bounds[at])
+        if at:
+            rest = rest.filter(F.col("v") > bounds[at - 1])
+        left, k = (counts[f"n{at}"] if at < len(bounds) else left) - before, k - before
+    row = rest.orderBy("v").limit(k).agg(F.max("v").alias("v")).first().v  # k is at most SORT_ROWS
+    return tuple(row), total
+
+
+def _literal(values: tuple, df: DataFrame, order: list[str]) -> Column:
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.struct(*[F.lit(v).cast(kinds[c]).alias(c) for c, v in zip(order, values, strict=True)])
+
+
+def _at_or_before(df: DataFrame, order: list[str], key: tuple) -> Column:
+    """Rows whose ``order`` columns come at or before ``key``; written so that a scan can use it."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cond = F.lit(True)
+    for name, value in reversed(list(zip(order, key, strict=True))):
+        col, here = F.col(name), F.lit(value).cast(kinds[name])
+        if value is None:
+            cond = col.isNull() & cond
+        elif name == order[-1]:
+            cond = col.isNull() | (col <= here)
+        else:
+            cond = col.isNull() | (col < here) | ((col == here) & cond)
     return cond
 
 
 def _first_rows(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> Column:
     key, total = kth_key(df, order, rank)
     if key is not None:
-        return _at_or_before(order, key)
+        return _at_or_before(df, order, key)
     return F.lit(total > 0 and rank(total) > total)
 
 
 def head_rows(df: DataFrame, n: int, key: str) -> DataFrame:
-    """The ``n`` rows with the smallest ``key`` (a unique integer column)."""
+    """The ``n`` rows with the smallest ``key`` (unique, of any ordered type; a null comes first)."""
     return df.filter(_first_rows(df, [key], lambda total: n))
 
 

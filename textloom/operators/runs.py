@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,21 +24,57 @@ LOG_FIELDS = {
 }
 
 
+# A number as the logs write it; what else follows the sign counts as damage.
+_FIELD = "(?:^| )(" + "|".join(re.escape(f) for f in LOG_FIELDS) + r")=((?i)[-+]?(?:nan|inf(?:inity)?)|[-+.0-9e]+)?"
+_STAMP = r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d,\d{3} - "
+
+
+def _fields(lines: DataFrame, value: str) -> DataFrame:
+    """All columns of a line, the step included, with ``_damaged``: something is there that cannot be read.
+
+    The fields are found in one pass over the line; of a repeated one the first counts.
+    """
+    names, numbers = (F.regexp_extract_all(value, F.lit(_FIELD), i) for i in (1, 2))
+    rest = [c for c in lines.columns if c != value]
+    split = lines.select(
+        *rest,
+        names.alias("_names"),
+        numbers.alias("_numbers"),
+        F.regexp_extract(value, r"\[Step ([^\]]*)\]?", 1).alias("_step"),
+        F.when(F.col(value).rlike(_STAMP), F.replace(F.substring(value, 1, 23), F.lit(","), F.lit("."))).alias("_stamp"),
+        F.contains(F.col(value), F.lit("[Step ")).alias("_stepped"),
+    )
+
+    def number(name: str) -> Column:
+        return F.get("_numbers", F.array_position("_names", name).cast("int") - 1).try_cast("double")
+
+    made = {"ts": F.col("_stamp").try_cast("timestamp_ntz"), "step": F.col("_step").try_cast("bigint")}
+    made |= {col: number(name) for name, col in LOG_FIELDS.items()}
+    typed = split.withColumns(made)
+    unread = [F.array_contains("_names", name) & F.col(col).isNull() for name, col in LOG_FIELDS.items()]
+    damaged = (F.col("_stamp").isNotNull() & F.col("ts").isNull()) | (F.col("_stepped") & F.col("step").isNull())
+    for u in unread:
+        damaged = damaged | u
+    return typed.withColumn("_damaged", damaged).select(*rest, *made, "_damaged")
+
+
 def parse_log(lines: DataFrame, value: str = "value") -> DataFrame:
-    """Typed metrics of log lines; absent fields are null, lines without a step are dropped."""
+    """Typed metrics of log lines; absent and unreadable fields are null, lines without a step are dropped.
+
+    ``nan`` and ``inf`` stay, since a loss that is no number is what one looks for.
+    """
+    return _fields(lines, value).filter(F.col("step").isNotNull()).drop("_damaged")
 
-    def number(pattern: str, kind: str) -> Column:
-        found = F.regexp_extract(value, pattern, 1)
-        return F.when(found != "", found).cast(kind)
 
-    fields = [number(rf"(?:^| ){name}=([-+.0-9eE]+)", "double").alias(col) for name, col in LOG_FIELDS.items()]
-    stamp = F.to_timestamp_ntz(
-        F.when(F.col(value).rlike(r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d,\d{3} - "), F.substring(value, 1, 23)),
-        F.lit("yyyy-MM-dd HH:mm:ss,SSS"),
+def log_report(lines: DataFrame, run: str = "run", value: str = "value") -> DataFrame:
+    """Per run: ``lines``, ``with_step``, ``damaged`` and ``not_finite`` losses."""
+    loss = F.col("train_loss")
+    return _fields(lines, value).groupBy(run).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.count("step").alias("with_step"),
+        F.count(F.when(F.col("_damaged"), 1)).alias("damaged"),
+        F.count(F.when(F.isnan(loss) | (F.abs(loss) == float("inf")), 1)).alias("not_finite"),
     )
-    rest = [c for c in lines.columns if c != value]
-    out = lines.select(*rest, stamp.alias("ts"), number(r"\[Step (\d+)\]", "bigint").alias("step"), *fields)
-    return out.filter(F.col("step").isNotNull())
 
 
 def main_process_only(df: DataFrame, rank: str = "rank") -> DataFrame:

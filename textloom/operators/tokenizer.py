@@ -260,12 +260,15 @@ class Tokenizer:
     def save(self, spark: SparkSession, path: str) -> None:
         self.vocab_table(spark).coalesce(1).write.parquet(f"{path}/vocab")
         self.merges_table(spark).coalesce(1).write.parquet(f"{path}/merges")
+        spark.createDataFrame([(self.pad_id,)], "pad_id int").coalesce(1).write.parquet(f"{path}/settings")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, pad_id: int | None = None) -> Tokenizer:
-        """Read saved tables; an unset pad id becomes that of ``<pad>``."""
+        """Read saved tables; ``pad_id`` replaces the saved one."""
         ids = {r.token: r.token_id for r in spark.read.parquet(f"{path}/vocab").collect() if r.kind != "special"}
         merges = spark.read.parquet(f"{path}/merges").orderBy("rank").collect()
+        if pad_id is None:
+            pad_id = spark.read.parquet(f"{path}/settings").first().pad_id
         return cls([(ids[m.left], ids[m.right]) for m in merges], pad_id)
 
 

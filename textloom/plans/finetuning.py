@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,8 @@ from textloom.operators.skew import attach_group_values
 from textloom.operators.tokenizer import Tokenizer
 
 MIN_TOKENS = 20
+# A label's words and signs are pretokens of their own, so each is at least one token.
+TURN_TOKENS = min(len(re.findall(r"[^\W_]+|[^\w\s]+", label)) for label in ROLE_LABELS.values())
 PROMPT_CHARS = 1500
 PROMPT_TOKENS = 350
 FALLBACK_CHARS = 500
@@ -63,10 +67,11 @@ def chat_texts_of_turns(
 ) -> DataFrame:
     """The same when conversations are stored as rows ``conv_id, turn, role, text``.
 
-    ``battles`` holds ``id, winner, conv_a, conv_b, language``. A rendered turn
-    is at least two tokens (its role and the colon), so a conversation of more
-    than ``max_length / 2`` turns is certain to fail the length test; it is left
-    out before its turns are brought together.
+    ``battles`` holds ``id, winner, conv_a, conv_b, language``. Every wanted
+    conversation is rendered once, however many battles share it. A rendered turn
+    has at least ``TURN_TOKENS`` tokens, so a conversation with more turns than
+    fit is certain to fail the length test; it is left out before its turns are
+    brought together.
     """
     chosen = keep_language(battles, language).select(
         "id", pick_winner("winner", F.col("conv_a"), F.col("conv_b"), "id", seed).alias("conv_id")
@@ -74,11 +79,15 @@ def chat_texts_of_turns(
     spoken = turns.filter(F.col("role").isin(*ROLE_LABELS))
     # A conversation without spoken turns renders to the empty text, which is dropped anyway.
     sizes = spoken.groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
-    wanted = sizes.join(chosen, "conv_id", "left").withColumn(
-        "id", F.when(F.col("_n") <= max_length // 2, F.col("id"))
-    )
-    kept = attach_group_values(spoken, wanted, "conv_id", "_n", "turn").filter(F.col("id").isNotNull())
-    return with_length(render_turns(kept, "id"), tokenizer, MIN_TOKENS, max_length)
+    shares = chosen.filter(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.count(F.lit(1)).alias("_battles"))
+    fits = F.col("_battles").isNotNull() & (F.col("_n") <= max_length // TURN_TOKENS)
+    wanted = sizes.join(shares, "conv_id", "left").withColumn("_wanted", fits)
+    kept = attach_group_values(spoken, wanted, "conv_id", "_n", "turn").filter("_wanted")
+    texts = with_length(render_turns(kept, "conv_id"), tokenizer, MIN_TOKENS, max_length)
+    # Only conversations that some battle chose are left, with their number of battles.
+    texts = texts.join(shares, "conv_id")
+    found = attach_group_values(chosen, texts, "conv_id", "_battles", "id")
+    return found.filter(F.col("text").isNotNull()).select("id", "text", "length")
 
 
 def _pair_tokens(df: DataFrame, tokenizer: Tokenizer, max_length: int, keep: list[Column]) -> DataFrame:

@@ -23,7 +23,7 @@ def read_log_stream(spark: SparkSession, path: str) -> DataFrame:
 def windowed_loss(
     metrics: DataFrame, window: str = "1 hour", late: str = "10 minutes", logging_steps: int = LOGGING_STEPS
 ) -> DataFrame:
-    """Mean loss, latest step and logged step buckets per run and time window.
+    """Mean loss, latest step and mean loss of each logged step bucket, per run and time window.
 
     Works on a batch table and, in append mode, on a stream, where lines later
     than the watermark are dropped. Losses are partly summed before the exchange.
@@ -44,6 +44,29 @@ def windowed_loss(
     )
 
 
+def streamed_bucket_loss(
+    metrics: DataFrame, window: str = "1 hour", late: str = "10 minutes", logging_steps: int = LOGGING_STEPS
+) -> DataFrame:
+    """Loss sum and lines per run, step bucket and time window of a batch table or stream.
+
+    Both are additive: ``bucket_means`` adds up the windows that a bucket falls into.
+    """
+    lines = metrics.filter(F.col("train_loss").isNotNull())
+    lines = main_process_only(lines) if "rank" in metrics.columns else lines
+    return (
+        lines.withWatermark("ts", late)
+        .groupBy(F.window("ts", window), "run", F.expr(f"step div {logging_steps}").alias("bucket"))
+        .agg(F.sum("train_loss").alias("loss"), F.count("train_loss").alias("lines"))
+        .select(F.col("window.start").alias("window_start"), "run", "bucket", "loss", "lines")
+    )
+
+
+def bucket_means(parts: DataFrame) -> DataFrame:
+    """Mean loss per run and step bucket from the parts that the stream has closed."""
+    sums = parts.groupBy("run", "bucket").agg(F.sum("loss").alias("loss"), F.sum("lines").alias("lines"))
+    return sums.select("run", "bucket", (F.col("loss") / F.col("lines")).alias("mean_loss"), "lines")
+
+
 def loss_by_bucket(metrics: DataFrame, logging_steps: int = LOGGING_STEPS) -> DataFrame:
     """Mean loss per run and bucket of steps."""
     return (
