@@ -147,7 +147,8 @@ def _compare(ordered: DataFrame) -> DataFrame:
     """Compare neighbours within each part of the ordered suffixes.
 
     A result has the words added to the left and right and the other document. Groups of
-    equal first words that go on in another part give their windows instead (``w``).
+    equal first words that go on in another part give their windows too (``w``), and
+    which of them the neighbours leave ``asked``.
     """
 
     def run(batches):
@@ -197,19 +198,22 @@ def _compare(ordered: DataFrame) -> DataFrame:
             alone = ~good[row]
             partner[row[alone]] = np.where(key[row] == low, high, low)[alone]
             good[row] = True
-        done = np.flatnonzero(good & ~opened)
-        result = [key[done], at[done], left[done], right[done], partner[done], np.zeros(len(done), np.int64), np.zeros(len(done), bool)]
+        done = np.flatnonzero(good)
+        none = np.zeros(len(done), bool)
+        result = [key[done], at[done], left[done], right[done], partner[done], np.zeros(len(done), np.int64), none, none]
         rows = np.flatnonzero(opened)
         row, a, w = _windows(head[rows], ahead[rows], behind[rows])
         row = rows[row]
-        windows = [key[row], at[row], a, SIDE - a, np.full(len(row), -1), w, np.ones(len(row), bool)]
+        # What the neighbours have shown already is not asked again.
+        asked = (a > left[row]) | (SIDE - a > right[row])
+        windows = [key[row], at[row], a, SIDE - a, np.full(len(row), -1), w, np.ones(len(row), bool), asked]
         arrays = [np.concatenate([x, y]) for x, y in zip(result, windows, strict=True)]
         for start in range(0, len(arrays[0]), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[start : start + 100_000]) for x in arrays], names=["key", "at", "left", "right", "partner", "w", "open"]
+                [pa.array(x[start : start + 100_000]) for x in arrays], names=["key", "at", "left", "right", "partner", "w", "open", "asked"]
             )
 
-    return ordered.mapInArrow(run, "key long, at long, left long, right long, partner long, w long, open boolean")
+    return ordered.mapInArrow(run, "key long, at long, left long, right long, partner long, w long, open boolean, asked boolean")
 
 
 def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,7 +235,7 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     windows = found.filter("open")
     both = windows.groupBy("w").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x != y")
     other = F.when(F.col("key") == F.col("x"), F.col("y")).otherwise(F.col("x"))
-    far = windows.join(both, "w").select("key", "at", "left", "right", other.alias("partner"))
+    far = windows.filter("asked").join(both, "w").select("key", "at", "left", "right", other.alias("partner"))
     matches = found.filter("not open").select("key", "at", "left", "right", "partner").unionByName(far)
     spans = matches.select(
         "key", "partner",
