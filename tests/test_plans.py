@@ -68,3 +68,11 @@ def test_counts_are_combined_before_the_exchange(spark, sf):
 
     text = plan(count_pretokens(fx.read(spark, sf, "documents")))
     assert text.index("partial_count") > text.index("Exchange") and text.count("regexp_extract_all") == 1
+
+
+def test_dictionary_splits_texts_once(spark, sf):
+    from textloom.operators.dictionary import count_with_dictionary
+
+    out = count_with_dictionary(fx.read(spark, sf, "documents"), fx.TOKENIZER, "doc_id")
+    out.collect()
+    assert plan(out).split("== Initial Plan ==")[0].count("FileScan parquet") == 1
