@@ -73,6 +73,10 @@ def test_counts_are_combined_before_the_exchange(spark, sf):
 def test_dictionary_splits_texts_once(spark, sf):
     from textloom.operators.dictionary import count_with_dictionary
 
-    out = count_with_dictionary(fx.read(spark, sf, "documents"), fx.TOKENIZER, "doc_id")
+    out = count_with_dictionary(fx.documents(spark, sf), fx.TOKENIZER, "doc_id")
     out.collect()
     assert plan(out).split("== Initial Plan ==")[0].count("FileScan parquet") == 1
+
+
+def test_both_sides_of_a_pair_are_encoded_in_one_evaluation(spark, sf):
+    assert plan(finetuning.preference_tokens(fx.nested_completions(spark, sf), fx.TOKENIZER)).count("ArrowEvalPython") == 1

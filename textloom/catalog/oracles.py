@@ -384,6 +384,12 @@ ORACLES["training_blocks"] = (
     f"b AS ({block_rows('d', 'source, doc_id')}) {block_summary('source, doc_id, block_no', 'b')}"
 )
 
+ORACLES["stored_training_blocks"] = (
+    ORACLES["training_blocks"].rsplit(", b AS (", 1)[0]
+    + " SELECT source, count(*) AS documents, sum(ceil(len(ids) / 1024.0))::BIGINT AS n_blocks, sum(len(ids))::BIGINT AS n_tokens, "
+    "round(1 - sum(len(ids)) / (sum(ceil(len(ids) / 1024.0)) * 1024), 8) AS pad_share, true AS sorted_in_files, true AS files_apart FROM d GROUP BY 1"
+)
+
 # Evaluation
 
 ORACLES["stage_counts"] = (

@@ -507,6 +507,22 @@ def training_blocks(spark, sf):
     return _block_summary(out, ["source", "doc_id", "block_no"])
 
 
+@register
+def stored_training_blocks(spark, sf):
+    """The build through its sink: what is read back, and whether the files are in shuffle order."""
+    path = fresh_path(spark, "training")
+    storage.write_blocks(pretraining.training_blocks_of_sources(spark, fx.corpus_sources(sf, head=0.1), fx.TOKENIZER), path)
+    stored = storage.read_blocks(spark, path).withColumn("h", seeded_hash("doc_id"))
+    in_files, apart = _order_of_files(stored, ["h", "doc_id", "block_no"])
+    slots = F.sum(F.size("input_ids"))
+    return stored.groupBy("source").agg(
+        F.countDistinct("doc_id").alias("documents"),
+        F.count(F.lit(1)).alias("n_blocks"),
+        F.sum(_n_tokens()).alias("n_tokens"),
+        F.round(1 - F.sum(_n_tokens()) / slots, 8).alias("pad_share"),
+    ).withColumns({"sorted_in_files": F.lit(in_files), "files_apart": F.lit(apart)})
+
+
 # Evaluation and runs
 
 

@@ -225,6 +225,27 @@ class Tokenizer:
             ids = _byte_encode(col)
         return append_eos(ids) if eos else ids
 
+    def encode_each(self, texts: list[Column]) -> Column:
+        """Array with the ids of each text, all encoded in one Python evaluation."""
+        if not self.merges:
+            return F.array(*[_byte_encode(t) for t in texts])
+        ranks = SparkSession.active().sparkContext.broadcast(self._ranks())
+
+        @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+        def encode_lists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            counts: list[np.ndarray] = []
+
+            def inner() -> Iterator[pa.Array]:
+                for batch in batches:
+                    counts.append(batch.value_lengths().to_numpy(zero_copy_only=False))
+                    yield batch.flatten()
+
+            for ids in _encode_batches(inner(), ranks.value):
+                ends = np.cumsum(np.concatenate([[0], counts.pop(0)])).astype(np.int32)
+                yield pa.ListArray.from_arrays(pa.array(ends), ids)
+
+        return encode_lists(F.array(*[pretokens_with_specials(t) for t in texts]))
+
     def decode(self, ids: str | Column, skip_specials: bool = True) -> Column:
         col = F.col(ids) if isinstance(ids, str) else ids
         tokens = [b"" if skip_specials and i < FIRST_BYTE_ID else t for i, t in enumerate(self.tokens)]

@@ -92,11 +92,10 @@ def chat_texts_of_turns(
 
 def _pair_tokens(df: DataFrame, tokenizer: Tokenizer, max_length: int, keep: list[Column]) -> DataFrame:
     """Tokenized chosen and rejected texts from ``instruction, chosen, rejected``."""
-    def ids(response: str) -> Column:
-        return truncate(tokenizer.encode(instruction_response("instruction", response)), max_length)
-
-    tokens = df.select(
-        *keep, ids("chosen").alias("input_ids_chosen"), ids("rejected").alias("input_ids_rejected")
+    sides = ("chosen", "rejected")
+    ids = tokenizer.encode_each([instruction_response("instruction", s) for s in sides])
+    tokens = df.select(*keep, ids.alias("_ids")).select(
+        *keep, *[truncate(F.col("_ids")[i], max_length).alias(f"input_ids_{s}") for i, s in enumerate(sides)]
     )
     masks = {
         f"attention_mask_{side}": attention_mask(F.size(f"input_ids_{side}"), F.size(f"input_ids_{side}"))
