@@ -31,7 +31,7 @@ ORDERS = 2
 COUNT_BITS = 22  # buckets of the frequency table; its size is fixed
 FREQUENT = 32  # tokens of rarer buckets are all alike
 SALTED = 12  # buckets of more than 2 ** SALTED documents are dealt over several tasks
-SIGNATURE = 1024
+SIGNATURE = 4096  # bits; the longer a set, the less a short bitmap tells
 BLOCK = 1024
 FILTER_BITS = 27
 
