@@ -4,10 +4,15 @@ The index is of the benchmark, the queries are all passages of all documents. A
 is skipped for a whole block of items when the largest scores that its rare words can have
 there, and the most that common words add, stay below the threshold; what is left is scored exactly, and an item found is
 verified by the overlap of its question and of its answer with the text around.
+
+A passage cannot hold half of an item much longer than itself, so an item of more than
+``PART`` words is asked for by overlapping parts too, each scored against itself; it is
+verified over its whole length.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -24,6 +29,7 @@ OVERLAP = 0.6  # share of the word runs of a part
 GRAM = 3
 STEP = 32  # words from one passage to the next
 SPAN = 4  # steps of a passage
+PART = STEP * (SPAN - 1)  # words of a part of a long item: a copy lies whole in some passage
 ITEM_BLOCK = 4
 COMMON = 0.03  # share of the items from which on a word is common
 LEADING = 18  # bits of a word hash that find its terms
@@ -54,17 +60,29 @@ def question_and_answer(words: list[bytes], text: str) -> int:
     return max(1, -(-2 * len(words) // 3))
 
 
+def parts(words: list[bytes]) -> list[list[bytes]]:
+    """The item, and if it is longer than ``PART`` words all of it in parts that overlap by half or more."""
+    if len(words) <= PART:
+        return [words]
+    last = len(words) - PART
+    return [words, *[words[at : at + PART] for at in (*range(0, last, PART // 2), last)]]
+
+
 @dataclass
 class Index:
-    """Inverted index of a bounded number of items, ready to ship."""
+    """Inverted index of a bounded number of items, ready to ship.
+
+    What is scored are entries: an item, and the parts of a long one.
+    """
 
     ids: list[int]
     words: list[list[bytes]]
     questions: list[int]
+    items: list[int] = field(default_factory=list)  # by entry: its item
     terms: dict[bytes, int] = field(default_factory=dict)
-    own: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by item: terms, BM25 weight over the item's own score
+    own: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)  # by entry: terms, BM25 weight over the entry's own score
     held: np.ndarray | None = None  # terms of the passage that is being scored
-    rest: np.ndarray | None = None  # by block of items: the most that common words add
+    rest: np.ndarray | None = None  # by block of entries: the most that common words add
     rare: np.ndarray | None = None  # where the blocks of a term start; common terms have none
     blocks: np.ndarray | None = None
     peaks: np.ndarray | None = None  # largest weight of the term in the block
@@ -78,28 +96,29 @@ class Index:
         words = [fold(t) for _, t in rows]
         index = cls(ids, words, [question_and_answer(w, t) for w, (_, t) in zip(words, rows, strict=True)])
         entries = []
-        for item, w in enumerate(words):
+        index.items = [item for item, w in enumerate(words) for _ in parts(w)]
+        for entry, w in enumerate(part for w in words for part in parts(w)):
             own: dict[bytes, float] = {}
-            for term in set(w):
-                tf, df = w.count(term), frequency[term]
+            for term, tf in Counter(w).items():
+                df = frequency[term]
                 idf = np.log(1 + (count - df + 0.5) / (df + 0.5))
                 own[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
             total = sum(own.values())
             numbers = [index.terms.setdefault(term, len(index.terms)) for term in own]
             shares = [value / total for value in own.values()]
             index.own.append((np.array(numbers, np.int64), np.array(shares)))
-            entries += [(t, item, v) for t, v in zip(numbers, shares, strict=True)]
+            entries += [(t, entry, v) for t, v in zip(numbers, shares, strict=True)]
         entries.sort()
         index.held = np.zeros(len(index.terms), bool)
         index.lookup()
         common = {t for w in index.terms for t in [index.terms[w]] if frequency[w] > max(2, COMMON * count)}
-        most = np.zeros(max(len(ids), 1))
+        most = np.zeros(max(len(index.own), 1))
         peaks: dict[tuple[int, int], float] = {}
-        for term, item, value in entries:
+        for term, entry, value in entries:
             if term in common:
-                most[item] += value
+                most[entry] += value
             else:
-                at = term, item // ITEM_BLOCK
+                at = term, entry // ITEM_BLOCK
                 peaks[at] = max(peaks.get(at, 0.0), value)
         index.rest = np.maximum.reduceat(most, np.arange(0, len(most), ITEM_BLOCK))
         index.rare = np.searchsorted([t for t, _ in peaks], np.arange(len(index.terms) + 1))
@@ -130,14 +149,14 @@ class Index:
         return out
 
     def scores(self, terms: np.ndarray, blocks: list[int]) -> Iterator[tuple[int, float]]:
-        """Items of ``blocks`` that reach the threshold for a passage with these distinct terms."""
+        """Items of ``blocks`` of entries that reach the threshold for a passage with these distinct terms."""
         self.held[terms] = True
         for block in blocks:
-            for item in range(block * ITEM_BLOCK, min((block + 1) * ITEM_BLOCK, len(self.own))):
-                own, weights = self.own[item]
+            for entry in range(block * ITEM_BLOCK, min((block + 1) * ITEM_BLOCK, len(self.own))):
+                own, weights = self.own[entry]
                 score = float(weights[self.held[own]].sum())
                 if score >= SCORE:
-                    yield item, score
+                    yield self.items[entry], score
         self.held[terms] = False
 
 
@@ -218,7 +237,8 @@ def contaminated(
     """One row for each document and item it holds: ``key``, ``item_id``, ``score``,
     ``question_overlap``, ``answer_overlap``, ``start`` (word where the best passage begins).
 
-    The score is BM25 of the passage over the item's score with itself. Null and empty
+    The score is BM25 of the passage over the item's score with itself; of an item of more
+    than ``PART`` words it is the largest of the item and its parts. Null and empty
     texts, and items without a word, give no row; rows that repeat a document repeat its
     findings; equal items are all found; a null key or item id stays null. Other columns
     are not read. With no item or no document the result is empty. Items are collected
@@ -283,7 +303,9 @@ def _indexes(benchmark: DataFrame, item: str, item_text: str) -> Iterator:
     """Broadcast indexes of at most ``ITEMS`` items and about ``ITEM_WORDS`` words; weights are of the whole benchmark."""
     spark = benchmark.sparkSession
     items = benchmark.select(F.col(item).cast("bigint").alias("item"), F.col(item_text).alias("text")).filter("text is not null")
-    total = items.agg(F.count("text").alias("n"), F.sum(F.length("text")).alias("chars")).first()
+    # A long item has its words once more, and twice in parts that overlap by half.
+    chars = F.length("text") * F.when(F.length("text") > 6 * PART, 3).otherwise(1)
+    total = items.agg(F.count("text").alias("n"), F.sum(chars).alias("chars")).first()
     turns = max(1, -(-total.n // ITEMS), -(-(total.chars or 0) // (6 * ITEM_WORDS)))
     words = _benchmark_words(items)
     length = words.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("words")).first()
