@@ -12,6 +12,7 @@ verified over its whole length.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -211,24 +212,38 @@ def _slice_found(index: Index, texts: pa.Array, offset: int, hashes: np.ndarray,
     for b in np.flatnonzero(index.rest >= SCORE * (1 - 1e-6)):  # items of common words alone
         for s in range(count):
             asked.setdefault(s, set()).add(int(b))
-    best: dict[tuple[int, int], tuple[float, int]] = {}
+    # By row and item: the largest score of each passage that reaches the threshold.
+    asked_for: dict[tuple[int, int], dict[int, float]] = {}
     for s in sorted(asked):
         end = min(s + SPAN, first_step[row_of[s] + 1])
         distinct = np.unique(term[starts[s] : starts[end]])
         for item, score in index.scores(distinct, sorted(asked[s])):
-            found = (int(row_of[s]), item)
-            if score > best.get(found, (0.0, 0))[0]:
-                best[found] = (score, int(s - first_step[row_of[s]]) * STEP)
-    words = {row: fold(texts[offset + row].as_py()) for row, _ in best}
-    for (row, item), (score, start) in best.items():
-        own, q = index.words[item], index.questions[item]
-        size = max(1, min(GRAM, q, len(own) - q))
-        # The item may begin before or end after the passage that scores best.
-        text = words[row][max(0, start - len(own)) : start + SPAN * STEP + len(own)]
-        around = runs(text, size)
+            passages = asked_for.setdefault((int(row_of[s]), item), {})
+            start = int(s - first_step[row_of[s]]) * STEP
+            passages[start] = max(score, passages.get(start, 0.0))
+    words = {row: fold(texts[offset + row].as_py()) for row, _ in asked_for}
+    for (row, item), passages in asked_for.items():
+        found = verified(words[row], index.words[item], index.questions[item], passages)
+        if found:
+            yield row, item, *found
+
+
+def verified(words: list[bytes], own: list[bytes], q: int, passages: dict[int, float]) -> tuple[float, float, float, int] | None:
+    """Score, overlaps and start of the best passage around which question and answer stand, the first of equals."""
+    size = max(1, min(GRAM, q, len(own) - q))
+    # The item may begin before or end after a passage.
+    low, high = max(0, min(passages) - len(own)), max(passages) + SPAN * STEP + len(own)
+    text, wanted = words[low:high], runs(own[:q], size) | runs(own[q:], size)
+    grams = [b" ".join(text[i : i + size]) for i in range(len(text) - size + 1)]
+    places = [i for i, gram in enumerate(grams) if gram in wanted]
+    for start, score in sorted(passages.items(), key=lambda x: (-x[1], x[0])):
+        begin = bisect_left(places, start - len(own) - low)
+        end = bisect_right(places, start + SPAN * STEP + len(own) - size - low)
+        around = {grams[i] for i in places[begin:end]}
         asked, answered = overlap(own[:q], around, size), overlap(own[q:], around, size)
         if asked >= OVERLAP and (answered >= OVERLAP or not own[q:]):
-            yield row, item, score, asked, answered, start
+            return score, asked, answered, start
+    return None
 
 
 def contaminated(
