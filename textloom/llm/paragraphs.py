@@ -15,7 +15,7 @@ from textloom.llm.ngram_join import FILTER_BITS, block_pairs, bounded, ordered,
 from textloom.llm.words import SHINGLE, mixed, shingle_sets
 from textloom.workspace import write_through
 
-MIN_WORDS = 20
+MIN_WORDS = 1
 PERCENT = 80
 RECALL = 0.999
 SIGNATURE = 256
@@ -85,7 +85,7 @@ def _table(docs: DataFrame, min_words: int, bands: int, rows: int, size: int) ->
 
 
 def _shared_bands(table: DataFrame) -> DataFrame:
-    """``key, t`` of bands that several paragraphs have; a bitmap of bounded size goes before the join."""
+    """``key, t`` of bands that several paragraphs of ``key, bands`` have; a bitmap of bounded size goes before the join."""
     spark = table.sparkSession
     every = table.select("key", F.explode("bands").alias("t"))
     many = every.groupBy("t").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x != y").select("t")
@@ -108,7 +108,7 @@ def _shared_bands(table: DataFrame) -> DataFrame:
             inside = (shared.value[spot >> 6] >> (spot & 63)) & 1 == 1
             yield pa.RecordBatch.from_arrays([pa.array(keys[inside]), pa.array(t[inside])], names=["key", "t"])
 
-    return table.select("key", "bands").mapInArrow(run, "key long, t long").join(many, "t")
+    return table.mapInArrow(run, "key long, t long").join(many, "t")
 
 
 def near_paragraphs(
@@ -120,8 +120,9 @@ def near_paragraphs(
     and ``cluster_paragraph`` (the first of its cluster by key and line, which stays) and
     ``removed``. Clusters are the components of links with
     ``100 * intersection >= percent * union`` over distinct runs of ``size`` words in lower
-    case. Paragraphs of fewer than ``min_words`` words are left alone, so null and empty
-    texts give no row. Equal paragraphs, in one document or several, are one cluster; rows
+    case; fewer than ``size`` words are one run. Paragraphs of fewer than ``min_words``
+    words are left alone; without a word there is no paragraph, so null and empty texts
+    give no row. Equal paragraphs, in one document or several, are one cluster; rows
     that repeat a key hold paragraphs of their own. A null key stays null and comes first.
     Other columns are not read; an empty table gives an empty result.
     """
@@ -130,11 +131,15 @@ def near_paragraphs(
     table = write_through(_table(docs, min_words, bands, rows, size), "paragraphs")
     features = table.select("key", "n", "sig")
     texts = table.select("key", "text")
-    classes = table.groupBy("d1", "d2").agg(F.min("key").alias("rep"))
-    members = write_through(table.select("key", "d1", "d2").join(classes, ["d1", "d2"]).select("key", "rep"), "members")
-    # Equal paragraphs share all bands; one of them goes on.
-    shared = _shared_bands(table).join(members, "key").select("t", F.col("rep").alias("key")).distinct()
-    shared = write_through(shared, "postings")
+    # Stored, so that the join can split the many rows of a very common line.
+    classes = table.groupBy("d1", "d2").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("size"))
+    classes = write_through(classes.filter("size > 1").drop("size"), "classes")
+    members = table.select("key", "d1", "d2").join(classes, ["d1", "d2"], "left")
+    members = write_through(members.select("key", F.coalesce("rep", "key").alias("rep")), "members")
+    # One of equal paragraphs goes on; two unlike sets need at least so many shingles to be near.
+    single = members.filter("key = rep").select("key")
+    able = table.filter(F.col("n") * (100 - percent) >= percent).select("key", "bands").join(single, "key", "left_semi")
+    shared = write_through(_shared_bands(write_through(able, "bands")), "postings")
     first = F.min(F.struct(F.xxhash64("key").alias("h"), F.col("key").alias("k")))["k"]
     pivots = shared.groupBy("t").agg(F.count(F.lit(1)).alias("size"), first.alias("pivot")).filter("size > 1")
     pivots = write_through(pivots, "pivots")
@@ -163,6 +168,7 @@ def near_paragraphs(
         .agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("doc", "paragraph", "key")).alias("kept"))
         .filter("size > 1")
     )
+    sizes = write_through(sizes, "sizes")
     return placed.join(sizes, "cluster").select(
         F.col("doc").alias(key), "paragraph", F.col("n").alias("n_shingles"),
         F.col("kept.doc").alias("cluster_doc"), F.col("kept.paragraph").alias("cluster_paragraph"),
