@@ -5,6 +5,10 @@ hash lowest in a window, so equal passages keep the same suffixes wherever they
 Of the kept suffixes, those whose first words stand in another document too are put in
 one order over the whole corpus; neighbours are compared and extended right and left.
 
+Documents that share a run of 50 words are linked: neighbours with each other where they
+chain a whole group of equal first words, else each document with the smallest that has
+the run. The components of these links are those of all shared passages.
+
 A passage of 50 equal words keeps a suffix at one of its first 16 words, so the 35 words
 from there are equal, and 15 words to each side are enough to decide it.
 """
@@ -16,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from textloom.llm.components import connected_components
 from textloom.llm.words import grams, hashed_rows, mixed
 from textloom.workspace import write_through
 
@@ -25,6 +30,7 @@ SEED = 16  # words whose hash selects suffixes
 AHEAD = LEAST - WINDOW + 1  # words that must be equal from a kept suffix on
 SIDE = WINDOW - 1  # words of context to each side of them
 FILTER_BITS = 27
+MATCH, ASKED, SHARED, LINK = range(4)  # kinds of rows that a comparison gives
 
 
 def anchors(hashes: np.ndarray) -> np.ndarray:
@@ -146,9 +152,11 @@ def _windows(head: np.ndarray, ahead: np.ndarray, behind: np.ndarray) -> tuple[n
 def _compare(ordered: DataFrame) -> DataFrame:
     """Compare neighbours within each part of the ordered suffixes.
 
-    A result has the words added to the left and right and the other document. Groups of
-    equal first words that go on in another part give their windows too (``w``), and
-    which of them the neighbours leave ``asked``.
+    Kinds of rows: a match has the words added to the left and right and the other
+    document (``partner``); a link has two documents that share a run of ``LEAST`` words.
+    Groups of equal first words that go on in another part also give each of their
+    windows (``w``) with its smallest (``key``) and largest document (``partner``) here,
+    and those windows of a suffix that the neighbours leave to be asked for.
     """
 
     def run(batches):
@@ -171,17 +179,25 @@ def _compare(ordered: DataFrame) -> DataFrame:
         before = np.concatenate([[0], other])[run_of] - 1  # nearest row before of another document
         after = np.concatenate([other, [n]])[run_of]
         best, left, right, partner = np.full(n, -1), np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, -1)
+        pairs = []  # documents that share a run
+        chained = np.zeros(len(other) + 1, bool)  # by run of one document: the run before shares words enough
+        chained[np.concatenate([[0], run_of[first[1:][np.diff(first) > 0]]])] = True
         for near in (before, after):
             ok = np.flatnonzero((near >= first) & (near <= last))
             r, lft = _common(ahead[ok], ahead[near[ok]]), _common(behind[ok], behind[near[ok]])
+            link = ok[r + lft >= SIDE]
+            pairs.append(np.stack([np.maximum(key[link], key[near[link]]), np.minimum(key[link], key[near[link]])], 1))
+            chained[np.maximum(run_of[link], run_of[near[link]])] = True
             better = r + lft > best[ok]
             ok, r, lft = ok[better], r[better], lft[better]
             best[ok], left[ok], right[ok], partner[ok] = r + lft, lft, r, key[near[ok]]
         good = best >= SIDE
+        # Words shared with a neighbour that are too few count for nothing.
+        left[~good], right[~good] = 0, 0
         opened = (first == 0) | (last == n - 1)
         # A document further away may share other words than the neighbours do: the runs of such groups are counted.
         more = np.zeros(len(turn) + 1, bool)
-        more[group[(best < 2 * SIDE) & ~opened]] = True
+        more[group[((best < 2 * SIDE) | ~chained[run_of]) & ~opened]] = True
         more &= np.bincount(group, minlength=len(more)) > 2
         rows = np.flatnonzero(more[group])
         if len(rows):
@@ -193,27 +209,39 @@ def _compare(ordered: DataFrame) -> DataFrame:
             low, high = key[row[edge[:-1]]][of], key[row[edge[1:] - 1]][of]
             hit = low != high
             row, a, low, high = row[hit], a[hit], low[hit], high[hit]
+            pairs.append(np.stack([key[row], low], 1))
             np.maximum.at(left, row, a)
             np.maximum.at(right, row, SIDE - a)
             alone = ~good[row]
             partner[row[alone]] = np.where(key[row] == low, high, low)[alone]
             good[row] = True
         done = np.flatnonzero(good)
-        none = np.zeros(len(done), bool)
-        result = [key[done], at[done], left[done], right[done], partner[done], np.zeros(len(done), np.int64), none, none]
+        nothing = np.zeros(len(done), np.int64)
+        kinds = [(MATCH, key[done], at[done], left[done], right[done], partner[done], nothing)]
         rows = np.flatnonzero(opened)
         row, a, w = _windows(head[rows], ahead[rows], behind[rows])
         row = rows[row]
         # What the neighbours have shown already is not asked again.
-        asked = (a > left[row]) | (SIDE - a > right[row])
-        windows = [key[row], at[row], a, SIDE - a, np.full(len(row), -1), w, np.ones(len(row), bool), asked]
-        arrays = [np.concatenate([x, y]) for x, y in zip(result, windows, strict=True)]
+        asked = np.flatnonzero((a > left[row]) | (SIDE - a > right[row]))
+        kinds.append((ASKED, key[row[asked]], at[row[asked]], a[asked], SIDE - a[asked], np.full(len(asked), -1), w[asked]))
+        order = np.lexsort((key[row], w))
+        k, w = key[row[order]], w[order]
+        begin = np.flatnonzero(np.diff(w, prepend=w[:1] - 1)) if len(w) else np.empty(0, np.int64)
+        end = np.append(begin[1:], len(w)) - 1 if len(w) else begin
+        nothing = np.zeros(len(begin), np.int64)
+        kinds.append((SHARED, k[begin], nothing, nothing, nothing, k[end], w[begin]))
+        pairs.append(np.stack([k, np.repeat(k[begin], end + 1 - begin)], 1))
+        pairs = np.concatenate(pairs)
+        pairs = np.unique(pairs[pairs[:, 0] != pairs[:, 1]], axis=0)
+        nothing = np.zeros(len(pairs), np.int64)
+        kinds.append((LINK, pairs[:, 0], nothing, nothing, nothing, pairs[:, 1], nothing))
+        arrays = [np.concatenate(x) for x in zip(*[[*columns, np.full(len(columns[0]), kind)] for kind, *columns in kinds], strict=True)]
         for start in range(0, len(arrays[0]), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x[start : start + 100_000]) for x in arrays], names=["key", "at", "left", "right", "partner", "w", "open", "asked"]
+                [pa.array(x[start : start + 100_000]) for x in arrays], names=["key", "at", "left", "right", "partner", "w", "kind"]
             )
 
-    return ordered.mapInArrow(run, "key long, at long, left long, right long, partner long, w long, open boolean, asked boolean")
+    return ordered.mapInArrow(run, "key long, at long, left long, right long, partner long, w long, kind long")
 
 
 def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -221,8 +249,9 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     Words are runs of other characters than space and U+0009 to U+000D, compared as they
     are. Columns ``key``, ``n_words_repeated``, ``spans`` (array of word ``start`` and
-    ``end``, merged where they meet) and ``partners`` (documents that neighbours were
-    found in). ``key`` is an integer. Null, empty and shorter texts have no passage; rows
+    ``end``, merged where they meet), ``partners`` (documents that neighbours were
+    found in, not all) and ``component_id`` (the smallest document of all that shared
+    passages connect, also over others; its copy is the one to keep). ``key`` is an integer. Null, empty and shorter texts have no passage; rows
     with a null key are left out; rows that repeat a key are one document, so their
     passages count only if another key has them. Other columns are not read. An empty
     table gives an empty result.
@@ -232,11 +261,14 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
     stored = write_through(_suffixes(docs, table, bits), "suffixes")
     order = ["head", "ahead", "behind", "key", "at"]
     found = write_through(_compare(stored.repartitionByRange(*order).sortWithinPartitions(*order)), "matches")
-    windows = found.filter("open")
-    both = windows.groupBy("w").agg(F.min("key").alias("x"), F.max("key").alias("y")).filter("x != y")
+    shared = found.filter(F.col("kind") == SHARED).select("w", "key", "partner")
+    both = shared.groupBy("w").agg(F.min("key").alias("x"), F.max("partner").alias("y")).filter("x != y")
+    both = write_through(both, "windows")
     other = F.when(F.col("key") == F.col("x"), F.col("y")).otherwise(F.col("x"))
-    far = windows.filter("asked").join(both, "w").select("key", "at", "left", "right", other.alias("partner"))
-    matches = found.filter("not open").select("key", "at", "left", "right", "partner").unionByName(far)
+    far = found.filter(F.col("kind") == ASKED).join(both, "w").select("key", "at", "left", "right", other.alias("partner"))
+    matches = found.filter(F.col("kind") == MATCH).select("key", "at", "left", "right", "partner").unionByName(far)
+    near = found.filter(F.col("kind") == LINK).select(F.col("key").alias("a"), F.col("partner").alias("b"))
+    component = connected_components(near.unionByName(shared.join(both, "w").select(F.col("key").alias("a"), F.col("x").alias("b"))))
     spans = matches.select(
         "key", "partner",
         F.struct((F.col("at") - F.col("left")).alias("start"), (F.col("at") + AHEAD + F.col("right")).alias("end")).alias("s"),
@@ -264,4 +296,5 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text") ->
             )
 
     schema = "key long, n_words_repeated long, spans array<struct<start:long,end:long>>, partners array<long>"
-    return per_doc.mapInArrow(run, schema).withColumnRenamed("key", key)
+    named = component.select(F.col("node").alias("key"), F.col("component").alias("component_id"))
+    return per_doc.mapInArrow(run, schema).join(named, "key", "left").withColumnRenamed("key", key)
