@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, fertility, ngram_join, paragraphs, rollups, secrets, sparse_suffix, training_order, url_lists
+from textloom.llm import bpe, decontaminate, fertility, ngram_join, paragraphs, rollups, runs, secrets, sparse_suffix, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +148,45 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.judge(pages, url_lists.intervals(list_entries(pages))).drop("url")
 
 
+def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document's words, by the checksum of its number, go on with a period of their own from some word on."""
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` with the words of some documents made to repeat; the others are as they were."""
+
+    def run(batches):
+        for batch in batches:
+            texts = []
+            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
+                words = (text or b"").split()
+                made = repeating(key, words)
+                texts.append(text if made is words else b" ".join(made))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(with_repeats(documents(spark, sf_dir)))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("at"), (-r["period"]).alias("p")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = F.array_max(ranked)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        (-best["at"]).alias("start"), best["length"].alias("length"), (-best["p"]).alias("period"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).withColumn("exponent_milli", F.expr("(1000 * length) div period"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -157,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "op8_fertility": op8_fertility,
     "op9_paragraphs": op9_paragraphs,
     "op10_url_lists": op10_url_lists,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 
