@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, fertility, ngram_join, paragraphs, rollups, runs, secrets, sparse_suffix, training_order, url_lists
+from textloom.llm import bpe, decontaminate, fertility, merkle, ngram_join, paragraphs, rollups, runs, secrets, sparse_suffix, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,6 +187,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("exponent_milli", F.expr("(1000 * length) div period"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of every document; in a seventh of them, by the checksum of the number, one more character is claimed."""
+    docs = documents(spark, sf_dir)
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    longer = F.col("n_chars").cast("decimal(38,0)") + 1
+    changed = merkle.field_hash([longer if c == "n_chars" else F.col(c) for c in columns])
+    claimed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, changed)
+    return merkle.proofs(merkle.manifest(docs, "doc_id", "lang", columns, claimed)).withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_bpe": op1_bpe,
     "op2_secrets": op2_secrets,
@@ -199,6 +209,7 @@ QUERIES: dict[str, Query] = {
     "op9_paragraphs": op9_paragraphs,
     "op10_url_lists": op10_url_lists,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle": op13_merkle,
 }
 
 
