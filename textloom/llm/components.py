@@ -7,30 +7,37 @@ from pyspark.sql import functions as F
 
 from textloom.workspace import cut_lineage
 
+HUBS = 1024
+SMALL = 1000  # as many links are never too many for one task
+
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node`` and ``component`` (its smallest node) of every node of a link between two nodes.
 
     Large-star and small-star steps in turn: each points nodes at the smallest neighbour
     known, so the longest path shrinks by half about every round. A minimum per node is
-    a partial aggregate, and each step is joined by node, so a node with very many links
-    never has them gathered. Links with a null end and links to oneself count for nothing.
+    a partial aggregate; it is joined back by node, for nodes with more than a
+    ``HUBS``-th of all links by a broadcast (there are at most twice as many as ``HUBS``),
+    so the links of a node never meet in one task. Links with a null end and links to
+    oneself count for nothing.
     """
     x, y = F.col(a), F.col(b)
     links = links.filter(x.isNotNull() & y.isNotNull() & (x != y))
     links = cut_lineage(links.select(F.greatest(x, y).alias("hi"), F.least(x, y).alias("lo")).distinct())
     state = _state(links)
     while True:
+        most = max(SMALL, 2 * state[0] // HUBS)
         # Every larger neighbour of a node is pointed at the node's smallest neighbour.
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        least = least.select("u", F.least("u", "m").alias("m"), "n")
+        large = _with_least(both.filter("v > u"), least, "u", most).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         # A node and its smaller neighbours are pointed at the smallest of them.
         large = cut_lineage(large.filter("hi != lo").distinct())
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
+        least = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = _with_least(large, least, "hi", most).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         small = small.filter("hi != lo").unionByName(least.select("hi", F.col("m").alias("lo")))
         links = cut_lineage(small.distinct())
         last, state = state, _state(links)
@@ -40,6 +47,13 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
 
 
+def _with_least(rows: DataFrame, least: DataFrame, key: str, most: int) -> DataFrame:
+    """``rows`` with ``m`` of their key; keys with more than ``most`` links do not go through the shuffle."""
+    hubs = F.broadcast(least.filter(F.col("n") > most).select(key, "m"))
+    rest = rows.join(hubs.drop("m"), key, "left_anti").join(least.filter(F.col("n") <= most).select(key, "m"), key)
+    return rows.join(hubs, key).select(*rest.columns).unionByName(rest)
+
+
 def _state(links: DataFrame) -> tuple:
     row = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
     return tuple(row)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textloom.llm import bpe, decontaminate, fertility, merkle, ngram_join, paragraphs, rollups, runs, secrets, sparse_suffix, training_order, url_lists
+from textloom.llm import bpe, decontaminate, fertility, merkle, ngram_join, paragraphs, rollups, runs, secrets, simhash, sparse_suffix, training_order, url_lists
 from textloom.workspace import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +148,10 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_lists.judge(pages, url_lists.intervals(list_entries(pages))).drop("url")
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Every tenth document's words, by the checksum of its number, go on with a period of their own from some word on."""
     n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
@@ -208,6 +212,7 @@ QUERIES: dict[str, Query] = {
     "op8_fertility": op8_fertility,
     "op9_paragraphs": op9_paragraphs,
     "op10_url_lists": op10_url_lists,
+    "op11_simhash": op11_simhash,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_merkle": op13_merkle,
 }
