@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import pytest
 from conftest_llm import edge_rows
@@ -9,10 +10,20 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from textloom.llm import runs
-from textloom.llm.queries import op12_periodic_runs, repeating
+from textloom.llm.queries import op12_periodic_runs, with_repeats
 from textloom.llm.words import hash_words
 
 
+def repeating(doc_id, words):
+    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
 def plain_runs(words, min_length=6, min_exponent=4):
     n, found = len(words), []
     for p in range(1, n // min_exponent + 1):
@@ -88,6 +99,16 @@ def test_one_very_long_text(spark):
     assert [tuple(r) for r in row.runs] == [(1, 280_000, 7)] and row.collapsed == "lead a b c d e f g tail"
 
 
+def test_planted_repeats(spark):
+    texts = [None, "", " \t\n\x0b\x0c\r ", "one", "a b", "  x\ty\n\nz\x0bw\x1cv\u3000u ", " ".join(f"w{i}" for i in range(90))]
+    rows = [(100 * i + k, t) for k, t in enumerate(texts) for i in range(40)] + [(None, "a b")]
+    for key, text in with_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        before = texts[key % 100] if key is not None else "a b"
+        words = (before or "").encode().split()
+        assert (text or "").encode().split() == repeating(key, words)
+        assert text == before or zlib.crc32(str(key).encode()) % 10 == 0
+
+
 def test_query(spark, sf):
     rows = {r.doc_id: r for r in op12_periodic_runs(spark, sf).collect()}
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -152,30 +150,17 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
-def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
-    """Every tenth document's words, by the checksum of its number, go on with a period of their own from some word on."""
-    n, h = len(words), 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
-    if h % 10 or not n:
-        return words
-    g = h // 10
-    a = g % n
-    p = 1 + (n - a) // (3 + g % 8)
-    return words[:a] + [words[a + i % p] for i in range(n - a)]
-
-
 def with_repeats(docs: DataFrame) -> DataFrame:
-    """``doc_id, text`` with the words of some documents made to repeat; the others are as they were."""
-
-    def run(batches):
-        for batch in batches:
-            texts = []
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                words = (text or b"").split()
-                made = repeating(key, words)
-                texts.append(text if made is words else b" ".join(made))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.binary()).cast(pa.string())], names=["doc_id", "text"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, text string")
+    """``doc_id, text``; every tenth document's words, by the checksum of its number, go on with a period of their own from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = r"filter(split(text, '[ \\t\\n\\x0B\\f\\r]+'), x -> x != '')"
+    # The words, and what follows from their number, are bound once by a lambda of one element.
+    made = f"""transform(transform(array({words}), w -> struct(w, size(w) as n, cast(_g % size(w) as int) as a)),
+        s -> array_join(transform(sequence(0, s.n - 1), i -> s.w[if(i < s.a, i,
+            s.a + (i - s.a) % cast(1 + (s.n - s.a) div (3 + _g % 8) as int))]), ' '))[0]"""
+    repeats = (h % 10 == 0) & F.regexp_like("text", F.lit(r"[^ \t\n\x0B\f\r]"))
+    placed = docs.select("doc_id", "text", F.expr("crc32(cast(doc_id as string)) div 10").alias("_g"))
+    return placed.select("doc_id", F.when(repeats, F.expr(made)).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
