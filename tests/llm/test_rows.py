@@ -270,9 +270,12 @@ def test_rollups_follow_changes_and_repeats(spark, nothing):
     ]
     store = fresh_path(spark, "test-rollups")
     for i, rows in enumerate(batches, 1):
-        rollups.apply_batch(store, i, list(range(1, i)), spark.createDataFrame(rows, schema))
-        rollups.apply_batch(store, i, list(range(1, i)), spark.createDataFrame(rows[::-1], schema))
-    rollups.apply_batch(store, 2, [1], spark.createDataFrame(batches[1], schema))
+        assert rollups.apply_batch(store, i, spark.createDataFrame(rows, schema))
+        assert not rollups.apply_batch(store, i, spark.createDataFrame(rows[::-1], schema))
+        if i == 2:
+            rollups.snapshot(spark, store)
+            rollups.snapshot(spark, store)
+    assert not rollups.apply_batch(store, 2, spark.createDataFrame(batches[1], schema))
 
     state, sums = {}, collections.Counter()
     for rows in batches:
@@ -287,9 +290,45 @@ def test_rollups_follow_changes_and_repeats(spark, nothing):
     for s, lang, v, n in state.values():
         sums[s, lang, v, "n"] += 1
         sums[s, lang, v, "t"] += n
-    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in rollups.totals(spark, store, [1, 2, 3]).collect()}
+    got = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in rollups.totals(spark, store).collect()}
     assert got == {k[:3]: (sums[(*k[:3], "n")], sums[(*k[:3], "t")]) for k in sums}
-    assert rollups.totals(spark, store, []).count() == 0
+    assert rollups.totals(spark, fresh_path(spark, "test-rollups")).count() == 0
+
+
+def test_batches_with_other_content_gaps_and_lost_drivers(spark, monkeypatch):
+    schema = "key string, source string, lang string, tokenizer string, n_tokens long, deleted boolean"
+    rows = lambda n: spark.createDataFrame([("a", "s", "en", "v", n, False)], schema)
+    tokens = lambda: [r.n_tokens for r in rollups.totals(spark, store).collect()]
+    store = fresh_path(spark, "test-rollups")
+    rollups.apply_batch(store, 1, rows(10))
+    rollups.apply_batch(store, 2, rows(7))
+    for batch in (1, 2):
+        with pytest.raises(ValueError):
+            rollups.apply_batch(store, batch, rows(99))
+    with pytest.raises(ValueError):
+        rollups.apply_batch(store, 4, rows(1))
+    assert tokens() == [7]
+    # A driver that is lost before the record leaves parts that nothing reads.
+    with monkeypatch.context() as m:
+        m.setattr(rollups, "_commit", lambda *a: (_ for _ in ()).throw(RuntimeError()))
+        with pytest.raises(RuntimeError):
+            rollups.apply_batch(store, 3, rows(50))
+    assert tokens() == [7]
+    rollups.apply_batch(store, 3, rows(5))
+    assert tokens() == [5]
+    empty = rows(1).limit(0)
+    assert rollups.apply_batch(store, 4, empty) and not rollups.apply_batch(store, 4, empty) and tokens() == [5]
+
+
+def test_snapshots_come_by_themselves(spark, monkeypatch):
+    monkeypatch.setattr(rollups, "SNAPSHOT_EVERY", 2)
+    schema = "key int, source string, lang string, tokenizer string, n_tokens long, deleted boolean"
+    store = fresh_path(spark, "test-rollups")
+    for i in range(1, 6):
+        rollups.apply_batch(store, i, spark.createDataFrame([(k, "s", "en", "v", i, False) for k in range(i, i + 3)], schema))
+    assert [(r.batch, r.kind) for r in rollups.commits(spark, store) if r.kind == "snapshot"] == [(2, "snapshot"), (4, "snapshot")]
+    assert len(rollups._live(rollups.commits(spark, store))) == 2
+    assert [(r.n_docs, r.n_tokens) for r in rollups.totals(spark, store).collect()] == [(7, 1 + 2 + 3 + 4 + 5 + 5 + 5)]
 
 
 def test_rollups_query(spark, sf):

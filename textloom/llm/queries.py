@@ -86,15 +86,16 @@ def op7_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select(F.col("doc_id").alias("key"), "text", "source", "lang")
     store, name = fresh_path(spark, "rollups"), "byte_bpe_50k"
     whole = rollups.count_tokens(docs, byte_ranks(), name).drop("text").withColumn("deleted", F.lit(False))
-    rollups.apply_batch(store, 1, [], whole)
+    rollups.apply_batch(store, 1, whole)
     withdrawn = docs.filter("source = 'src3'").drop("text")
     withdrawn = withdrawn.withColumns({"n_tokens": F.lit(0), "tokenizer": F.lit(name), "deleted": F.lit(True)})
-    rollups.apply_batch(store, 2, [1], withdrawn)
+    rollups.apply_batch(store, 2, withdrawn)
     squeezed = docs.filter("lang = 'fr'").withColumn("text", F.trim(F.regexp_replace("text", r"\s+", " ")))
     revised = rollups.count_tokens(squeezed, byte_ranks(), name).drop("text").withColumn("deleted", F.lit(False))
-    rollups.apply_batch(store, 3, [1, 2], revised)
-    rollups.apply_batch(store, 2, [1], withdrawn)
-    return rollups.totals(spark, store, [1, 2, 3])
+    rollups.snapshot(spark, store)
+    rollups.apply_batch(store, 3, revised)
+    rollups.apply_batch(store, 2, withdrawn)
+    return rollups.totals(spark, store)
 
 
 def op8_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
