@@ -1,6 +1,7 @@
 """Operators on pairs of documents, against comparison of everything with everything."""
 
 import collections
+import random
 
 import pytest
 from conftest_llm import edge_rows, same
@@ -8,6 +9,7 @@ from conftest_llm import edge_rows, same
 from textloom.llm import ngram_join, paragraphs, sparse_suffix
 from textloom.llm.components import connected_components
 from textloom.llm.queries import op6_sparse_suffix, op9_paragraphs
+from textloom.llm.words import grams, hash_words, mixed
 
 
 def shingles(text, size=5):
@@ -104,22 +106,44 @@ def test_repeats_query(spark, sf):
     assert {r.doc_id: r.n_words_repeated for r in op6_sparse_suffix(spark, sf).collect()} == plain_repeats(rows)
 
 
-def plain_paragraphs(rows, min_words=20):
-    lines = [
-        (d, i, n) for n, (d, t) in enumerate(rows) for i, line in enumerate((t or "").split("\n") if t else [])
-        if len(line.encode().split()) >= min_words
-    ]
-    sets = [shingles(rows[n][1].split("\n")[i]) for _, i, n in lines]
-    part = components(range(len(lines)), linked(sets))
+def plain_units(text, least=30):
+    """Paragraphs and pieces by their first word and number of words."""
+    words, paragraphs, begin, at = [], [], 0, 0
+    for line in (text or "").encode().lower().split(b"\n"):
+        words += line.split()
+        if len(words) - begin >= least:
+            paragraphs.append([begin, len(words)])
+            begin = len(words)
+    if paragraphs:
+        paragraphs[-1][1] = len(words)
+    else:
+        words = []
+    anchor = hash_words(words)
+    anchor = mixed(grams(anchor, 3)) if len(anchor) > 2 else anchor
+    places = len(words) - least + 1
+    pieces = set()
+    for at in range(max(1, places - 30) if places > 0 else 0):
+        pieces.add(min(range(at, min(at + 31, places)), key=lambda i: (anchor[i], i)))
+    return words, paragraphs, sorted(pieces)
+
+
+def plain_paragraphs(rows):
+    """``kind, doc, start, words, first doc, its start`` of all that is repeated."""
+    lines, sets, pieces = [], [], collections.defaultdict(list)
+    for d, t in rows:
+        words, paragraphs, starts = plain_units(t)
+        for i, j in paragraphs:
+            lines.append((d, i, j - i))
+            sets.append(frozenset(tuple(words[k : k + 5]) for k in range(i, j - 4)))
+        for i in starts:
+            pieces[tuple(words[i : i + 30])].append(("piece", d, i, 30))
     groups = collections.defaultdict(list)
-    for x, root in part.items():
-        groups[root].append(x)
+    for x, root in components(range(len(lines)), linked(sets)).items():
+        groups[root].append(("paragraph", *lines[x]))
     out = []
-    for members in groups.values():
-        if len(members) > 1:
-            rank = lambda x: (lines[x][0] is not None, lines[x][0] or 0, lines[x][1])
-            first = min(members, key=rank)
-            out += [(lines[x][0], lines[x][1], len(sets[x]), lines[first][0], lines[first][1]) for x in members]
+    for members in [*groups.values(), *pieces.values()]:
+        first = min(members, key=lambda m: (m[1] is not None, m[1] or 0, m[2]))
+        out += [(*m, *first[1:3]) for m in members if len(members) > 1]
     return out
 
 
@@ -127,8 +151,9 @@ def test_paragraphs_of_edges(edges, nothing):
     got = paragraphs.near_paragraphs(edges)
     want = plain_paragraphs([r[:2] for r in edge_rows()])
     same(got.drop("removed").collect(), want)
-    clusters = {(r[3], r[4]) for r in want}
-    assert got.filter("not removed").count() == len(clusters)
+    assert {r[0] for r in want} == {"paragraph", "piece"}
+    clusters = {(r.kind, r.cluster_doc, r.cluster_start) for r in got.filter("not removed").collect()}
+    assert clusters == {(r[0], r[4], r[5]) for r in want}
     assert paragraphs.near_paragraphs(nothing).count() == 0
 
 
@@ -137,6 +162,35 @@ def test_paragraphs_query(spark, sf):
     same(op9_paragraphs(spark, sf).drop("removed").collect(), plain_paragraphs(rows))
 
 
+def test_a_passage_anywhere_has_a_piece(spark):
+    """60 words over several lines or inside one, after any number of other words."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(60)]
+    rows = []
+    for i in range(40):
+        before, after = ([word() for _ in range(rng.randrange(90))] for _ in range(2))
+        cut = rng.randrange(60)
+        inside = " ".join(passage[:cut]) + rng.choice((" ", "\n")) + " ".join(passage[cut:])
+        rows.append((i, " ".join(before) + rng.choice((" ", "\n")) + inside + " " + " ".join(after)))
+    got = paragraphs.near_paragraphs(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id for r in got.collect()} == set(range(40))
+
+
+def test_cells_let_out_no_more_links_than_rows(spark):
+    """A large group of near copies around the threshold: components are right and links few."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.randrange(2, 7)):
+            words[rng.randrange(120)] = f"x{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    got = ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    same(got.collect(), plain_join(rows))
+
+
 def test_bands_are_tuned_for_recall():
     bands, rows = paragraphs.tune(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 > 1 - (1 - 0.8**rows) ** (bands - 1)

@@ -6,8 +6,10 @@ rare tokens first: the first order gives the candidates, every further one must
 and a bitmap bounds the difference, before sets are moved and compared.
 
 Classes, not pairs: equal sets count once. Within the bucket of a token each document is
-compared with one pivot; what these links leave in different components is compared in
-blocks of bounded size. No link that could join two components is left out.
+compared with one pivot. What these links leave in different components is grouped by the
+bitmaps into clusters, and the sets of a cluster are compared in cells of bounded size,
+which let out only links that join what was apart. No link that could join two components
+is left out.
 """
 
 from __future__ import annotations
@@ -23,7 +25,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from textloom.llm.components import connected_components
+from textloom.llm.forest import joined, whole_groups
 from textloom.llm.words import SHINGLE, mixed, shingle_sets
+from textloom.operators.skew import attach_group_values
 from textloom.workspace import write_through
 
 PERCENT = 80
@@ -33,6 +37,7 @@ FREQUENT = 32  # tokens of rarer buckets are all alike
 SALTED = 12  # buckets of more than 2 ** SALTED documents are dealt over several tasks
 SIGNATURE = 4096  # bits; the longer a set, the less a short bitmap tells
 BLOCK = 1024
+TOKENS = 1 << 20  # of the sets that meet in one half of a cell
 FILTER_BITS = 27
 
 
@@ -234,81 +239,180 @@ def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
     return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
 
 
-def block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one bucket in different components that the bitmaps allow, block against block.
+def candidate_links(rows: DataFrame, percent: int) -> DataFrame:
+    """Links ``x, y`` between components that have documents which the bitmaps let through in one bucket.
 
     ``rows`` has the bucket ``t`` and the number of its documents ``size``; a bucket is
     cut into blocks of about ``BLOCK`` documents, so a task never holds more than two.
+    Two blocks let out only links that join what was apart in them: fewer than they have rows.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(
-        "t", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "key", "n", "component", "sig"
+        "t", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "component", "sig"
     )
     dealt = dealt.repartition("t", "i", "j").sortWithinPartitions("t", "i", "j")
 
-    def compare(g: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        key, n, part, sig, own = g["key"], g["n"], g["component"], g["sig"], g["own"]
-        if len(key) < 2 or (part == part[0]).all():
-            return
-        across = g["i"][0] != g["j"][0]
-        for r in range(len(key)):
-            ok = part != part[r]
-            ok[: r + 1] = False
+    def compare(part, n, own, sig) -> Iterator[tuple[int, np.ndarray]]:
+        names, label = np.unique(part, return_inverse=True)
+        order = np.argsort(n, kind="stable")
+        n, label, sig, own = n[order], label[order], sig[order], own[order]
+        parent, across = np.arange(len(names)), (own != own[0]).any()
+        stop = np.searchsorted(n, n * 100 // percent, "right")
+        for r in range(len(n) - 1):
+            if not parent.any():
+                return
+            root = parent[label[r : stop[r]]]
+            apart = root != root[0]
             if across:
-                ok &= own != own[r]
-            ok &= (np.minimum(n, n[r]) * 100 >= np.maximum(n, n[r]) * percent)
-            at = np.flatnonzero(ok)
-            if not len(at):
-                continue
-            need = _least_shared(n[r], n[at], percent)
-            here = np.bitwise_count(sig[r] & ~sig[at]).sum(1, dtype=np.int64) <= n[r] - need
-            at, need = at[here], need[here]
-            at = at[np.bitwise_count(sig[at] & ~sig[r]).sum(1, dtype=np.int64) <= n[at] - need]
+                apart &= own[r : stop[r]] != own[r]
+            at = np.flatnonzero(apart) + r
+            # The first words of the bitmaps settle most pairs.
+            for words in (8, sig.shape[1]):
+                if len(at):
+                    need = _least_shared(n[r], n[at], percent)
+                    a, b = sig[r, :words], sig[at, :words]
+                    only = np.bitwise_count(a & ~b).sum(1, dtype=np.int64) <= n[r] - need
+                    only &= np.bitwise_count(b & ~a).sum(1, dtype=np.int64) <= n[at] - need
+                    at = at[only]
             if len(at):
-                yield np.full(len(at), key[r]), key[at]
+                others = np.unique(parent[label[at]])
+                yield names[root[0]], names[others]
+                parent = joined(parent, np.full(len(others), root[0]), others)
 
     def run(batches):
-        held: list[pa.Table] = []
+        for table, cuts in whole_groups(batches, ("t", "i", "j")):
+            part, n, own = (table.column(c).to_numpy() for c in ("component", "n", "own"))
+            sig = table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
+            x, y = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for s, e in zip(cuts, cuts[1:]):
+                if e - s > 1 and (part[s:e] != part[s]).any():
+                    for one, others in compare(part[s:e], n[s:e], own[s:e], sig[s:e]):
+                        x.append(np.full(len(others), one))
+                        y.append(others)
+            pairs = np.unique(np.stack([np.concatenate(x), np.concatenate(y)]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["x", "y"])
+
+    return dealt.mapInArrow(run, "x long, y long")
+
+
+def _cells(part: DataFrame) -> DataFrame:
+    """``key, component, block, cells``: the tasks in which the documents of a cluster meet those of its other components.
+
+    ``part`` has ``key, component, cluster`` and the size ``n``. A component with more than
+    ``TOKENS`` tokens has blocks of its own, which need not meet each other; smaller ones
+    share blocks. Every two other blocks of a cluster, and each shared block, are a cell.
+    """
+    sums = part.groupBy("cluster", "component").agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("rows"))
+    sums = write_through(sums.withColumn("owner", F.when(F.col("tokens") > TOKENS, F.col("component"))), "clusters")
+    width = F.ceil(F.sum("tokens") / TOKENS).cast("int").alias("width")
+    shared = sums.filter("owner is null").groupBy("cluster").agg(width)
+    own = sums.filter("owner is not null").groupBy("cluster", "component", "owner", "rows").agg(width)
+    widths = own.select("component", "rows", "owner", "width").unionByName(
+        sums.filter("owner is null").join(shared, "cluster").select("component", "rows", "owner", "width")
+    )
+    placed = attach_group_values(part, widths, "component", "rows", "key")
+    slot = F.pmod(F.xxhash64(F.when(F.col("owner").isNull(), F.col("component")).otherwise(F.col("key"))), F.col("width"))
+    block = F.xxhash64("cluster", F.col("owner").isNull(), F.coalesce("owner", F.lit(0)), slot)
+    placed = write_through(placed.withColumn("block", block).select("key", "component", "cluster", "owner", "block"), "blocks")
+    blocks = placed.select("cluster", "owner", "block").distinct()
+    other = blocks.select("cluster", F.col("owner").alias("owner2"), F.col("block").alias("block2"))
+    pairs = blocks.join(other, "cluster").filter("block <= block2 and (owner is null or owner2 is null or owner != owner2)")
+    both = F.explode(F.array_distinct(F.array("block", "block2"))).alias("block")
+    cells = pairs.select(F.xxhash64("block", "block2").alias("cell"), both).groupBy("block").agg(F.collect_set("cell").alias("cells"))
+    return placed.select("key", "component", "block").join(cells, "block")
+
+
+def _linked_in(tokens, bounds, part, block, percent: int, table, orders: int) -> Iterator[tuple[int, int]]:
+    """Places of documents of one cell that are similar enough, no more than join what was apart."""
+    sizes, count = np.diff(bounds), len(part)
+    _, label = np.unique(part, return_inverse=True)
+    parent, across = np.arange(int(label.max()) + 1), (block != block[0]).any()
+    doc = np.repeat(np.arange(count), sizes)
+    _, ids = np.unique(tokens, return_inverse=True)
+
+    def postings(chosen: np.ndarray):
+        """For each document, how many of its chosen tokens every document has chosen too."""
+        which = np.flatnonzero(chosen)
+        which = which[np.argsort(ids[which], kind="stable")]
+        ends = np.cumsum(np.bincount(ids[which], minlength=int(ids.max()) + 1))
+        begins = np.concatenate([[0], ends[:-1]])
+
+        def shared(r: int) -> np.ndarray:
+            own = ids[bounds[r] : bounds[r + 1]][chosen[bounds[r] : bounds[r + 1]]]
+            n = ends[own] - begins[own]
+            at = np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            return np.bincount(doc[which[at]], minlength=count)
+
+        return shared
+
+    filters = []
+    for order in range(2, orders + 1):
+        chosen = np.zeros(len(tokens), bool)
+        for r in range(count):
+            s = tokens[bounds[r] : bounds[r + 1]]
+            chosen[bounds[r] + _prefix(s, _often(s, table), order, percent)] = True
+        filters.append(postings(chosen))
+    whole = postings(np.ones(len(tokens), bool))
+    for r in range(count - 1):
+        if not parent.any():
+            return
+        root = parent[label]
+        may = (root != root[r]) & (np.minimum(sizes, sizes[r]) * 100 >= np.maximum(sizes, sizes[r]) * percent)
+        may[: r + 1] = False
+        if across:
+            may &= block != block[r]
+        for share in filters:
+            if may.any():
+                may &= share(r) > 0
+        if not may.any():
+            continue
+        common = whole(r)
+        at = np.flatnonzero(may & (common * 100 >= (sizes + sizes[r] - common) * percent))
+        if len(at):
+            others, first = np.unique(root[at], return_index=True)
+            yield from ((r, int(j)) for j in at[first])
+            parent = joined(parent, np.full(len(others), root[r]), others)
+
+
+def block_links(
+    rows: DataFrame, docs: DataFrame, size: int, percent: int, table: np.ndarray | None = None, orders: int = 1
+) -> DataFrame:
+    """Links ``a, b`` of similar enough documents that join all components which such links join.
 
-        def finish(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            if not table.num_rows:
-                return
-            g = {c: table.column(c).to_numpy() for c in ("t", "i", "j", "own", "key", "n", "component")}
-            sig = table.column("sig").combine_chunks()
-            g["sig"] = sig.flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
-            turn = (np.diff(g["t"]) != 0) | (np.diff(g["i"]) != 0) | (np.diff(g["j"]) != 0)
-            cuts = [0, *(np.flatnonzero(turn) + 1), table.num_rows]
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for start, stop in zip(cuts, cuts[1:]):
-                for x, y in compare({c: v[start:stop] for c, v in g.items()}):
-                    a.append(np.minimum(x, y))
-                    b.append(np.maximum(x, y))
-            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            # The last group of a batch may go on in the next one.
-            ids = [table.column(c).to_numpy() for c in ("t", "i", "j")]
-            same = np.ones(len(ids[0]), bool)
-            for v in ids:
-                same &= v == v[-1]
-            cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
-            if cut:
-                yield from finish(pa.concat_tables([*held, table.slice(0, cut)]))
-                held = []
-            elif held and any(h.column(c)[-1].as_py() != table.column(c)[0].as_py() for h in held[-1:] for c in ("t", "i", "j")):
-                yield from finish(pa.concat_tables(held))
-                held = []
-            held.append(table.slice(cut))
-        if held:
-            yield from finish(pa.concat_tables(held))
-
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    ``rows`` has documents ``key`` of known ``component`` by their buckets ``t``, see
+    ``candidate_links``. What these connect is a cluster; the sets of a cluster meet in
+    cells of bounded size, where every further order is asked and whole sets are compared.
+    """
+    rows = write_through(rows, "buckets")
+    clusters = connected_components(write_through(candidate_links(rows, percent), "links"), "x", "y")
+    clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    part = rows.groupBy("key", "component").agg(F.max("n").alias("n")).join(clusters, "component")
+    part = write_through(part, "clusters")
+    cells = write_through(_cells(part), "cells")
+    keys = cells.select(F.col("key").alias("a"), F.col("key").alias("b"))
+    sets = _of_pairs(keys, docs, size, "array<long>", lambda sets: _lists([s.view(np.int64) for s in sets], pa.int64()))
+    dealt = cells.join(sets, "key").select(F.explode("cells").alias("cell"), "key", "component", "block", "value")
+    dealt = dealt.repartition("cell").sortWithinPartitions("cell")
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+
+    def run(batches):
+        for group, cuts in whole_groups(batches, ("cell",)):
+            key, part, block = (group.column(c).to_numpy() for c in ("key", "component", "block"))
+            value = group.column("value").combine_chunks()
+            bounds = np.concatenate([[0], np.cumsum(value.value_lengths().to_numpy())])
+            tokens = value.flatten().to_numpy().view(np.uint64)
+            pairs = []
+            for s, e in zip(cuts, cuts[1:]):
+                own = bounds[s : e + 1] - bounds[s]
+                if (part[s:e] != part[s]).any():
+                    found = _linked_in(tokens[bounds[s] : bounds[e]], own, part[s:e], block[s:e], percent, shared.value, orders)
+                    pairs += [(int(key[s + i]), int(key[s + j])) for i, j in found]
+            a, b = zip(*pairs) if pairs else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return ordered(dealt.mapInArrow(run, "a long, b long"), "a", "b")
 
 
 def similar_components(
@@ -365,7 +469,7 @@ def similar_components(
         .select("t", "size")
     )
     rows = apart.join(mixed_up, "t").join(features.select("key", "n", "sig"), "key")
-    far = write_through(verified(block_pairs(rows, percent), docs, size, percent, table, orders), "links")
+    far = write_through(block_links(rows, docs, size, percent, table, orders), "links")
     found = connected_components(links.unionByName(far))
     out = features.select("key", F.col("n").alias("n_shingles")).join(found, F.col("key") == F.col("node"), "left")
     return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))

@@ -130,20 +130,25 @@ def shingle_sets(
     Texts of fewer than ``least`` words have none.
     """
     for rows, hashes, ends in hashed_rows(column, lower=True):
-        counts = np.diff(ends)
-        runs = grams(hashes, size) + np.uint64(size - 1) if len(hashes) >= size else np.empty(0, np.uint64)
-        parts = []
-        for begin, n in zip(ends[:-1].tolist(), counts.tolist(), strict=True):
-            if n < least:
-                part = runs[:0]
-            elif n >= size:
-                part = np.sort(runs[begin : begin + n - size + 1])
-            else:
-                part = grams(hashes[begin : begin + n], n) + np.uint64(n - 1) if n else np.empty(0, np.uint64)
-            parts.append(part)
-        tokens = np.concatenate(parts)
-        bounds = np.cumsum([0, *map(len, parts)])
-        fresh = np.ones(len(tokens), bool)
-        fresh[1:] = tokens[1:] != tokens[:-1]
-        fresh[bounds[:-1][bounds[:-1] < len(tokens)]] = True
-        yield rows, tokens[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
+        yield rows, *sets_of(hashes, ends, size, least)
+
+
+def sets_of(hashes: np.ndarray, ends: np.ndarray, size: int = SHINGLE, least: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of texts whose word hashes are given one after another, cut at ``ends``, and the bounds of the sets."""
+    counts = np.diff(ends)
+    runs = grams(hashes, size) + np.uint64(size - 1) if len(hashes) >= size else np.empty(0, np.uint64)
+    parts = []
+    for begin, n in zip(ends[:-1].tolist(), counts.tolist(), strict=True):
+        if n < least:
+            part = runs[:0]
+        elif n >= size:
+            part = np.sort(runs[begin : begin + n - size + 1])
+        else:
+            part = grams(hashes[begin : begin + n], n) + np.uint64(n - 1) if n else np.empty(0, np.uint64)
+        parts.append(part)
+    tokens = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+    bounds = np.cumsum([0, *map(len, parts)])
+    fresh = np.ones(len(tokens), bool)
+    fresh[1:] = tokens[1:] != tokens[:-1]
+    fresh[bounds[:-1][bounds[:-1] < len(tokens)]] = True
+    return tokens[fresh], np.concatenate([[0], np.cumsum(fresh)])[bounds]
