@@ -151,3 +151,16 @@ def test_no_sort_grows_with_the_rows_asked_for(spark, monkeypatch):
     df = spark.range(2000).select(F.col("id").cast("string").alias("k"))
     assert ordering.head_fraction(df, 0.5, "k").count() == 1000
     assert max(seen) <= 64 * ordering.PIVOTS
+
+
+@pytest.mark.parametrize("common", [0, 500, 10**6])
+def test_one_value_on_nearly_all_rows(spark, monkeypatch, common):
+    """The smallest, a middle and the largest value repeat; the rank falls on, before and behind it."""
+    monkeypatch.setattr(ordering, "SORT_ROWS", 20)
+    values = [common] * 2000 + list(range(1, 990, 9))
+    df = spark.createDataFrame([(v,) for v in values], "k long").repartition(3)
+    ordered = sorted(values)
+    for k in (1, 50, 60, 1000, 2000, 2060, 2109, 2110):
+        key, total = ordering.kth_key(df, ["k"], lambda n: k)
+        assert total == len(values) and key == (ordered[k - 1],)
+    assert ordering.kth_key(df, ["k"], lambda n: n + 1)[0] is None

@@ -7,6 +7,7 @@ from textloom.functions.symbols import BYTE_TO_ID, id_to_symbol, printable, symb
 from textloom.operators import tokenizer as T
 from textloom.operators.packing import explode_blocks, pack_rows, pad_to_longest
 from textloom.operators.tokenizer import BYTE_TOKENIZER, Tokenizer
+from textloom.operators import vocabulary as V
 from textloom.operators.vocabulary import count_pretokens, learn_merges
 
 SPECIAL_TEXTS = ["a</s>b", "</s>", "", "x <pad> y<s>", "</s></s> ", "a</s", "<unk>z\n</s>\n", "   ", "tail  "]
@@ -82,14 +83,50 @@ CORPORA = [
 ]
 
 
+@pytest.mark.parametrize("word_limit", [0, 3, 1000])
 @pytest.mark.parametrize(("lines", "size"), CORPORA)
-def test_small_corpora_match_library(spark, lines, size):
+def test_small_corpora_match_library(spark, lines, size, word_limit):
+    """With all rounds on the executors, with a few words at a time, and with all of them."""
     tk = pytest.importorskip("tokenizers")
     lib = library(tk, lines, size)
-    mine = learned(spark, lines, size, pool_size=5)
+    mine = learned(spark, lines, size, pool_size=5, word_limit=word_limit)
     assert shown(mine) == merges_of(lib) and mine.vocab_size == lib.get_vocab_size()
 
 
+def test_thousands_of_merges_match_library(spark, sf, monkeypatch):
+    """Rounds bring no more words than the limit, and make many merges each."""
+    tk = pytest.importorskip("tokenizers")
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    lines = [x for t in texts for x in (t + "\n").splitlines(keepends=True)]
+    rounds = []
+    held = V._merge_held
+
+    def counted(found, pairs, after, pool, symbols, size):
+        before = len(symbols.merges)
+        out = held(found, pairs, after, pool, symbols, size)
+        rounds.append((found.num_rows, len(symbols.merges) - before, len(out[0])))
+        return out
+
+    monkeypatch.setattr(V, "_merge_held", counted)
+    mine = learned(spark, lines, 5000, pool_size=3000, word_limit=6000)
+    assert shown(mine) == merges_of(library(tk, lines, 5000)) and len(mine.merges) >= 4000
+    assert all(words <= 6000 and changed <= words and merges for words, merges, changed in rounds)
+    assert len(rounds) < 60
+
+
+def test_merges_that_give_an_existing_token(spark):
+    """Words in which one token comes about in several ways, so that other words' pairs gain."""
+    import random
+
+    tk = pytest.importorskip("tokenizers")
+    rng = random.Random(12)
+    for seed in range(4):
+        lines = [" ".join("".join(rng.choice("ab" if seed % 2 else "abc") for _ in range(rng.randrange(2, 14))) for _ in range(40)) + "\n" for _ in range(12)]
+        lib = library(tk, lines, 480)
+        for limit in (40, 150, 2000):
+            assert shown(learned(spark, lines, 480, pool_size=25, word_limit=limit)) == merges_of(lib)
+
+
 def test_repeated_results_use_the_lowest_rank(spark):
     tok = Tokenizer.from_strings([("b", "c"), ("a", "b"), ("ab", "c"), ("abc", "d"), ("a", "bc")])
     ranks = tok._ranks()

@@ -30,8 +30,10 @@ def kth_key(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> tupl
     """Values of ``order`` at the ``rank(n)``-th row (1-based), and the row count ``n``.
 
     Works for columns of any ordered type; nulls come first. A few sampled values cut
-    the rest into ranges that are counted exactly, until at most ``SORT_ROWS`` rows or
-    one value are left. Which values are sampled has no effect on the result. The key is
+    the rest into ranges between them; rows before each and up to it are counted exactly.
+    Where the rank falls on a sampled value, however often it stands there, that is the
+    key; else the rest is what lies between two of them, until it has at most
+    ``SORT_ROWS`` rows. Which values are sampled has no effect on the result. The key is
     None when the rank is 0 or beyond the last row.
     """
     value = F.struct(*[F.col(c) for c in order])
@@ -40,25 +42,28 @@ def kth_key(df: DataFrame, order: list[str], rank: Callable[[int], int]) -> tupl
     k = rank(total)
     if k <= 0 or k > total:
         return None, total
-    left = total
+    left, rounds = total, 0
     while left > SORT_ROWS:
+        rounds += 1  # another sample each time, also where the last one had no row
         share = min(1.0, 16.0 * PIVOTS / left)
-        drawn = [r.v for r in rest.sample(share, seed=left).orderBy("v").limit(64 * PIVOTS).collect()]
+        drawn = [r.v for r in rest.sample(share, seed=left + rounds).orderBy("v").limit(64 * PIVOTS).collect()]
         pivots = list(dict.fromkeys(drawn[i * len(drawn) // (PIVOTS + 1)] for i in range(1, PIVOTS + 1))) if drawn else []
+        if not pivots:
+            continue
         bounds = [_literal(p, df, order) for p in pivots]
         counts = rest.agg(
-            F.min("v").alias("low"), F.max("v").alias("high"),
+            *[F.count(F.when(F.col("v") < p, 1)).alias(f"b{i}") for i, p in enumerate(bounds)],
             *[F.count(F.when(F.col("v") <= p, 1)).alias(f"n{i}") for i, p in enumerate(bounds)],
         ).first()
-        if counts.low == counts.high:
-            return tuple(counts.low), total
         at = next((i for i in range(len(bounds)) if counts[f"n{i}"] >= k), len(bounds))
+        if at < len(bounds) and counts[f"b{at}"] < k:
+            return tuple(pivots[at]), total
         before = counts[f"n{at - 1}"] if at else 0
         if at < len(bounds):
-            rest = rest.filter(F.col("v") <= bounds[at])
+            rest = rest.filter(F.col("v") < bounds[at])
         if at:
             rest = rest.filter(F.col("v") > bounds[at - 1])
-        left, k = (counts[f"n{at}"] if at < len(bounds) else left) - before, k - before
+        left, k = (counts[f"b{at}"] if at < len(bounds) else left) - before, k - before
     row = rest.orderBy("v").limit(k).agg(F.max("v").alias("v")).first().v  # k is at most SORT_ROWS
     return tuple(row), total
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
+from itertools import accumulate
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +24,7 @@ VOCAB_SIZE = 32_000
 POOL_SIZE = 20_000
 MAX_BATCH = 256
 ROUNDS_PER_CUT = 32
+WORD_LIMIT = 100_000  # words that a round brings to the driver at most
 
 
 def count_pretokens(lines: DataFrame, text: str = "text") -> DataFrame:
@@ -60,10 +64,12 @@ def _rank(item: tuple[str, int]) -> tuple[int, str]:
 class _Pool:
     """Exact counts of the leading pairs, and the rank every other pair stays behind.
 
-    Counts of pairs outside the pool can only fall while the pool is in use.
+    ``spread`` has a bound of the number of words that hold a pair. Counts of pairs
+    outside the pool can only fall while the pool is in use.
     """
 
     counts: dict[str, int]
+    spread: dict[str, int]
     floor: tuple[int, str] | None
 
     def ranked(self) -> list[tuple[str, int]]:
@@ -72,11 +78,20 @@ class _Pool:
             return items
         return [i for i in items if _rank(i) <= self.floor]
 
+    def add(self, pair: str, count: int, words: int) -> None:
+        self.counts[pair] = self.counts.get(pair, 0) + count
+        self.spread[pair] = self.spread.get(pair, 0) + words
+
+    def drop(self, pair: str) -> None:
+        self.counts.pop(pair, None)
+        self.spread.pop(pair, None)
+
     def keep_best(self, size: int) -> None:
         if len(self.counts) <= size:
             return
         best = self.ranked()[:size]
         if best:
+            self.spread = {p: self.spread[p] for p, _ in best}
             self.counts, self.floor = dict(best), _rank(best[-1])
 
 
@@ -110,15 +125,39 @@ def _next_batch(ranked: list[tuple[str, int]], made: dict[bytes, int], tokens: l
     return batch, False
 
 
+class _Symbols:
+    """The vocabulary as it grows: tokens by id, ids by token, and the merges in order."""
+
+    def __init__(self):
+        self.tokens = list(BYTE_TOKENIZER.tokens)
+        self.made = {t: i for i, t in enumerate(self.tokens) if i >= FIRST_BYTE_ID}
+        self.merges: list[tuple[int, int]] = []
+
+    def merge(self, pair: str) -> tuple[str, bool]:
+        """Record a merge; the symbol it gives, and whether that is a new one."""
+        left, right = map(symbol_to_id, pair)
+        result = self.tokens[left] + self.tokens[right]
+        fresh = result not in self.made
+        if fresh:
+            self.made[result] = len(self.tokens)
+            self.tokens.append(result)
+        self.merges.append((left, right))
+        return id_to_symbol(self.made[result]), fresh
+
+
 def learn_merges(
-    counts: DataFrame, vocab_size: int = VOCAB_SIZE, pool_size: int = POOL_SIZE
+    counts: DataFrame, vocab_size: int = VOCAB_SIZE, pool_size: int = POOL_SIZE, word_limit: int = WORD_LIMIT
 ) -> Tokenizer:
     """Learn byte-pair merges from ``pretoken, n`` until the vocabulary is full.
 
-    The words stay distributed as symbol strings. Now and then all pairs are
-    counted and the ``pool_size`` leading ones are kept on the driver; between
-    these counts a round applies one batch of merges and sums, in one job, how
-    the counts of the touched pairs change. Stops early when no pair is left.
+    The words stay distributed as symbol strings. Now and then all pairs are counted and
+    the ``pool_size`` leading ones are kept on the driver with their exact counts. A round
+    takes the leading pairs that no more than ``word_limit`` words hold together, and only
+    those words: their merges are exact until a pair that others hold too comes first, so
+    the driver makes them one by one, and the new forms of these words go back to the
+    table. While the leading pairs stand in more words than that, a round applies one
+    batch of merges that can be made together to all words, and sums how the counts of
+    the touched pairs change. Stops early when no pair is left.
     """
     # An explicit partition count keeps the table spread out although it is small;
     # the rounds are many and short, so one partition per task slot is enough.
@@ -126,12 +165,10 @@ def learn_merges(
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slots = min(most, spark.sparkContext.defaultParallelism)
     words = _cut(counts.select(byte_symbols("pretoken").alias("w"), "n").repartition(slots, "w"))
-    tokens = list(BYTE_TOKENIZER.tokens)
-    made = {t: i for i, t in enumerate(tokens) if i >= FIRST_BYTE_ID}
-    merges: list[tuple[int, int]] = []
+    symbols = _Symbols()
     pool: _Pool | None = None
     rounds = 0
-    while len(tokens) < vocab_size:
+    while len(symbols.tokens) < vocab_size:
         ranked = pool.ranked() if pool else []
         if not ranked:
             if pool and pool.floor is None:
@@ -140,33 +177,149 @@ def learn_merges(
             ranked = pool.ranked()
             if not ranked:
                 break
-        batch, repeated = _next_batch(ranked, made, tokens, vocab_size - len(tokens))
-        step = []
-        for pair in batch:
-            left, right = map(symbol_to_id, pair)
-            result = tokens[left] + tokens[right]
-            if result not in made:
-                made[result] = len(tokens)
-                tokens.append(result)
-            merges.append((left, right))
-            step.append((pair, id_to_symbol(made[result])))
-        if len(tokens) >= vocab_size:
-            break
-        merged = _merge(words, step).persist()
-        if repeated:
-            # The counts of an existing symbol may rise, so all pairs are counted anew.
-            pool = _count_pairs(merged, pool_size)
+        held = list(accumulate(pool.spread[p] for p, _ in ranked))
+        few = [p for (p, _), n in zip(ranked, held, strict=True) if n <= word_limit]
+        batch, repeated = _next_batch(ranked, symbols.made, symbols.tokens, vocab_size - len(symbols.tokens))
+        if len(few) >= len(batch):
+            after = _rank(ranked[len(few)]) if len(few) < len(ranked) else pool.floor
+            found = words.filter(_holds("w", few)).select("w", "n").toArrow()
+            changed, loose = _merge_held(found, set(few), after, pool, symbols, vocab_size)
+            if len(symbols.tokens) >= vocab_size:
+                break
+            merged = _replaced(words, changed).persist()
+            _count_loose(pool, merged, loose)
         else:
-            _update(pool, merged, step)
-            pool.keep_best(4 * pool_size)
-        words.unpersist()
-        words = merged
+            step = [(pair, symbols.merge(pair)[0]) for pair in batch]
+            if len(symbols.tokens) >= vocab_size:
+                break
+            merged = _merge(words, step).persist()
+            if repeated:
+                # The counts of an existing symbol may rise, so all pairs are counted anew.
+                pool = _count_pairs(merged, pool_size)
+            else:
+                _update(pool, merged, step)
+        pool.keep_best(4 * pool_size)
         rounds += 1
         if rounds % ROUNDS_PER_CUT == 0:
-            words = _cut(merged)
+            cut = _cut(merged)
             merged.unpersist()
+            merged = cut
+        words.unpersist()
+        words = merged
     words.unpersist()
-    return Tokenizer(merges)
+    return Tokenizer(symbols.merges)
+
+
+def _holds(word: str, pairs: list[str]):
+    """Whether a word holds one of some pairs; the list is a hash set, however long."""
+    listed = ", ".join(f"'{p}'" for p in pairs)
+    return F.expr(f"exists({_pairs(word)}, p -> p in ({listed}))")
+
+
+def _adjacent(word: str) -> list[str]:
+    return [word[i : i + 2] for i in range(len(word) - 1)]
+
+
+def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _Symbols, vocab_size: int):
+    """Merge one pair after the other while the best one stands in ``found`` alone.
+
+    ``found`` has all words with one of the ``held`` pairs; other pairs rank ``after`` or
+    behind. Pairs wait in a queue with the count they had when they were put there, and go
+    back with the present one when their turn comes. Brings the pool up to date; returns
+    the changed words, old form to new one, and pairs outside the pool that an existing
+    symbol has gained.
+    """
+    words, n = found.column("w").to_pylist(), found.column("n").to_pylist()
+    first = list(words)
+    where: dict[str, set[int]] = {}
+    for i, w in enumerate(words):
+        for p in _adjacent(w):
+            where.setdefault(p, set()).add(i)
+    counts = {p: pool.counts[p] for p in held}
+    outside = -pool.floor[0] if pool.floor else 0  # most that a pair outside the pool can have
+    queue = [(-c, p) for p, c in counts.items()]
+    heapify(queue)
+    moves: dict[str, list[int]] = {}  # change of count and of words, all pairs
+    fresh: set[str] = set()
+    risen: set[str] = set()  # pairs of an existing symbol, which other words may hold too
+
+    def exact(p: str) -> bool:
+        return p in held or p[0] in fresh or p[1] in fresh
+
+    while queue and len(symbols.tokens) < vocab_size:
+        least, pair = heappop(queue)
+        count = counts.get(pair, 0)
+        if count <= 0:
+            continue
+        if -least != count:
+            heappush(queue, (-count, pair))
+            continue
+        # Pairs elsewhere may have come to this rank: those left out, and those that have risen.
+        if after is not None and (-count, pair) > after:
+            break
+        limits = [_rank((q, pool.counts.get(q, outside) + moves[q][0])) for q in risen if moves[q][0] > 0]
+        if limits and min(limits) < (-count, pair):
+            break
+        symbol, new = symbols.merge(pair)
+        if new:
+            fresh.add(symbol)
+        touched = set()
+        for i in where.pop(pair, ()):
+            old = words[i]
+            w = words[i] = old.replace(pair, symbol)
+            if w == old:
+                continue
+            for q in _adjacent(old):
+                move = moves.setdefault(q, [0, 0])
+                move[0] -= n[i]
+                move[1] -= 1
+                if q in counts:
+                    counts[q] -= n[i]
+            for q in _adjacent(w):
+                move = moves.setdefault(q, [0, 0])
+                move[0] += n[i]
+                move[1] += 1
+                if exact(q):
+                    counts[q] = counts.get(q, 0) + n[i]
+                    touched.add(q)
+                where.setdefault(q, set()).add(i)
+                if not new and symbol in q and not exact(q):
+                    risen.add(q)
+        counts.pop(pair, None)
+        moves[pair] = [0, 0]
+        pool.drop(pair)
+        for q in touched:
+            if counts.get(q, 0) > 0:
+                heappush(queue, (-counts[q], q))
+    for q, (d, words_moved) in moves.items():
+        # Without a floor every pair that there was is in the pool.
+        if q in pool.counts or (d > 0 and (exact(q) or pool.floor is None)):
+            pool.add(q, d, words_moved)
+    loose = [q for q in risen if moves[q][0] > 0 and q not in pool.counts]
+    return {a: b for a, b in zip(first, words, strict=True) if a != b}, loose
+
+
+def _replaced(words: DataFrame, changed: dict[str, str]) -> DataFrame:
+    """The table with new forms of some words, of which there are at most ``WORD_LIMIT``."""
+    table = pa.table({"a": pa.array(changed.keys(), pa.string()), "b": pa.array(changed.values(), pa.string())})
+    forms = F.broadcast(words.sparkSession.createDataFrame(table, "a string, b string"))
+    joined = words.select("w", "n").join(forms, F.col("w") == F.col("a"), "left")
+    return joined.select(F.lit(None).cast("string").alias("old"), F.coalesce("b", "w").alias("w"), "n")
+
+
+def _count_loose(pool: _Pool, words: DataFrame, pairs: list[str]) -> None:
+    """Count pairs that have gained and may have come into the pool's ranks."""
+    if not pairs:
+        return
+    listed = ", ".join(f"'{p}'" for p in pairs)
+    rows = (
+        words.selectExpr(f"explode_outer(filter({_pairs('w')}, p -> p in ({listed}))) as pair", "n")
+        .groupBy("pair").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).filter(F.col("pair").isNotNull())
+    )
+    for r in rows.collect():
+        if _rank((r.pair, r.n)) <= pool.floor:
+            pool.drop(r.pair)
+            pool.add(r.pair, r.n, r.words)
 
 
 def _cut(words: DataFrame) -> DataFrame:
@@ -190,14 +343,14 @@ def _count_pairs(words: DataFrame, size: int) -> _Pool:
     top = (
         words.selectExpr(f"explode_outer({_pairs('w')}) as pair", "n")
         .groupBy("pair")
-        .agg(F.sum("n").alias("n"))
+        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
         .filter(F.col("pair").isNotNull())
         .orderBy(F.desc("n"), F.asc("pair"))
         .limit(size)
         .collect()
     )
-    counts = {r.pair: r.n for r in top}
-    return _Pool(counts, _rank((top[-1].pair, top[-1].n)) if len(top) == size else None)
+    floor = _rank((top[-1].pair, top[-1].n)) if len(top) == size else None
+    return _Pool({r.pair: r.n for r in top}, {r.pair: r.words for r in top}, floor)
 
 
 def _update(pool: _Pool, words: DataFrame, step: list[tuple[str, str]]) -> None:
@@ -222,7 +375,7 @@ def _update(pool: _Pool, words: DataFrame, step: list[tuple[str, str]]) -> None:
         )
         .selectExpr("explode_outer(signed) as c", "n")
         .groupBy("c.pair")
-        .agg(F.expr("sum(c.s * n)").alias("d"))
+        .agg(F.expr("sum(c.s * n)").alias("d"), F.expr("sum(c.s)").alias("words"))
     )
     is_new = F.translate("pair", symbols, "") != F.col("pair")
     lowest = -pool.floor[0] if pool.floor else 1
@@ -231,9 +384,9 @@ def _update(pool: _Pool, words: DataFrame, step: list[tuple[str, str]]) -> None:
         listed = ", ".join(f"'{p}'" for p in near)
         wanted = wanted | F.expr(f"pair in ({listed})")  # a hash set, however long
     for pair, _ in step:
-        pool.counts.pop(pair, None)
+        pool.drop(pair)
     for r in changes.filter((F.col("d") != 0) & wanted).collect():
-        pool.counts[r.pair] = pool.counts.get(r.pair, 0) + r.d
+        pool.add(r.pair, r.d, r.words)
 
 
 def vocabulary(tokenizer: Tokenizer, spark: SparkSession) -> DataFrame:
