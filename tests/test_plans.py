@@ -6,6 +6,7 @@ from textloom.catalog import fixtures as fx
 from textloom.operators import ordering
 from textloom.operators.evaluation import group_advantage
 from textloom.plans import finetuning, pretraining
+from textloom.workspace import fresh_path
 
 
 def plan(df):
@@ -70,12 +71,13 @@ def test_counts_are_combined_before_the_exchange(spark, sf):
     assert text.index("partial_count") > text.index("Exchange") and text.count("regexp_extract_all") == 1
 
 
-def test_dictionary_splits_texts_once(spark, sf):
-    from textloom.operators.dictionary import count_with_dictionary
+def test_dictionary_counts_split_texts_once(spark, sf):
+    from textloom.operators.dictionary import count_with_dictionary, extend_dictionary
 
-    out = count_with_dictionary(fx.documents(spark, sf), fx.TOKENIZER, "doc_id")
+    docs = fx.documents(spark, sf)
+    out = count_with_dictionary(docs, extend_dictionary(docs, fx.TOKENIZER, fresh_path(spark, "plan")), "doc_id")
     out.collect()
-    assert plan(out).split("== Initial Plan ==")[0].count("FileScan parquet") == 1
+    assert plan(out).split("== Initial Plan ==")[0].count("documents.parquet") == 1
 
 
 def test_both_sides_of_a_pair_are_encoded_in_one_evaluation(spark, sf):

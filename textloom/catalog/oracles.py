@@ -262,6 +262,7 @@ VOCAB = (
 ORACLES["vocabulary_table"] = f"{learning()} {VOCAB}"
 ORACLES["saved_vocabulary"] = f"{learning()} SELECT *, token_id = {PAD} AS is_pad FROM ({VOCAB})"
 ORACLES["encode_text"] = f"WITH {DOC_IDS} {id_summary('doc_id', 'd')}"
+ORACLES["dictionary_ids"] = ORACLES["encode_text"]
 ORACLES["encode_with_specials"] = (
     f"WITH l AS (SELECT doc_id, i, CASE WHEN i > 1 THEN [{EOS}] ELSE [] END || {encoded('line')} AS ids FROM "
     "(SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))), "
@@ -279,6 +280,8 @@ ORACLES["causal_labels"] = (
 ORACLES["shifted_labels"] = (
     f"WITH {DOC_EOS} {id_summary('doc_id', f'(SELECT doc_id, list_append(ids[2:1024], {EOS}) AS ids FROM d)')}"
 )
+ORACLES["whole_packed_documents"] = f"WITH {DOC_EOS} {id_summary('doc_id', 'd')}"
+ORACLES["budget_batches"] = f"WITH {DOC_EOS} SELECT *, true AS within FROM ({id_summary('doc_id', 'd')})"
 ORACLES["packed_rows"] = (
     f"WITH {DOC_EOS}, o AS (SELECT ids, sum(len(ids)) OVER (ORDER BY {hashed('doc_id')}, doc_id) - len(ids) AS o FROM d), "
     "t AS (SELECT o + i AS place, id FROM (SELECT o, unnest(ids) AS id, unnest(range(0, len(ids))) AS i FROM o)) "

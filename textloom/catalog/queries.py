@@ -19,7 +19,7 @@ from textloom.operators import evaluation as ev
 from textloom.operators import filters, ordering, packing, runs
 from textloom.operators.chat import pick_winner, render_turns
 from textloom.operators.counts import observed
-from textloom.operators.dictionary import count_with_dictionary
+from textloom.operators.dictionary import count_with_dictionary, encode_with_dictionary, extend_dictionary
 from textloom.operators.preferences import best_and_worst, keep_comparable
 from textloom.operators.tokenizer import BYTE_TOKENIZER, Tokenizer
 from textloom.operators.vocabulary import count_pretokens, learn_merges, vocabulary
@@ -267,7 +267,17 @@ def keyed_responses(spark, sf):
 
 @register
 def dictionary_lookup(spark, sf):
-    return count_with_dictionary(fx.documents(spark, sf), fx.TOKENIZER, "doc_id")
+    docs = fx.documents(spark, sf)
+    return count_with_dictionary(docs, extend_dictionary(docs, fx.TOKENIZER, fresh_path(spark, "dictionary")), "doc_id")
+
+
+@register
+def dictionary_ids(spark, sf):
+    """The corpus comes in two parts; the second one brings the pretokens that the first has not."""
+    docs, path = fx.documents(spark, sf).select("doc_id", "text", "lang"), fresh_path(spark, "dictionary")
+    extend_dictionary(docs.filter("lang in ('en', 'de')"), fx.TOKENIZER, path)
+    dictionary = extend_dictionary(docs, fx.TOKENIZER, path)
+    return _id_summary(encode_with_dictionary(docs, dictionary, "doc_id"), ["doc_id"])
 
 
 # Sets, order, samples, splits
@@ -342,6 +352,12 @@ def learned_merges(spark, sf):
     return _learned(spark, sf).merges_table(spark)
 
 
+@register
+def full_vocabulary(spark, sf):
+    """All merges of a vocabulary of production size, from the lines of the corpus."""
+    return learn_merges(count_pretokens(_written_lines(spark, sf))).merges_table(spark)
+
+
 @register
 def vocabulary_table(spark, sf):
     return vocabulary(_learned(spark, sf), spark)
@@ -397,6 +413,44 @@ def packed_rows(spark, sf):
     return _id_summary(packed, ["block_no"], "input_ids")
 
 
+def _stored_ids(spark, sf) -> DataFrame:
+    docs = fx.documents(spark, sf).select("doc_id", fx.TOKENIZER.encode("text", eos=True).alias("ids"))
+    return write_through(docs, "ids")
+
+
+@register
+def whole_packed_rows(spark, sf):
+    """Blocks of whole documents, with the share of their places that is filled in each shard."""
+    packed = write_through(packing.pack_whole(_stored_ids(spark, sf), "doc_id"), "blocks")
+    fill = packed.groupBy("shard").agg(
+        F.count(F.lit(1)).alias("n_blocks"), F.round(F.sum(F.size("input_ids")) / F.sum(F.greatest(F.size("input_ids"), F.lit(B.BLOCK_SIZE))), 4).alias("fill"),
+    )
+    out = packed.select("shard", "block_no", F.size("keys").alias("n_documents"), F.size("input_ids").alias("n_ids"), _digest("input_ids").alias("digest"))
+    return out.join(fill, "shard")
+
+
+@register
+def whole_packed_documents(spark, sf):
+    """What of each document is in its block: all of it, in order."""
+    packed = packing.pack_whole(_stored_ids(spark, sf), "doc_id")
+    place = F.transform(F.arrays_zip("keys", "lengths"), lambda x, i: F.struct(x["keys"].alias("doc_id"), x["lengths"].alias("n"), i.alias("i")))
+    each = packed.select("input_ids", "lengths", F.explode(place).alias("p"))
+    start = F.aggregate(F.slice("lengths", 1, F.col("p.i")), F.lit(0), lambda a, x: a + x)
+    ids = F.slice("input_ids", start + 1, F.col("p.n"))
+    return _id_summary(each.select("p.doc_id", ids.alias("ids")), ["doc_id"])
+
+
+@register
+def budget_batches(spark, sf):
+    """Documents in batches of at most 16,384 ids with their padding, or alone in one."""
+    rows = packing.batches_by_tokens(_stored_ids(spark, sf), "doc_id", 16_384)
+    batch = rows.groupBy("shard", "batch_no").agg(F.sum(F.size("input_ids")).alias("places"), F.count(F.lit(1)).alias("rows"))
+    rows = rows.join(batch, ["shard", "batch_no"])
+    within = (F.col("places") <= 16_384) | (F.col("rows") == 1)
+    ids = F.slice("input_ids", 1, F.col("n_tokens"))
+    return rows.select(F.col("key").alias("doc_id"), F.col("n_tokens").alias("n_ids"), _digest(ids).alias("digest"), within.alias("within"))
+
+
 @register
 def padded_batches(spark, sf):
     docs = fx.documents(spark, sf).select("doc_id", B.truncate(BYTE_TOKENIZER.encode("text"), 1024).alias("ids"))

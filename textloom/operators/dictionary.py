@@ -1,33 +1,112 @@
-"""Token counts through a dictionary of distinct pretokens."""
+"""Encoding through a stored dictionary of distinct pretokens."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from textloom.functions.pretokens import pretokens_with_specials
-from textloom.operators.skew import attach_group_values
 from textloom.operators.tokenizer import Tokenizer
 
 HOT_PRETOKENS = 65_536
+HOT_LENGTH = 64  # characters of a pretoken that may be broadcast
+RUN = 4096  # pretokens whose ids are put in order together
 
+ENTRIES = T.StructType(
+    [
+        T.StructField("pretoken", T.StringType()),
+        T.StructField("ids", T.ArrayType(T.IntegerType())),
+        T.StructField("seen", T.LongType()),
+    ]
+)
 
-def count_with_dictionary(
-    docs: DataFrame, tokenizer: Tokenizer, key: str, text: str = "text"
+
+def _folder(path: str, tokenizer: Tokenizer) -> str:
+    return f"{path}/merges={hashlib.md5(repr(tokenizer.merges).encode()).hexdigest()}"
+
+
+def read_dictionary(spark: SparkSession, path: str, tokenizer: Tokenizer) -> DataFrame:
+    """``pretoken, ids, seen`` of one tokenizer, empty before the first corpus; ``seen`` is from the corpus that brought it."""
+    try:
+        return spark.read.schema(ENTRIES).parquet(_folder(path, tokenizer))
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ENTRIES)
+
+
+def _pieces(docs: DataFrame, text: str, *columns: str) -> DataFrame:
+    # The outer form keeps the optimizer from running the split twice.
+    return docs.select(*columns, F.posexplode_outer(pretokens_with_specials(text)).alias("pos", "pretoken"))
+
+
+def extend_dictionary(docs: DataFrame, tokenizer: Tokenizer, path: str, text: str = "text") -> DataFrame:
+    """Encode the pretokens of ``docs`` that the dictionary lacks, store them and return the whole dictionary.
+
+    Each tokenizer has its own dictionary. A run that is lost adds nothing, and a run
+    over a known corpus encodes nothing. One run at a time may extend a dictionary.
+    """
+    spark = docs.sparkSession
+    seen = _pieces(docs, text).filter(F.col("pretoken").isNotNull()).groupBy("pretoken").agg(F.count(F.lit(1)).alias("seen"))
+    fresh = seen.join(read_dictionary(spark, path, tokenizer).select("pretoken"), "pretoken", "left_anti")
+    rows = fresh.select("pretoken", tokenizer.encode_piece("pretoken").alias("ids"), "seen")
+    rows.write.mode("append").parquet(_folder(path, tokenizer))
+    return read_dictionary(spark, path, tokenizer)
+
+
+def _hot(dictionary: DataFrame, limit: int) -> DataFrame:
+    """The most frequent entries: a bounded number of bounded width."""
+    short = dictionary.filter(F.length("pretoken") <= HOT_LENGTH)
+    return short.orderBy(F.desc("seen"), "pretoken").limit(limit)
+
+
+def encode_runs(
+    docs: DataFrame, dictionary: DataFrame, key: str, text: str = "text", hot: int = HOT_PRETOKENS, run: int = RUN
 ) -> DataFrame:
-    """``key, n_pretokens, n_tokens`` per text; each distinct pretoken is encoded once.
+    """``key, run, ids``: the ids of every ``run`` pretokens of a text, numbered in order.
 
-    Pretokens are counted per text before they are joined with the dictionary.
-    Its most frequent entries, which cover most of any corpus, are broadcast up
-    to ``HOT_PRETOKENS`` rows; only rare pretokens are shuffled.
+    Frequent pretokens meet a broadcast part of the dictionary where they are read; the
+    others, each of them rare, are shuffled to theirs. Ids are put in order within a run,
+    so no list grows with a text. Texts without pretokens have one run without ids; the
+    dictionary must know all others. Keys should be unique.
     """
-    pieces = docs.select(key, F.explode_outer(pretokens_with_specials(text)).alias("pretoken"))
-    per_text = pieces.groupBy(key, "pretoken").agg(F.count("pretoken").alias("n"))
-    # From the counts per text, so that texts are split once.
-    seen = per_text.filter(F.col("pretoken").isNotNull()).groupBy("pretoken").agg(F.sum("n").alias("_seen"))
-    sizes = seen.select("pretoken", "_seen", tokenizer.piece_length("pretoken").alias("_size"))
-    joined = attach_group_values(per_text, sizes, "pretoken", "_seen", key, HOT_PRETOKENS)
-    return joined.groupBy(key).agg(
-        F.sum("n").alias("n_pretokens"),
-        F.coalesce(F.sum(F.col("n") * F.col("_size")), F.lit(0)).alias("n_tokens"),
-    )
+    few = F.broadcast(_hot(dictionary, hot).select("pretoken", "ids"))
+    pieces = _pieces(docs, text, key)
+    known = pieces.join(few, "pretoken")
+    names = few.select("pretoken")
+    rest = pieces.filter(F.col("pretoken").isNotNull()).join(names, "pretoken", "left_anti").join(dictionary.select("pretoken", "ids"), "pretoken")
+    nothing = docs.filter(F.col(text).isNull() | (F.col(text) == "")).select(key)
+    empty = nothing.withColumns({"ids": F.array().cast("array<int>"), "pos": F.lit(0)})
+    columns = [F.col(key), F.expr(f"pos div {run}").alias("run"), "pos", "ids"]
+    every = known.select(*columns).unionByName(rest.select(*columns)).unionByName(empty.select(*columns))
+    parts = every.groupBy(key, "run").agg(F.array_sort(F.collect_list(F.struct("pos", "ids"))).alias("parts"))
+    return parts.select(key, "run", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+
+
+def encode_with_dictionary(
+    docs: DataFrame, dictionary: DataFrame, key: str, text: str = "text", hot: int = HOT_PRETOKENS, run: int = RUN
+) -> DataFrame:
+    """``key, ids`` of whole texts, joined from their runs."""
+    runs = encode_runs(docs, dictionary, key, text, hot, run)
+    parts = runs.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("run", "ids"))).alias("parts"))
+    return parts.select(key, F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
+
+
+def count_with_dictionary(
+    docs: DataFrame, dictionary: DataFrame, key: str, text: str = "text", hot: int = HOT_PRETOKENS
+) -> DataFrame:
+    """``key, n_pretokens, n_tokens`` per text; only rare pretokens are shuffled to the dictionary."""
+    few = _hot(dictionary, hot).select("pretoken", F.size("ids").alias("size"))
+    joined = _pieces(docs, text, key).join(F.broadcast(few), "pretoken", "left")
+    cold = F.when(F.col("size").isNull(), F.col("pretoken"))
+    # Frequent pretokens of a text are one row; its key spreads it over the second join.
+    per_text = joined.groupBy(key, cold.alias("cold")).agg(F.count("pretoken").alias("n"), F.sum("size").alias("known"))
+    salt = F.when(F.col("cold").isNull(), F.pmod(F.xxhash64(key), F.lit(4096)) + 1).otherwise(0)
+    sizes = dictionary.select(F.col("pretoken").alias("cold"), F.size("ids").alias("size"), F.when(F.size("ids") < 0, 1).otherwise(0).alias("salt"))
+    both = per_text.withColumn("salt", salt).join(sizes, ["cold", "salt"], "left")
+    n_tokens = F.sum(F.coalesce("known", F.col("n") * F.col("size"), F.lit(0)))
+    return both.groupBy(key).agg(F.sum("n").alias("n_pretokens"), n_tokens.cast("bigint").alias("n_tokens"))

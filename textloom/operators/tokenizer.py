@@ -207,10 +207,10 @@ class Tokenizer:
             return self._merge_udf(pretokens_with_specials(col), lengths_only=True)
         return F.size(_byte_encode(col))
 
-    def piece_length(self, pretoken: str | Column) -> Column:
-        """Number of tokens of one pretoken, taken as it is."""
+    def encode_piece(self, pretoken: str | Column) -> Column:
+        """Ids of one pretoken, taken as it is."""
         col = F.col(pretoken) if isinstance(pretoken, str) else pretoken
-        return self._merge_udf(F.array(col), lengths_only=True)
+        return self._merge_udf(F.array(col))
 
     def encode(self, text: str | Column, eos: bool = False) -> Column:
         """Token ids of ``text``; with ``eos`` the end id is appended.
