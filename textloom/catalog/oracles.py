@@ -282,6 +282,12 @@ ORACLES["shifted_labels"] = (
 )
 ORACLES["whole_packed_documents"] = f"WITH {DOC_EOS} {id_summary('doc_id', 'd')}"
 ORACLES["budget_batches"] = f"WITH {DOC_EOS} SELECT *, true AS within FROM ({id_summary('doc_id', 'd')})"
+SHARD = f"({hashed('doc_id')} // {(1 << 60) // 4 + 1})::INT"
+ORACLES["streamed_packing"] = (
+    f"WITH {DOC_EOS}, o AS (SELECT {SHARD} AS shard, ids, sum(len(ids)) OVER (PARTITION BY {SHARD} ORDER BY doc_id) - len(ids) AS o FROM d), "
+    "t AS (SELECT shard, o + i AS place, id FROM (SELECT shard, o, unnest(ids) AS id, unnest(range(0, len(ids))) AS i FROM o)) "
+    "SELECT shard, (place // 1024)::BIGINT AS block_no, count(*)::INT AS n_ids, md5(string_agg(id::VARCHAR, ',' ORDER BY place)) AS digest FROM t GROUP BY 1, 2"
+)
 ORACLES["packed_rows"] = (
     f"WITH {DOC_EOS}, o AS (SELECT ids, sum(len(ids)) OVER (ORDER BY {hashed('doc_id')}, doc_id) - len(ids) AS o FROM d), "
     "t AS (SELECT o + i AS place, id FROM (SELECT o, unnest(ids) AS id, unnest(range(0, len(ids))) AS i FROM o)) "

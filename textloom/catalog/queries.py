@@ -26,7 +26,9 @@ from textloom.operators.vocabulary import count_pretokens, learn_merges, vocabul
 from textloom.plans import finetuning, pretraining
 from textloom.sources import registry, storage
 from textloom.streaming.blocks import read_new_files, stream_blocks
+
 from textloom.streaming.metrics import bucket_means, loss_by_bucket, streamed_bucket_loss, windowed_loss
+from textloom.streaming.packing import pack_stream, use_rocksdb
 from textloom.workspace import fresh_path, write_through
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -713,6 +715,36 @@ def streamed_blocks(spark, sf):
     return _block_summary(storage.read_blocks(spark, out), ["doc_id", "block_no"])
 
 
+STREAM_SHARDS = 4
+
+
+@register
+def streamed_packing(spark, sf):
+    """Documents arrive in two parts and an end; each part is a run of its own that goes on from the state of the last."""
+    docs = fx.documents(spark, sf).select(
+        F.col("doc_id").alias("seq"), F.col("doc_id").cast("string").alias("key"), fx.TOKENIZER.encode("text", eos=True).alias("ids"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("doc_id")).alias("ts"),
+    )
+    docs = write_through(docs, "ids")
+    half = docs.agg(F.max("seq")).first()[0] // 2
+    end = spark.range(1).select(
+        F.lit(None).cast("bigint").alias("seq"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("array<int>").alias("ids"),
+        F.timestamp_seconds(F.lit(4_000_000_000)).alias("ts"),
+    )
+    inbox, out, state = (fresh_path(spark, f"packing-{n}") for n in ("in", "out", "state"))
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_rocksdb(spark)
+    try:
+        for part in (docs.filter(F.col("seq") <= half), docs.filter(F.col("seq") > half), end):
+            part.write.mode("append").parquet(inbox)
+            blocks = pack_stream(read_new_files(spark, inbox, docs.schema, max_files=100_000), STREAM_SHARDS)
+            q = blocks.writeStream.format("parquet").option("path", out).option("checkpointLocation", state)
+            q.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    return _id_summary(spark.read.schema(blocks.schema).parquet(out), ["shard", "block_no"], "input_ids")
+
+
 def _streamed(spark, sf, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """What a query over the stream of log lines has appended when all lines have been read."""
     schema = fx.read(spark, sf, "events").schema
