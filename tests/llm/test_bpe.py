@@ -113,3 +113,39 @@ def test_query(spark, sf, library):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         back = library.decode(ids, skip_special_tokens=False)
         assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
+def test_what_is_no_id(spark, vocabulary):
+    rows = [([262, None, 257],), ([-1],), ([50257, 10**9],), ([],), (None,), ([50256],)]
+    for kind in ("int", "bigint"):
+        got = [r.decoded for r in bpe.decode(spark.createDataFrame(rows, f"ids array<{kind}>"), vocabulary).collect()]
+        the, a = (vocabulary.token_bytes[i].decode() for i in (262, 257))
+        assert got == [f"{the}\ufffd{a}", "\ufffd", "\ufffd\ufffd", "", "", "<|endoftext|>"]
+
+
+def test_caches_are_bounded_by_bytes(monkeypatch, vocabulary, library):
+    monkeypatch.setattr(bpe, "CACHED_BYTES", 3000)
+    monkeypatch.setattr(bpe, "CACHED_PAIRS", 50)
+    own, rng = bpe.Encoder(vocabulary), random.Random(1)
+    for _ in range(300):
+        text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(1, 40))) for _ in range(8))
+        assert ids_of(own, text) == library.encode(text, add_special_tokens=False).ids
+        for cache in (own.pretokens, own.spaced, own.plain):
+            assert sum(map(len, cache)) + sum(map(len, cache.values())) <= 3300
+        assert len(own.transducer.pairs) <= 50
+
+
+def test_a_worker_keeps_one_operators_things():
+    first = bpe.of_worker("x", 1, list)
+    assert bpe.of_worker("x", 1, list) is first
+    bpe.of_worker("y", 1, list)
+    assert bpe.of_worker("x", 1, list) is not first
+
+
+def test_slices_of_a_batch():
+    import pyarrow as pa
+
+    batch = pa.record_batch({"t": ["aa", None, "b" * 50, "", "ccc"], "n": [1, 2, 3, 4, 5]})
+    parts = list(bpe.slices(batch, 10))
+    assert [p.column("n").to_pylist() for p in parts] == [[1, 2], [3], [4, 5]]
+    assert [p.num_rows for p in bpe.slices(batch.slice(0, 0), 10)] == [0]

@@ -16,8 +16,11 @@ import json
 import struct
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from sys import getsizeof
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -29,10 +32,13 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 SPACES = frozenset(c for c in map(chr, range(0x10000)) if regex.match(r"\s", c))
 
-# Bounds of the caches (entries), of what enters them (characters) and of the runs of text and bytes
-# handled at a time; none of them changes a result.
-CACHED_SEGMENTS = 400_000
+# Bounds of a generation of a cache (bytes), of what enters it (characters), of the known pairs, and of
+# the runs of text and bytes handled at a time; none of them changes a result.
+CACHED_BYTES = 24 << 20
+CACHED_PAIRS = 1 << 17
 LONG = 128
+SLICE = 4 << 20
+ENTRY = 104  # bytes of a dictionary for one entry
 CHUNK = 1 << 14
 PIECE = 1 << 10
 
@@ -166,7 +172,7 @@ class Transducer:
         """Whether ``a`` and ``b`` stay as they are when they stand side by side."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) >= CACHED_SEGMENTS:
+            if len(self.pairs) >= CACHED_PAIRS:
                 self.pairs.clear()
             known = self.pairs[a, b] = self._fits(a, b)
         return known
@@ -267,22 +273,21 @@ class Encoder:
         self.plain = _Segments(self, "")
         self.added = regex.compile("|".join(map(regex.escape, sorted(v.added, key=len, reverse=True)))) if v.added else None
 
-    def pretoken(self, piece: str) -> list[int]:
+    def pretoken(self, piece: str) -> bytes:
         known = self.pretokens.get(piece)
         if known is None:
             t, data = self.transducer, piece.encode("utf-8", "surrogatepass")
             if len(data) <= LONG:
-                known = t.whole(data)
+                known = _packed(t.whole(data))
                 self.pretokens.put(piece, known)
             else:
-                known = [i for at in range(0, len(data), PIECE) for i in t.feed(data[at : at + PIECE])]
-                known += t.finish()
+                known = b"".join(_packed(t.feed(data[at : at + PIECE])) for at in range(0, len(data), PIECE))
+                known += _packed(t.finish())
         return known
 
     def raw(self, piece: str) -> bytes:
         """Ids of ``piece`` as little-endian unsigned 32-bit integers."""
-        ids = [i for p in self.split.findall(piece) for i in self.pretoken(p)]
-        return struct.pack(f"<{len(ids)}I", *ids)
+        return b"".join(map(self.pretoken, self.split.findall(piece)))
 
     def chunks(self, text: str) -> Iterator[bytes]:
         """Ids of ``text`` in order, a bounded run of text at a time."""
@@ -330,6 +335,10 @@ class _Unclean(Exception):
     pass
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _is_clean(part: str) -> tuple[bool, bool]:
     """Whether the part begins, and ends, with something else than white space."""
     if not part:
@@ -338,14 +347,20 @@ def _is_clean(part: str) -> tuple[bool, bool]:
 
 
 class Recent(dict):
-    """A cache of two generations: the older one is forgotten when the younger one is full."""
+    """A cache of two generations: the older one is forgotten when the younger one is full.
+
+    A generation is full when its keys and values, strings or bytes, have ``CACHED_BYTES``.
+    """
 
     older: dict = {}
+    held = 0
 
     def put(self, key, value) -> None:
-        if len(self) >= CACHED_SEGMENTS:
+        if self.held >= CACHED_BYTES:
             self.older = dict(self)
             self.clear()
+            self.held = 0
+        self.held += getsizeof(key) + getsizeof(value) + ENTRY
         self[key] = value
 
     def get(self, key):
@@ -383,27 +398,59 @@ class Decoder:
         ids = memoryview(raw).cast("I")
         return self.state.decode(b"".join(map(self.table.__getitem__, ids)))
 
+    def text(self, ids: Iterable[int | None]) -> str:
+        """Text of whole ids; a byte that is never part of UTF-8 stands for what is no id."""
+        table, most = self.table, len(self.table)
+        parts = (table[i] if i is not None and 0 <= i < most else b"\xff" for i in ids)
+        return self.state.decode(b"".join(parts)) + self.finish()
+
     def finish(self) -> str:
         out = self.state.decode(b"", True)
         self.state.reset()
         return out
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_HELD: dict = {}
+
+
+def of_worker(owner: str, key, make):
+    """What ``make`` gives, kept in this Python worker for later tasks.
+
+    Only one operator's things are kept: they go when another operator asks.
+    """
+    if _HELD.get("owner") != owner:
+        _HELD.clear()
+        _HELD["owner"] = owner
+    if (owner, key) not in _HELD:
+        _HELD[owner, key] = make()
+    return _HELD[owner, key]
 
 
 def encoder_of(v: Vocabulary) -> Encoder:
     """The encoder of this Python worker, so that later tasks find its caches filled."""
-    if v.key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[v.key] = Encoder(v)
-    return _ENCODERS[v.key]
+    return of_worker("bpe", v.key, lambda: Encoder(v))
+
+
+def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, about ``most`` bytes of text at a time; a longer text is alone."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield batch.slice(start, row - start)
+            start, held = row, 0
+        held += size
+    yield batch.slice(start)
 
 
 def with_python_rows(df: DataFrame, make, fields: list[T.StructField]) -> DataFrame:
-    """``df`` with new columns from ``make() -> function of Arrow batch -> dict of lists``.
+    """``df`` with new columns from ``make() -> function of Arrow batch -> dict of lists or arrays``.
 
-    The factory runs once in each task, so caches live as long as the task.
+    The factory runs once in each task, so caches live as long as the task. A batch holds
+    a bounded run of text.
     """
     schema = T.StructType([*df.schema.fields, *fields])
     names = [f.name for f in fields]
@@ -413,15 +460,22 @@ def with_python_rows(df: DataFrame, make, fields: list[T.StructField]) -> DataFr
 
         target = to_arrow_schema(schema)
         work = make()
-        for batch in batches:
-            made = work(batch)
-            arrays = [*batch.columns, *[pa.array(made[n], target.field(n).type) for n in names]]
-            columns = [a.cast(f.type) if a.type != f.type else a for a, f in zip(arrays, target, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=target.names)
+        for whole in batches:
+            for batch in slices(whole):
+                made = work(batch)
+                new = [v if isinstance(v := made[n], pa.Array) else pa.array(v, target.field(n).type) for n in names]
+                columns = [a.cast(f.type) if a.type != f.type else a for a, f in zip([*batch.columns, *new], target, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=target.names)
 
     return df.mapInArrow(run, schema)
 
 
+def _id_lists(raw: list[bytes]) -> pa.ListArray:
+    """Lists of ids from their packed form, without a Python number for each."""
+    offsets = np.cumsum([0, *(len(r) // 4 for r in raw)])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(raw), "<i4")))
+
+
 def _broadcast(df: DataFrame, v: Vocabulary):
     return df.sparkSession.sparkContext.broadcast(v)  # as large as the vocabulary file, whatever the data
 
@@ -439,8 +493,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
 
         def work(batch):
             raw = [b"".join(encoder.chunks(t)) if t else b"" for t in batch.column(text).to_pylist()]
-            ids = [memoryview(r).cast("I").tolist() if r else [] for r in raw]
-            return {out: ids, "n_tokens": [len(i) for i in ids]}
+            return {out: _id_lists(raw), "n_tokens": [len(r) // 4 for r in raw]}
 
         return work
 
@@ -449,18 +502,19 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", out: str =
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add ``out``, the text of the ids; null ids give an empty text, split characters U+FFFD."""
+    """Add ``out``, the text of the ids; a null list gives an empty text.
+
+    A split character, a null in the list, a negative id and one beyond the vocabulary
+    give U+FFFD.
+    """
     shared = _broadcast(df, vocabulary)
 
     def make():
         decoder = Decoder(shared.value)
 
         def work(batch):
-            texts = []
-            for row in batch.column(ids).to_pylist():
-                raw = b"".join(i.to_bytes(4, "little") for i in row or ())
-                texts.append(decoder.feed(raw) + decoder.finish())
-            return {out: texts}
+            # One list at a time, whatever the others have.
+            return {out: [decoder.text(row.as_py() or ()) for row in batch.column(ids)]}
 
         return work
 
@@ -481,23 +535,23 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: s
 
         def work(batch):
             rows: dict[str, list] = {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "round_trip")}
-            kept: list[list[int]] = []
+            kept: list[bytes] = []
             for t in batch.column(text).to_pylist():
                 n, digest, back, own = 0, hashlib.sha256(), hashlib.sha256(), []
                 for raw in encoder.chunks(t or ""):
                     n += len(raw) // 4
                     digest.update(raw)
                     if ids:
-                        own += memoryview(raw).cast("I")
+                        own.append(raw)
                     back.update(decoder.feed(raw).encode())
                 back.update(decoder.finish().encode())
                 rows["n_tokens"].append(n)
-                kept.append(own)
+                kept.append(b"".join(own))
                 rows["ids_sha256"].append(digest.hexdigest())
                 rows["decoded_sha256"].append(back.hexdigest())
                 whole = hashlib.sha256((t or "").encode("utf-8", "surrogatepass")).digest()
                 rows["round_trip"].append(back.digest() == whole)
-            return rows | ({ids: kept} if ids else {})
+            return rows | ({ids: _id_lists(kept)} if ids else {})
 
         return work
 

@@ -4,19 +4,24 @@ from __future__ import annotations
 
 import base64
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from textloom.llm.bpe import Recent, with_python_rows
-from textloom.llm.words import WordHashes, grams, words_of
+from textloom.llm.bpe import of_worker, slices, with_python_rows
+from textloom.llm.words import grams, words_of
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 WINDOW = 3
+CACHED_BYTES = 64 << 20  # of known words, and what one takes besides its letters; neither changes a result
+WORD = 200
+PART = 1 << 20  # text whose words are looked up at a time
 
 
 @dataclass(frozen=True)
@@ -32,6 +37,13 @@ class Piece:
         fallback = np.array([model.is_byte(i) for i in range(model.get_piece_size())])
         return lambda word: model.encode(word), fallback
 
+    def load_all(self):
+        """The encoding of many words in one call."""
+        import sentencepiece
+
+        model = sentencepiece.SentencePieceProcessor(model_proto=self.model)
+        return lambda words: model.encode(words, num_threads=1)
+
 
 @dataclass(frozen=True)
 class Ranks:
@@ -58,6 +70,11 @@ class Ranks:
                 fallback[rank] = True
         return lambda word: model.encode_ordinary(" " + word), fallback
 
+    def load_all(self):
+        """The encoding of many words in one call."""
+        encode = self.model().encode_ordinary
+        return lambda words: [encode(" " + w) for w in words]
+
 
 def piece_model(path: str) -> Piece:
     with open(path, "rb") as f:
@@ -111,31 +128,95 @@ def script_of(text: str) -> str:
     return best if totals[best] else "other"
 
 
-class _Tokens(Recent):
-    """Token ids of a word in one vocabulary, as unsigned 16 or 32-bit integers."""
+class _Numbers(dict):
+    """A number for each distinct word; new words are listed."""
+
+    def __init__(self):
+        self.fresh: list[bytes] = []
 
-    def __init__(self, encode, kind):
-        self.encode, self.kind = encode, kind
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
 
-    def __missing__(self, word: bytes) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            found = np.array(self.encode(word.decode("utf-8", "replace")), self.kind).tobytes()
-        if len(word) <= 64:
-            self.put(word, found)
-        return found
 
+class _Grown:
+    """An array that grows at its end."""
 
-_LOADED: dict = {}
+    def __init__(self, kind):
+        self.room, self.size = np.empty(1 << 16, kind), 0
 
+    def extend(self, values: np.ndarray) -> None:
+        while self.size + len(values) > len(self.room):
+            self.room = np.concatenate([self.room, np.empty_like(self.room)])
+        self.room[self.size : self.size + len(values)] = values
+        self.size += len(values)
 
-def _tokens_of(name: str, source) -> tuple[_Tokens, np.ndarray]:
-    """One vocabulary of this Python worker, kept for later tasks."""
-    key = (name, hash(source))
-    if key not in _LOADED:
-        encode, fallback = source.load()
-        _LOADED[key] = _Tokens(encode, np.uint16 if len(fallback) <= 1 << 16 else np.uint32), fallback
-    return _LOADED[key]
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
+class _Words:
+    """Hash and token ids of distinct words by their numbers; forgets everything when it holds too much.
+
+    A word is looked up once, whatever the number of vocabularies, and the new words of
+    some texts are encoded by one call for each vocabulary.
+    """
+
+    def __init__(self, vocabularies: dict):
+        self.encoders = {name: source.load_all() for name, source in vocabularies.items()}
+        self.fallback = {name: source.load()[1] for name, source in vocabularies.items()}
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers, self.held = _Numbers(), 0
+        self.hashes = _Grown(np.uint64)
+        self.tokens = {name: _Grown(np.uint32) for name in self.encoders}
+        self.ends = {name: _Grown(np.int64) for name in self.encoders}
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        if self.held > CACHED_BYTES:
+            self.clear()
+        out = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        fresh, self.numbers.fresh = self.numbers.fresh, []
+        if fresh:
+            self.held += sum(map(len, fresh)) + WORD * len(fresh)
+            self.hashes.extend(np.fromiter(map(xxhash.xxh3_64_intdigest, fresh), np.uint64, len(fresh)))
+            texts = [w.decode("utf-8", "replace") for w in fresh]
+            for name, encode in self.encoders.items():
+                ids = encode(texts)
+                counts = np.fromiter(map(len, ids), np.int64, len(ids))
+                own = self.tokens[name]
+                self.ends[name].extend(own.size + np.cumsum(counts))
+                own.extend(np.fromiter(chain.from_iterable(ids), np.uint32, int(counts.sum())))
+        return out
+
+    def ids(self, name: str, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of some words one after another, and how many each word has."""
+        ends = self.ends[name].values
+        begins = np.concatenate([[0], ends[:-1]])
+        n = ends[numbers] - begins[numbers]
+        at = np.repeat(begins[numbers] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return self.tokens[name].values[at], n
+
+
+def _measures(ids: np.ndarray, n: np.ndarray, bounds: np.ndarray, fallback: np.ndarray) -> list[tuple[int, float, float]]:
+    """Tokens, share of fallback tokens and entropy of each text; ``bounds`` cuts the words into texts."""
+    ends = np.concatenate([[0], np.cumsum(n)])[bounds]
+    total = np.diff(ends)
+    text = np.repeat(np.arange(len(total)), total)
+    plain = np.concatenate([[0], np.cumsum(fallback[ids])])
+    back = plain[ends[1:]] - plain[ends[:-1]]
+    seen = np.sort(text * len(fallback) + ids)
+    first = np.flatnonzero(np.concatenate([[True], seen[1:] != seen[:-1]])) if len(seen) else np.empty(0, np.int64)
+    count, of = np.diff(first, append=len(seen)), seen[first] // len(fallback)
+    share = count / total[of]
+    entropy = np.zeros(len(total))
+    if len(of):
+        starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        entropy[of[starts]] = -np.add.reduceat(share * np.log2(share), starts)
+    return [(t, b / t if t else 0.0, e) for t, b, e in zip(total.tolist(), back.tolist(), entropy.tolist(), strict=True)]
 
 
 def repeated_words(hashes: np.ndarray, window: int = WINDOW) -> int:
@@ -186,37 +267,43 @@ def quality_rules(
     names = [f.name for f in fields]
 
     def make():
-        hashes = WordHashes()
-        loaded = {name: _tokens_of(name, source) for name, source in shared.value.items()}
+        key = tuple((name, hash(source)) for name, source in shared.value.items())
+        known = of_worker("quality", key, lambda: _Words(shared.value))
 
-        def row(t: str, language: str | None) -> list:
-            words = words_of(t)
-            n = len(words)
+        def row(t: str, language: str | None, hashes: np.ndarray, found: list[tuple[int, float, float]]) -> list:
+            n = len(hashes)
             chars = len(t) - sum(map(t.count, SPACES))
-            repeats = repeated_words(hashes.of(words))
+            repeats = repeated_words(hashes)
             out = [n, chars, sum(map(t.count, SYMBOLS)), repeated_lines(t), repeats]
             failed = n < MIN_WORDS or 100 * repeats > REPEAT_PERCENT * n
             kept = not failed
-            for name, (tokens, fallback) in loaded.items():
-                ids = np.frombuffer(b"".join(map(tokens.__getitem__, words)), tokens.kind)
-                if not len(ids):
+            for name, (tokens, share, entropy) in zip(known.encoders, found, strict=True):
+                if not tokens:
                     out += [0, None, None, None]
                     kept = False
                     continue
-                seen = np.bincount(ids, minlength=len(fallback))
-                share = seen[seen > 0] / len(ids)
-                measure = (chars / len(ids), float(seen[fallback].sum() / len(ids)), float(-(share * np.log2(share)).sum()))
-                out += [len(ids), *measure]
+                out += [tokens, chars / tokens, share, entropy]
                 if kept:
                     band = bands.of(name, language, t)
                     low, high = band.chars_per_token
-                    kept = low <= measure[0] <= high and measure[1] <= band.max_fallback and measure[2] >= band.min_entropy
+                    kept = low <= chars / tokens <= high and share <= band.max_fallback and entropy >= band.min_entropy
             return [*out, failed, kept]
 
+        def some(texts: list[str], langs: list[str | None]) -> list[list]:
+            words = [words_of(t) for t in texts]
+            bounds = np.cumsum([0, *map(len, words)])
+            numbers = known.of(list(chain.from_iterable(words)))
+            hashes = known.hashes.values[numbers]
+            found = [_measures(*known.ids(name, numbers), bounds, known.fallback[name]) for name in known.encoders]
+            each = zip(*found, strict=True) if found else ([] for _ in texts)
+            return [row(t, k, hashes[a:b], list(f)) for t, k, a, b, f in zip(texts, langs, bounds[:-1], bounds[1:], each, strict=True)]
+
         def work(batch):
-            texts = batch.column(text).to_pylist()
-            langs = batch.column(lang).to_pylist() if lang in batch.schema.names else [None] * len(texts)
-            rows = [row(t or "", k) for t, k in zip(texts, langs, strict=True)]
+            rows: list[list] = []
+            for part in slices(batch, PART):
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                langs = part.column(lang).to_pylist() if lang in part.schema.names else [None] * len(texts)
+                rows += some(texts, langs)
             return {n: [r[i] for r in rows] for i, n in enumerate(names)}
 
         return work

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.bpe import Recent
+from textloom.llm.bpe import Recent, of_worker
 from textloom.workspace import fresh_path
 
 LENGTH = 2048
@@ -74,20 +74,18 @@ class _Ids(Recent):
         return found
 
 
-_MODELS: dict = {}
-
-
 def token_encoder(vocabulary):
     """Whole text to ids of a vocabulary with fewer than 65,536 tokens, as bytes.
 
     A pretoken begins at a single space between two other characters, so the text
     between such spaces is encoded once and kept.
     """
-    key = hash(vocabulary)
-    if key not in _MODELS:
+
+    def load():
         encode = vocabulary.model().encode_ordinary
-        _MODELS[key] = encode, _Ids(encode, ""), _Ids(encode, " ")
-    encode, first, spaced = _MODELS[key]
+        return encode, _Ids(encode, ""), _Ids(encode, " ")
+
+    encode, first, spaced = of_worker("training order", hash(vocabulary), load)
 
     def run(text: str) -> bytes:
         if not text:
