@@ -141,6 +141,7 @@ N_BYTES = f"(octet_length(encode({prefixed('text')})) + 1)"
 ORACLES["sorted_block_shards"] = f"SELECT doc_id, ceil({N_BYTES} / 1024.0)::BIGINT AS n_blocks, {N_BYTES}::BIGINT AS n_tokens, true AS sorted_in_files, true AS files_apart FROM documents"
 ORACLES["text_sink"] = f"WITH {CORPUS}, {LINES} SELECT source, count(*) AS lines, sum(length(text))::BIGINT AS chars FROM lines GROUP BY 1"
 ORACLES["line_pretoken_counts"] = f"WITH {CORPUS}, {LINES} {pretoken_table('lines')}"
+ORACLES["incremental_table"] = "SELECT doc_id, length(text)::INT AS chars FROM documents"
 ORACLES["materialize_once"] = f"WITH {CORPUS} SELECT source, id, length(text)::INT AS chars FROM corpus"
 RAGGED = "'　' || chr(9) || text || ' ' || chr(28) || chr(10) || chr(133)"
 ORACLES["strip_text"] = f"SELECT doc_id, {strip(RAGGED)} AS text FROM documents"

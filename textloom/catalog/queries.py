@@ -24,9 +24,8 @@ from textloom.operators.preferences import best_and_worst, keep_comparable
 from textloom.operators.tokenizer import BYTE_TOKENIZER, Tokenizer
 from textloom.operators.vocabulary import count_pretokens, learn_merges, vocabulary
 from textloom.plans import finetuning, pretraining
-from textloom.sources import registry, storage
+from textloom.sources import incremental, registry, storage
 from textloom.streaming.blocks import read_new_files, stream_blocks
-
 from textloom.streaming.metrics import bucket_means, loss_by_bucket, streamed_bucket_loss, windowed_loss
 from textloom.streaming.packing import pack_stream, use_rocksdb
 from textloom.workspace import fresh_path, write_through
@@ -164,6 +163,18 @@ def materialize_once(spark, sf):
     return storage.materialize(spark, build, path, {"sources": 5})
 
 
+@register
+def incremental_table(spark, sf):
+    """Rows made from the files of one table; the second call finds all files in the manifest."""
+    path, schema = fresh_path(spark, "files"), fx.read(spark, sf, "documents").schema
+
+    def chars(docs: DataFrame) -> DataFrame:
+        return docs.select("doc_id", F.length("text").alias("chars"), "file")
+
+    incremental.materialize_files(spark, f"{sf}/documents.parquet", schema, chars, path)
+    return incremental.materialize_files(spark, f"{sf}/documents.parquet", schema, chars, path)
+
+
 def _learned(spark, sf) -> Tokenizer:
     return learn_merges(count_pretokens(fx.documents(spark, sf)), FIRST_MERGE_ID + LEARNED)
 
