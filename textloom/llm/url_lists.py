@@ -50,11 +50,20 @@ def intervals(entries: DataFrame, at: str = "at") -> DataFrame:
     return closed.select("kind", "pattern", "category", F.col(at).alias("valid_from"), "valid_to")
 
 
-def lookup_keys(url: str | Column) -> Column:
+def listed_sizes(listed: DataFrame) -> dict[str, list[int]]:
+    """Numbers of labels that listed domains have, and of steps that listed prefixes have; a few small numbers."""
+    parts = F.when(F.col("kind") == "domain", F.size(F.split("pattern", r"\."))).otherwise(F.size(F.split("pattern", "/")))
+    rows = listed.filter("kind in ('domain', 'prefix')").select("kind", parts.alias("n")).distinct().collect()
+    return {kind: sorted(r.n for r in rows if r.kind == kind) for kind in ("domain", "prefix")}
+
+
+def lookup_keys(url: str | Column, sizes: dict[str, list[int]] | None = None) -> Column:
     """Array of (kind, pattern) that could be listed for this URL.
 
     Every suffix of the host at a dot, the host, every prefix of the location at a slash
-    and the location. The number of dots and slashes bounds its length.
+    and the location. The number of dots and slashes bounds its length; with ``sizes``
+    only suffixes and prefixes of as many parts as some listed one has are among them, so
+    a top-level domain, which nearly all captures share, is asked for only if it is listed.
     """
     host, location = host_of(url), location_of(url)
     labels, steps = F.split(host, r"\."), F.split(location, "/")
@@ -62,12 +71,15 @@ def lookup_keys(url: str | Column) -> Column:
     def key(kind: str, pattern: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), pattern.alias("pattern"))
 
+    def some(kind: str, numbers: Column, size) -> Column:
+        return numbers if sizes is None else F.filter(numbers, lambda i: size(i).isin(sizes[kind]))
+
     domains = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        some("domain", F.sequence(F.lit(1), F.size(labels)), lambda i: F.size(labels) - i + 1),
         lambda i: key("domain", F.array_join(F.slice(labels, i, F.size(labels)), ".")),
     )
     prefixes = F.transform(
-        F.sequence(F.lit(1), F.size(steps)), lambda i: key("prefix", F.array_join(F.slice(steps, F.lit(1), i), "/"))
+        some("prefix", F.sequence(F.lit(1), F.size(steps)), lambda i: i), lambda i: key("prefix", F.array_join(F.slice(steps, F.lit(1), i), "/"))
     )
     one = F.array(key("host", host), key("url", location))
     return F.when(host != "", F.array_distinct(F.concat(domains, one, prefixes)))
@@ -85,7 +97,7 @@ def judge(captures: DataFrame, listed: DataFrame, url: str = "url", fetched: str
     rows = captures.drop(*added)
     # The names of this function's own columns cannot clash with those of the captures.
     asked = rows.select(F.col(url).alias("u"), F.col(fetched).alias("t")).dropna().distinct()
-    keys = asked.select("u", "t", F.explode(lookup_keys("u")).alias("k")).select("u", "t", "k.kind", "k.pattern")
+    keys = asked.select("u", "t", F.explode(lookup_keys("u", listed_sizes(listed))).alias("k")).select("u", "t", "k.kind", "k.pattern")
     active = (F.col("valid_from") <= F.col("t")) & (F.col("valid_to").isNull() | (F.col("t") < F.col("valid_to")))
     found = (
         keys.join(listed, ["kind", "pattern"])
