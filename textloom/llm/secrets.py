@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from textloom.operators.skew import attach_group_values
+
 # The three base patterns. The two without a group ask for the least length in
 # the pattern itself; a run that is too short holds no longer one, so nothing else changes.
 ASSIGN = (
@@ -108,7 +110,7 @@ def unseen(history: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...], key:
     first = rows.groupBy("blob").agg(F.min("path").alias("path"))
     todo = F.array_except(F.array(*map(F.lit, names)), F.coalesce(F.col("seen"), F.array().cast("array<string>")))
     work = first.join(seen, "blob", "left").withColumn("todo", todo).filter(F.size("todo") > 0)
-    work = work.select(F.col("blob").alias("_blob"), F.col("path").alias("_path"), "todo").hint("shuffle_hash")
+    work = work.select(F.col("blob").alias("_blob"), F.col("path").alias("_path"), "todo")
     # Path and blob together: a blob with very many paths does not meet in one task.
     same = (F.col("blob") == F.col("_blob")) & F.col("path").eqNullSafe(F.col("_path"))
     return rows.join(work, same).select("blob", "todo", "text")
@@ -187,7 +189,10 @@ def findings(
     of_blob = by_blob(ledger, rules)
     rows = history.drop("found").withColumn("_blob", blob_of(text)).drop("blob", text)
     rows = rows.withColumnRenamed("_blob", "blob")
-    return rows.join(of_blob, "blob", "left").withColumn(
+    # A blob may be on very many paths: the most frequent ones do not go through the shuffle.
+    sizes = rows.groupBy("blob").agg(F.count(F.lit(1)).alias("_paths"))
+    joined = attach_group_values(rows, of_blob.join(sizes, "blob"), "blob", "_paths", key)
+    return joined.drop("_paths").withColumn(
         "found", F.coalesce("found", F.array().cast(of_blob.schema["found"].dataType))
     )
 
