@@ -164,3 +164,14 @@ def test_one_value_on_nearly_all_rows(spark, monkeypatch, common):
         key, total = ordering.kth_key(df, ["k"], lambda n: k)
         assert total == len(values) and key == (ordered[k - 1],)
     assert ordering.kth_key(df, ["k"], lambda n: n + 1)[0] is None
+
+
+def test_shards_follow_the_input_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    numbered(spark, 5000, parts=4).write.parquet(path)
+    df = spark.read.parquet(path)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = sum(f.stat().st_size for f in (tmp_path / "rows").glob("*.parquet"))
+    assert ordering.shard_count(df, size // 20) == 21 and ordering.shard_count(df) == least
+    assert ordering.shard_count(numbered(spark, 10)) == least
+    assert ordering.shuffle_rows(df, "k").rdd.getNumPartitions() == least

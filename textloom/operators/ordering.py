@@ -23,6 +23,7 @@ PIVOTS = 31
 SORT_ROWS = 100_000
 BUCKET_BITS = 16
 ROWS_PER_BUCKET = 250_000
+SHARD_BYTES = 64 << 20  # of stored files; what a task holds of them is a few times as large
 _HASH = "_order_hash"
 
 
@@ -126,13 +127,28 @@ def by_split(df: DataFrame) -> dict[str, DataFrame]:
     return {name: df.filter(F.col("split") == name).drop("split") for name in ("train", "test")}
 
 
+def shard_count(df: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
+    """Shards of about ``shard_bytes`` of the files that ``df`` is read from, at least ``shuffle.partitions``.
+
+    Lists the files and reads none; rows that come from no file count for nothing.
+    """
+    spark = df.sparkSession
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    files = df.inputFiles()
+    if not files:
+        return least
+    stored = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+    return max(least, -(-stored // shard_bytes))
+
+
 def shuffle_rows(df: DataFrame, key: str, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """Rows in global seeded-hash order: one exchange, no sampling pass.
 
     The hash is uniform, so equal slices of its range are equal shards.
-    Partition i holds the i-th slice, sorted.
+    Partition i holds the i-th slice, sorted. Without ``shards`` their number follows
+    from the bytes of the input files.
     """
-    shards = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = shards or shard_count(df)
     width = (1 << HASH_BITS) // shards + 1
     hashed = df.withColumn(_HASH, seeded_hash(key, seed=seed))
     placed = hashed.repartitionById(shards, F.expr(f"cast({_HASH} div {width}L as int)"))
