@@ -466,6 +466,12 @@ ORACLES["run_progress"] = (
     "(epoch_us(ts) - min(epoch_us(ts)) OVER (PARTITION BY run)) / 1e6::DOUBLE AS el FROM log) "
     f"SELECT run, step, ts, progress, {clock('el')} AS elapsed, {clock('el / progress - el')} AS remaining FROM e"
 )
+ORACLES["streamed_progress"] = (
+    f"WITH {LOG}, e AS (SELECT run::VARCHAR AS run, first(step ORDER BY ts DESC, step DESC) AS step, count(*) AS lines, "
+    "(max(epoch_us(ts)) - min(epoch_us(ts))) / 1e6::DOUBLE AS el FROM log WHERE ts IS NOT NULL AND step IS NOT NULL GROUP BY 1), "
+    "p AS (SELECT *, step / 200000 AS progress FROM e) "
+    f"SELECT run, step, lines, progress, {clock('el')} AS elapsed, {clock('el / progress - el')} AS remaining FROM p"
+)
 ORACLES["main_process_log"] = f"WITH {LOG} SELECT run, step, CASE WHEN isnan(train_loss) THEN -1 ELSE train_loss END AS train_loss FROM log WHERE rank = 0"
 ORACLES["loss_per_bucket"] = (
     f"WITH {LOG}, b AS (SELECT run, step // 50 AS bucket, avg(train_loss) AS mean_loss, count(train_loss) AS lines FROM log GROUP BY 1, 2) "

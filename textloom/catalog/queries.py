@@ -28,6 +28,7 @@ from textloom.sources import incremental, registry, storage
 from textloom.streaming.blocks import read_new_files, stream_blocks
 from textloom.streaming.metrics import bucket_means, loss_by_bucket, streamed_bucket_loss, windowed_loss
 from textloom.streaming.packing import pack_stream, use_rocksdb
+from textloom.streaming.progress import latest_progress, progress_stream
 from textloom.workspace import fresh_path, write_through
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -775,6 +776,16 @@ def _streamed(spark, sf, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
     return spark.read.parquet(out)
 
 
+@register
+def streamed_progress(spark, sf):
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    use_rocksdb(spark)
+    try:
+        return latest_progress(_streamed(spark, sf, progress_stream)).drop("alarms")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+
+
 @register
 def streamed_loss(spark, sf):
     return _named_nan(_streamed(spark, sf, windowed_loss), "mean_loss").select(
