@@ -194,3 +194,20 @@ def test_cells_let_out_no_more_links_than_rows(spark):
 def test_bands_are_tuned_for_recall():
     bands, rows = paragraphs.tune(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999 > 1 - (1 - 0.8**rows) ** (bands - 1)
+
+
+def test_components_with_hubs_and_chains(spark, monkeypatch):
+    """Nodes with most of the links go round the shuffle: the same components."""
+    from textloom.llm import components as C
+
+    rng = random.Random(6)
+    links = [(0, i) for i in range(1, 400)] + [(5000, i) for i in range(300, 700)] + [(i, i + 1) for i in range(10_000, 10_300)]
+    links += [(rng.randrange(20_000, 20_400), rng.randrange(20_000, 20_400)) for _ in range(500)]
+    rng.shuffle(links)
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    nodes = {x for p in links for x in p if p[0] != p[1]}
+    want = components(nodes, [p for p in links if p[0] != p[1]])
+    for small in (1000, 50):
+        monkeypatch.setattr(C, "SMALL", small)
+        monkeypatch.setattr(C, "HUBS", 20)
+        assert {r.node: r.component for r in C.connected_components(df).collect()} == want

@@ -15,31 +15,30 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     """``node`` and ``component`` (its smallest node) of every node of a link between two nodes.
 
     Large-star and small-star steps in turn: each points nodes at the smallest neighbour
-    known, so the longest path shrinks by half about every round. A minimum per node is
-    a partial aggregate; it is joined back by node, for nodes with more than a
-    ``HUBS``-th of all links by a broadcast (there are at most twice as many as ``HUBS``),
-    so the links of a node never meet in one task. Links with a null end and links to
-    oneself count for nothing.
+    known, so the longest path shrinks by half about every round. Links are dealt by node
+    once for each step, for the minimum and for joining it back. Nodes with more than a
+    ``HUBS``-th of all links (at most twice as many as ``HUBS``) do not go through that
+    shuffle: their minimum is a partial aggregate that is broadcast, so the links of a
+    node never meet in one task. Links with a null end and links to oneself count for nothing.
     """
     x, y = F.col(a), F.col(b)
     links = links.filter(x.isNotNull() & y.isNotNull() & (x != y))
     links = cut_lineage(links.select(F.greatest(x, y).alias("hi"), F.least(x, y).alias("lo")).distinct())
     state = _state(links)
-    while True:
-        most = max(SMALL, 2 * state[0] // HUBS)
-        # Every larger neighbour of a node is pointed at the node's smallest neighbour.
+    while state[0]:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
-        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
-        least = least.select("u", F.least("u", "m").alias("m"), "n")
-        large = _with_least(both.filter("v > u"), least, "u", most).select(F.col("v").alias("hi"), F.col("m").alias("lo"))
+        hubs: list = []
+        if state[0] > SMALL:
+            degree = both.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+            hubs = [r.u for r in degree.filter(F.col("n") > max(SMALL, 2 * state[0] // HUBS)).select("u").collect()]
+        # Every larger neighbour of a node is pointed at the node's smallest neighbour.
+        large = _with_least(both, "u", "v", hubs).filter("v > u").select(F.col("v").alias("hi"), F.least("u", "m").alias("lo"))
         # A node and its smaller neighbours are pointed at the smallest of them.
-        large = cut_lineage(large.filter("hi != lo").distinct())
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"), F.count(F.lit(1)).alias("n"))
-        small = _with_least(large, least, "hi", most).select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        small = small.filter("hi != lo").unionByName(least.select("hi", F.col("m").alias("lo")))
-        links = cut_lineage(small.distinct())
+        small = _with_least(large.filter("hi != lo"), "hi", "lo", hubs)
+        small = small.select(F.explode(F.array(F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")), F.struct("hi", F.col("m").alias("lo")))).alias("l"))
+        links = cut_lineage(small.select("l.hi", "l.lo").filter("hi != lo").distinct())
         last, state = state, _state(links)
         if last == state:
             break
@@ -47,11 +46,17 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
 
 
-def _with_least(rows: DataFrame, least: DataFrame, key: str, most: int) -> DataFrame:
-    """``rows`` with ``m`` of their key; keys with more than ``most`` links do not go through the shuffle."""
-    hubs = F.broadcast(least.filter(F.col("n") > most).select(key, "m"))
-    rest = rows.join(hubs.drop("m"), key, "left_anti").join(least.filter(F.col("n") <= most).select(key, "m"), key)
-    return rows.join(hubs, key).select(*rest.columns).unionByName(rest)
+def _with_least(rows: DataFrame, key: str, value: str, hubs: list) -> DataFrame:
+    """``rows`` with ``m``, the smallest value of their key."""
+
+    def joined(rows: DataFrame, hint) -> DataFrame:
+        return rows.join(hint(rows.groupBy(key).agg(F.min(value).alias("m"))), key)
+
+    if not hubs:
+        return joined(rows.repartition(key), lambda least: least)
+    is_hub = F.col(key).isin(hubs)
+    rest = joined(rows.filter(~is_hub).repartition(key), lambda least: least)
+    return rest.unionByName(joined(rows.filter(is_hub), F.broadcast).select(*rest.columns))
 
 
 def _state(links: DataFrame) -> tuple:
