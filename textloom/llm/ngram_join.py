@@ -377,18 +377,22 @@ def _linked_in(tokens, bounds, part, block, percent: int, table, orders: int) ->
 
 
 def block_links(
-    rows: DataFrame, docs: DataFrame, size: int, percent: int, table: np.ndarray | None = None, orders: int = 1
-) -> DataFrame:
+    buckets: DataFrame, features: DataFrame, docs: DataFrame, size: int, percent: int,
+    table: np.ndarray | None = None, orders: int = 1,
+) -> DataFrame:
     """Links ``a, b`` of similar enough documents that join all components which such links join.
 
-    ``rows`` has documents ``key`` of known ``component`` by their buckets ``t``, see
-    ``candidate_links``. What these connect is a cluster; the sets of a cluster meet in
+    ``buckets`` has documents ``key`` of known ``component`` by their buckets ``t`` with
+    the number ``size`` of documents, ``features`` the size ``n`` and bitmap ``sig`` of a
+    document. What ``candidate_links`` connect is a cluster; the sets of a cluster meet in
     cells of bounded size, where every further order is asked and whole sets are compared.
     """
-    rows = write_through(rows, "buckets")
+    buckets = write_through(buckets.select("t", "size", "key", "component"), "buckets")
+    rows = buckets.join(features.select("key", "n", "sig"), "key")
     clusters = connected_components(write_through(candidate_links(rows, percent), "links"), "x", "y")
     clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
-    part = rows.groupBy("key", "component").agg(F.max("n").alias("n")).join(clusters, "component")
+    part = buckets.select("key", "component").distinct().join(clusters, "component")
+    part = part.join(features.groupBy("key").agg(F.max("n").alias("n")), "key")
     part = write_through(part, "clusters")
     cells = write_through(_cells(part), "cells")
     keys = cells.select(F.col("key").alias("a"), F.col("key").alias("b"))
@@ -468,8 +472,7 @@ def similar_components(
         .filter("x != y and size > 2")
         .select("t", "size")
     )
-    rows = apart.join(mixed_up, "t").join(features.select("key", "n", "sig"), "key")
-    far = write_through(block_links(rows, docs, size, percent, table, orders), "links")
+    far = write_through(block_links(apart.join(mixed_up, "t"), features, docs, size, percent, table, orders), "links")
     found = connected_components(links.unionByName(far))
     out = features.select("key", F.col("n").alias("n_shingles")).join(found, F.col("key") == F.col("node"), "left")
     return out.select(F.col("key").alias(key), "n_shingles", F.coalesce("component", "key").alias("component_id"))

@@ -229,7 +229,7 @@ def near_paragraphs(
         .filter("x != y")
         .select("t", "size")
     )
-    far = write_through(block_links(apart.join(mixed_up, "t").join(features, "key"), texts, size, percent), "links")
+    far = write_through(block_links(apart.join(mixed_up, "t"), features, texts, size, percent), "links")
     found = connected_components(near.unionByName(far)).withColumnRenamed("node", "rep")
     cluster = members.join(found, "rep", "left").select("key", F.coalesce("component", "rep").alias("cluster"))
     unit = ["key", "doc", "start", "n_words"]
