@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from textloom.llm import bpe, decontaminate, fertility, ngram_join, secrets
 from textloom.llm.queries import bands, byte_bpe, vocabularies
@@ -21,17 +20,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest number stays.
+    """Of each group of near duplicates the row with the smallest number stays.
 
-    Of rows that repeat a number one stays. A row without a number is linked with nothing
-    and stays.
+    Rows are told apart by their place in a stored table, so different texts under one
+    number are different documents, and a row without a number is one like any other
+    (of equals, one with a number stays). Texts without a word are linked with nothing.
     """
-    groups = ngram_join.similar_components(docs)
-    kept = groups.filter("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
-    same = Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns))
-    first = named.withColumn("_row", F.row_number().over(same)).filter("_row = 1").drop("_row")
-    return first.unionByName(docs.filter("doc_id is null"))
+    placed = write_through(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = ngram_join.similar_components(placed.select("_row", "text"), key="_row")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row")
+    first = placed.select("_row", "doc_id").join(groups, "_row").groupBy("component_id").agg(F.min(order).alias("kept"))
+    return placed.join(first.select(F.col("kept._row").alias("_row")), "_row", "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
