@@ -114,6 +114,14 @@ def test_thousands_of_merges_match_library(spark, sf, monkeypatch):
     assert len(rounds) < 60
 
 
+def test_full_vocabulary_matches_library(spark, sf):
+    """Production size: merges go on until no pair is left."""
+    tk = pytest.importorskip("tokenizers")
+    texts = [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    mine = learned(spark, texts, V.VOCAB_SIZE)
+    assert shown(mine) == merges_of(library(tk, texts, V.VOCAB_SIZE)) and len(mine.merges) > 20_000
+
+
 def test_merges_that_give_an_existing_token(spark):
     """Words in which one token comes about in several ways, so that other words' pairs gain."""
     import random
