@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from textloom.workspace import cut_lineage
 
 HUBS = 1024
-SMALL = 1000  # as many links are never too many for one task
+SMALL = 100_000  # as many links of a node are never too many for one task
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,9 +26,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     links = cut_lineage(links.select(F.greatest(x, y).alias("hi"), F.least(x, y).alias("lo")).distinct())
     state = _state(links)
     while state[0]:
-        both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
-            links.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
-        )
+        ends = F.array(F.struct(F.col("hi").alias("u"), F.col("lo").alias("v")), F.struct(F.col("lo").alias("u"), F.col("hi").alias("v")))
+        both = links.select(F.explode(ends).alias("e")).select("e.u", "e.v")
         hubs: list = []
         if state[0] > SMALL:
             degree = both.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
