@@ -1,4 +1,5 @@
 import json
+from collections import Counter
 
 import pytest
 
@@ -240,3 +241,20 @@ def test_band_edges(spark):
     # A string of n - 1 letters is n byte tokens with its prefix space; 11 specials are 11 tokens.
     assert sorted(r.i for r in with_length(df, BYTE_TOKENIZER, 20, 1024).collect()) == [21, 1024]
     assert [r.length for r in with_length(df, BYTE_TOKENIZER, 10, 12).collect()] == [11]
+
+
+def test_new_forms_are_not_rows_of_the_plan(spark):
+    words = spark.createDataFrame([(None, "abc", 2), (None, "bcd", 3)], "old string, w string, n long")
+    merged = V._replaced(words, {"abc": "aX"})
+    assert sorted((r.old, r.w, r.n) for r in merged.collect()) == [(None, "aX", 2), (None, "bcd", 3)]
+    assert "LocalRelation" not in merged._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("word, pair", [("abcab", "ab"), ("xaby", "ab"), ("aaa", "aa"), ("ab", "ab"), ("cab", "ab"), ("aaaa", "aa")])
+def test_a_merge_changes_only_pairs_around_it(word, pair):
+    new = word.replace(pair, "Z")
+    gone, come = map(Counter, V._difference(word, new, pair))
+    every = Counter(V._adjacent(new)), Counter(V._adjacent(word))
+    gone.subtract(come)
+    every[1].subtract(every[0])
+    assert +gone == +every[1] and -gone == -every[1]

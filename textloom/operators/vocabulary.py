@@ -18,7 +18,7 @@ from textloom.functions.symbols import (
     symbol_to_id,
 )
 from textloom.operators.tokenizer import BYTE_TOKENIZER, Tokenizer
-from textloom.workspace import cut_lineage
+from textloom.workspace import cut_lineage, write_through
 
 VOCAB_SIZE = 32_000
 POOL_SIZE = 20_000
@@ -220,6 +220,15 @@ def _adjacent(word: str) -> list[str]:
     return [word[i : i + 2] for i in range(len(word) - 1)]
 
 
+def _difference(old: str, new: str, pair: str) -> tuple[list[str], list[str]]:
+    """Adjacent pairs of a word before and after the merge of ``pair``; a single merge changes only those around it."""
+    if len(old) - len(new) > 1:
+        return _adjacent(old), _adjacent(new)
+    at = old.find(pair)
+    start = max(at - 1, 0)
+    return _adjacent(old[start : at + 3]), _adjacent(new[start : at + 2])
+
+
 def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _Symbols, vocab_size: int):
     """Merge one pair after the other while the best one stands in ``found`` alone.
 
@@ -231,10 +240,11 @@ def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _S
     """
     words, n = found.column("w").to_pylist(), found.column("n").to_pylist()
     first = list(words)
-    where: dict[str, set[int]] = {}
+    where: dict[str, set[int]] = {}  # words of the pairs that may be merged here
     for i, w in enumerate(words):
         for p in _adjacent(w):
-            where.setdefault(p, set()).add(i)
+            if p in held:
+                where.setdefault(p, set()).add(i)
     counts = {p: pool.counts[p] for p in held}
     outside = -pool.floor[0] if pool.floor else 0  # most that a pair outside the pool can have
     queue = [(-c, p) for p, c in counts.items()]
@@ -269,21 +279,22 @@ def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _S
             w = words[i] = old.replace(pair, symbol)
             if w == old:
                 continue
-            for q in _adjacent(old):
+            gone, come = _difference(old, w, pair)
+            for q in gone:
                 move = moves.setdefault(q, [0, 0])
                 move[0] -= n[i]
                 move[1] -= 1
                 if q in counts:
                     counts[q] -= n[i]
-            for q in _adjacent(w):
+            for q in come:
                 move = moves.setdefault(q, [0, 0])
                 move[0] += n[i]
                 move[1] += 1
                 if exact(q):
                     counts[q] = counts.get(q, 0) + n[i]
                     touched.add(q)
-                where.setdefault(q, set()).add(i)
-                if not new and symbol in q and not exact(q):
+                    where.setdefault(q, set()).add(i)
+                elif not new and symbol in q:
                     risen.add(q)
         counts.pop(pair, None)
         moves[pair] = [0, 0]
@@ -300,9 +311,13 @@ def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _S
 
 
 def _replaced(words: DataFrame, changed: dict[str, str]) -> DataFrame:
-    """The table with new forms of some words, of which there are at most ``WORD_LIMIT``."""
+    """The table with new forms of some words, of which there are at most ``WORD_LIMIT``.
+
+    The forms are stored: as literal rows they would stay in the plan, and every later
+    round would compare them again.
+    """
     table = pa.table({"a": pa.array(changed.keys(), pa.string()), "b": pa.array(changed.values(), pa.string())})
-    forms = F.broadcast(words.sparkSession.createDataFrame(table, "a string, b string"))
+    forms = F.broadcast(write_through(words.sparkSession.createDataFrame(table, "a string, b string").coalesce(1), "forms"))
     joined = words.select("w", "n").join(forms, F.col("w") == F.col("a"), "left")
     return joined.select(F.lit(None).cast("string").alias("old"), F.coalesce("b", "w").alias("w"), "n")
 
