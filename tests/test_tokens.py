@@ -1,6 +1,7 @@
 import json
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from textloom.functions import blocks as B
@@ -258,3 +259,16 @@ def test_a_merge_changes_only_pairs_around_it(word, pair):
     gone.subtract(come)
     every[1].subtract(every[0])
     assert +gone == +every[1] and -gone == -every[1]
+
+
+def test_work_is_done_in_small_slices(monkeypatch):
+    monkeypatch.setattr(T, "SLICE", 12)
+    texts = pa.array([["ab", "c"], None, [], ["x" * 40], ["ab"], ["c", "d", "e", "f"]], pa.list_(pa.string()))
+    for batch in (texts, texts.slice(1), texts.slice(2, 3), texts.slice(0, 0)):
+        parts = list(T._in_slices(iter([batch])))
+        assert [r for p in parts for r in p.to_pylist()] == batch.to_pylist()
+        assert all(len(p) == 1 or sum(1 + len(x) for r in p.to_pylist() for x in r or []) <= 12 for p in parts)
+        encoded = [r for p in T._encode_batches(iter(parts), {}) for r in p.to_pylist()]
+        assert encoded == [None if r is None else [BYTE_TO_ID[b] for x in r for b in x.encode()] for r in batch.to_pylist()]
+    pairs = pa.array([[["ab"], None], [["c"] * 20, []], None, [["d"], ["e"]]], pa.list_(pa.list_(pa.string())))
+    assert [p.to_pylist() for p in T._in_slices(iter([pairs]))] == [[[["ab"], None]], [[["c"] * 20, []]], [None, [["d"], ["e"]]]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import heapq
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,8 +32,10 @@ from textloom.functions.symbols import (
     printable,
 )
 
-CACHED_PRETOKENS = 500_000
+CACHED_PRETOKENS = 200_000
+CACHED_LENGTH = 256  # characters of a pretoken that is kept
 SCAN_LENGTH = 32
+SLICE = 1 << 21  # list items, and bytes of strings, that are worked on together
 
 
 def _byte_encode(text: Column) -> Column:
@@ -90,16 +93,38 @@ def merge_ids(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) ->
     return [x for x in ids if x >= 0]
 
 
+def _row_ends(lists: pa.Array) -> np.ndarray:
+    """Items, and bytes of strings, up to the end of each row."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    items = lists.flatten()
+    if pa.types.is_list(items.type):
+        return np.concatenate([[0], _row_ends(items)])[ends]
+    if pa.types.is_string(items.type) and len(items):
+        offsets = np.frombuffer(items.buffers()[1], np.int32)[items.offset : items.offset + len(items) + 1]
+        return ends + (offsets[ends] - offsets[0])
+    return ends
+
+
+def _in_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The same rows in arrays of at most ``SLICE`` items and bytes, or one row: what is made of one stays small."""
+    for batch in batches:
+        ends, at = _row_ends(batch), 0
+        while at < len(batch):
+            before = ends[at - 1] if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def _encode_batches(
     batches: Iterator[pa.Array], ranks: dict[tuple[int, int], tuple[int, int]], lengths_only: bool = False
 ) -> Iterator[pa.Array]:
     """Arrays of pretokens to arrays of ids (or their lengths); each distinct pretoken is merged once."""
-    known: dict[str, list[int]] = {}
+    known: dict[str, bytes] = {}  # ids as int32, which take less room than lists
 
-    def encode_one(piece: str) -> list[int]:
-        if piece in SPECIALS:
-            return [SPECIALS[piece]]
-        return merge_ids([BYTE_TO_ID[b] for b in piece.encode()], ranks)
+    def encode_one(piece: str) -> bytes:
+        ids = [SPECIALS[piece]] if piece in SPECIALS else merge_ids([BYTE_TO_ID[b] for b in piece.encode()], ranks)
+        return array("i", ids).tobytes()
 
     for batch in batches:
         flat = batch.flatten().dictionary_encode()
@@ -110,10 +135,12 @@ def _encode_batches(
         for p in pieces:
             ids = known.get(p)
             if ids is None:
-                ids = known[p] = encode_one(p)
+                ids = encode_one(p)
+                if len(p) <= CACHED_LENGTH:
+                    known[p] = ids
             encoded.append(ids)
         which = flat.indices.to_numpy()
-        sizes = np.fromiter((len(e) for e in encoded), np.int64, len(encoded))
+        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
         row_sizes = sizes[which]
         ends = np.concatenate([[0], np.cumsum(row_sizes)])
         counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
@@ -123,7 +150,7 @@ def _encode_batches(
             yield pa.array(np.diff(bounds), pa.int32(), mask=nulls.to_numpy(zero_copy_only=False))
             continue
         starts = np.cumsum(sizes) - sizes
-        pool = np.fromiter((i for e in encoded for i in e), np.int32, int(sizes.sum()))
+        pool = np.frombuffer(b"".join(encoded), np.int32)
         take = np.repeat(starts[which] - ends[:-1], row_sizes) + np.arange(ends[-1])
         yield pa.ListArray.from_arrays(
             pa.array(bounds, pa.int32()), pa.array(pool[take], pa.int32()), mask=nulls if batch.null_count else None
@@ -192,7 +219,7 @@ class Tokenizer:
 
         @F.arrow_udf(T.IntegerType() if lengths_only else T.ArrayType(T.IntegerType()))
         def encode_pretokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            return _encode_batches(batches, ranks.value, lengths_only)
+            return _encode_batches(_in_slices(batches), ranks.value, lengths_only)
 
         return (encode_pretokens.asNondeterministic() if lengths_only else encode_pretokens)(pieces)
 
@@ -236,7 +263,7 @@ class Tokenizer:
             counts: list[np.ndarray] = []
 
             def inner() -> Iterator[pa.Array]:
-                for batch in batches:
+                for batch in _in_slices(batches):
                     counts.append(batch.value_lengths().to_numpy(zero_copy_only=False))
                     yield batch.flatten()
 
@@ -253,7 +280,7 @@ class Tokenizer:
 
         @F.arrow_udf(T.StringType())
         def decode_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            return _decode_batches(batches, table.value)
+            return _decode_batches(_in_slices(batches), table.value)
 
         return decode_ids(col)
 
