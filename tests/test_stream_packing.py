@@ -1,8 +1,10 @@
 """Packing across micro-batches: the blocks do not depend on how the input is cut."""
 
+import pandas as pd
 import pytest
 
 from textloom.functions.hashing import HASH_BITS
+from textloom.streaming import packing
 from textloom.streaming.blocks import read_new_files
 from textloom.streaming.packing import pack_stream, use_rocksdb
 
@@ -64,3 +66,40 @@ def test_other_state_stores_are_refused(rocks):
     with pytest.raises(ValueError):
         pack_stream(rows(rocks, [1]), 1)
     use_rocksdb(rocks)
+
+
+def test_blocks_are_given_as_they_fill(monkeypatch):
+    """No more than a few ids wait in memory, whatever the order of the rows and their frames."""
+    monkeypatch.setattr(packing, "GIVEN", 20)
+
+    class Value:
+        held = None
+
+        def get(self):
+            return self.held
+
+        def update(self, value):
+            self.held = value
+
+    class Keys(set):
+        containsKey = set.__contains__
+
+        def updateValue(self, key, value):
+            self.add(key)
+
+    class Timers(list):
+        listTimers = list.__iter__
+        deleteTimer = list.remove
+        registerTimer = list.append
+
+    packer = packing._Packer(LENGTH, 1000, None)
+    packer.open, packer.taken, packer.handle = Value(), Keys(), Timers()
+    seqs = [i * 37 % 100 for i in range(100)]
+    data = [(s, f"k{s}", None if s == 50 else [s] * 3, pd.Timestamp(s, unit="s")) for s in seqs] + [(0, "k3", [9], pd.Timestamp(0)), (1, None, None, pd.Timestamp(9e9))]
+    frames = [pd.DataFrame(data[i : i + 9], columns=["seq", "key", "ids", "ts"]) for i in range(0, len(data), 9)]
+    found = list(packer.handleInputRows((4,), iter(frames), None))
+    given = [i for f in found for b in f["input_ids"] for i in b.tolist()]
+    wanted = [0] * 3 + [9] + [s for s in range(100) if s not in (0, 3, 50) for _ in range(3)]
+    assert given + packer.open.held[0] == wanted and len(packer.open.held[0]) < LENGTH
+    assert [n for f in found for n in f["block_no"]] == list(range(packer.open.held[1])) and len(found) > 10
+    assert list(packer.handle) == [100_000] and ("k50",) not in packer.taken

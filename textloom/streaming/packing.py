@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,7 @@ from textloom.functions.blocks import BLOCK_SIZE
 from textloom.functions.hashing import HASH_BITS, seeded_hash
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+GIVEN = 1 << 20  # ids that are cut into blocks together
 BLOCKS = T.StructType(
     [
         T.StructField("shard", T.IntegerType()),
@@ -37,33 +41,60 @@ class _Packer(StatefulProcessor):
         key, mark = (T.StructType([T.StructField(n, t)]) for n, t in (("key", T.StringType()), ("taken", T.BooleanType())))
         self.taken = handle.getMapState("taken", key, mark, self.remember_ms)
 
-    def _blocks(self, shard: int, number: int, blocks: list[list[int]]) -> pd.DataFrame:
+    def _blocks(self, shard: int, number: int, blocks: list) -> pd.DataFrame:
         return pd.DataFrame({"shard": [shard] * len(blocks), "block_no": range(number, number + len(blocks)), "input_ids": blocks})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.open.get()
-        held, number = (list(state[0]), state[1]) if state is not None else ([], 0)
-        batch = pd.concat([pdf[["seq", "key", "ids", "ts"]] for pdf in rows])
-        batch = batch[batch["key"].notna()].sort_values("seq", kind="stable")
-        if not len(batch):
-            return  # a row without a key only moves the time on
-        latest = int(batch["ts"].max().timestamp() * 1000)
-        done: list[list[int]] = []
-        for name, ids in zip(batch["key"], batch["ids"]):
-            if ids is None or self.taken.containsKey((name,)):
-                continue
-            self.taken.updateValue((name,), (True,))
-            held.extend(int(i) for i in ids)
-            while len(held) >= self.length:
-                done.append(held[: self.length])
-                del held[: self.length]
-        self.open.update((held, number + len(done)))
+        """The ids of a batch wait in a file, as they come in any order; memory has their places and ``GIVEN`` ids."""
+        seqs, names, sizes, latest = [], [], [], []
+        with tempfile.TemporaryFile() as kept:
+            for pdf in rows:
+                pdf = pdf[pdf["key"].notna()]
+                if not len(pdf):
+                    continue  # a row without a key only moves the time on
+                for ids in pdf["ids"]:
+                    if ids is not None:
+                        kept.write(pa.array(ids, pa.int32()).to_numpy())
+                sizes.extend(-1 if ids is None else len(ids) for ids in pdf["ids"])
+                seqs.append(pdf["seq"])
+                names.append(pa.array(pdf["key"], pa.string()))
+                latest.append(pdf["ts"].max())
+            if not seqs:
+                return
+            order = pd.concat(seqs, ignore_index=True).sort_values(kind="stable").index
+            yield from self._given(key[0], kept, order, pa.chunked_array(names).combine_chunks(), np.array(sizes))
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        if held:
-            self.handle.registerTimer(latest + self.idle_ms)
-        if done:
-            yield self._blocks(key[0], number, done)
+        if len(self.open.get()[0]):
+            self.handle.registerTimer(int(max(t for t in latest if not pd.isna(t)).timestamp() * 1000) + self.idle_ms)
+
+    def _given(self, shard: int, kept, order: pd.Index, names: pa.Array, sizes: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Full blocks of the rows in order; the rest becomes the open block."""
+        state = self.open.get()
+        held, number = ([np.array(state[0], np.int32)], state[1]) if state is not None else ([], 0)
+        n, starts = sum(map(len, held)), 4 * (np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0))
+
+        def cut() -> Iterator[pd.DataFrame]:
+            nonlocal held, number, n
+            flat = np.concatenate([np.empty(0, np.int32), *held])
+            full = n // self.length
+            held, n = [flat[full * self.length :]], n - full * self.length
+            if full:
+                yield self._blocks(shard, number, list(flat[: full * self.length].reshape(full, self.length)))
+                number += full
+
+        for i in order:
+            name = (names[i].as_py(),)
+            if sizes[i] < 0 or self.taken.containsKey(name):
+                continue
+            self.taken.updateValue(name, (True,))
+            kept.seek(starts[i])
+            held.append(np.frombuffer(kept.read(4 * sizes[i]), np.int32))
+            n += len(held[-1])
+            if n >= GIVEN:
+                yield from cut()
+        yield from cut()
+        self.open.update((held[0].tolist(), number))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = self.open.get()
