@@ -41,6 +41,11 @@ def test_best_fit(sizes, length):
     assert contents(got.tolist(), sizes) == contents(plain_best_fit(sizes, length), sizes)
 
 
+@pytest.mark.parametrize("sizes, length", [([14, 12, 2, 1], 15), ([9, 8, 8, 7, 1, 1, 1], 10), ([6, 5, 3, 3, 2, 1, 1], 8)])
+def test_the_first_of_equal_bins_is_taken(sizes, length):
+    assert packing.best_fit(np.array(sizes, np.int64), length).tolist() == plain_best_fit(sizes, length)
+
+
 def table(spark, rows=500, most=130):
     rng = random.Random(rows)
     data = [(i, [i] * rng.choice((0, rng.randrange(1, 20), rng.randrange(1, most)))) for i in range(rows)]

@@ -109,8 +109,8 @@ def best_fit(sizes: np.ndarray, length: int) -> np.ndarray:
     """Bin of each row, rows from the longest to the shortest: the fullest bin that has room, else a new one.
 
     Bins with the same room are alike, so rows of one size are dealt by counts: a bin
-    takes all it has room for before the next one, as it is then the fullest. Rows longer
-    than ``length`` have a bin each.
+    takes all it has room for before the next one, as it is then the fullest; of equal bins
+    the first one opened comes first. Rows longer than ``length`` have a bin each.
     """
     out, bins = np.empty(len(sizes), np.int64), 0
     room: dict[int, list[np.ndarray]] = {}  # room -> runs of bins that have it
@@ -122,9 +122,8 @@ def best_fit(sizes: np.ndarray, length: int) -> np.ndarray:
             i = bisect_left(rooms, size)
             if i < len(rooms):
                 left = rooms[i]
-                chosen = room[left].pop()
-                if not room[left]:
-                    del room[left], rooms[i]
+                chosen = np.sort(np.concatenate(room.pop(left)))
+                del rooms[i]
             else:
                 left = max(length, size)
                 chosen = np.arange(bins, bins - (-(end - at) // (left // size)))
