@@ -23,7 +23,7 @@ from textloom.workspace import cut_lineage, write_through
 VOCAB_SIZE = 32_000
 POOL_SIZE = 20_000
 MAX_BATCH = 256
-ROUNDS_PER_CUT = 32
+ROUNDS_PER_CUT = 8  # the plan of a round grows with the rounds since the last cut
 WORD_LIMIT = 100_000  # words that a round brings to the driver at most
 
 
