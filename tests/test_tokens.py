@@ -272,3 +272,16 @@ def test_work_is_done_in_small_slices(monkeypatch):
         assert encoded == [None if r is None else [BYTE_TO_ID[b] for x in r for b in x.encode()] for r in batch.to_pylist()]
     pairs = pa.array([[["ab"], None], [["c"] * 20, []], None, [["d"], ["e"]]], pa.list_(pa.list_(pa.string())))
     assert [p.to_pylist() for p in T._in_slices(iter([pairs]))] == [[[["ab"], None]], [[["c"] * 20, []]], [None, [["d"], ["e"]]]]
+
+
+def test_known_pretokens_take_bounded_room(monkeypatch):
+    import tracemalloc
+
+    monkeypatch.setattr(T, "CACHED_BYTES", 1 << 19, raising=False)
+    batches = (pa.array([[f" {i * 4000 + j}" for j in range(4000)]]) for i in range(50))
+    tracemalloc.start()
+    total = sum(len(out.flatten()) for out in T._encode_batches(batches, {}))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == sum(len(f" {i}") for i in range(200_000))
+    assert peak < 12 << 20

@@ -32,10 +32,11 @@ from textloom.functions.symbols import (
     printable,
 )
 
-CACHED_PRETOKENS = 500_000
+CACHED_BYTES = 16 << 20  # of a generation of known pretokens
 CACHED_LENGTH = 256  # characters of a pretoken that is kept
+ENTRY = 190  # bytes that a known pretoken takes besides its letters and ids
 SCAN_LENGTH = 32
-SLICE = 1 << 21  # list items, and bytes of strings, that are worked on together
+SLICE = 1 << 19  # list items, and bytes of strings, that are worked on together
 
 
 def _byte_encode(text: Column) -> Column:
@@ -93,12 +94,12 @@ def merge_ids(ids: list[int], ranks: dict[tuple[int, int], tuple[int, int]]) ->
     return [x for x in ids if x >= 0]
 
 
-def _row_ends(lists: pa.Array) -> np.ndarray:
+def row_ends(lists: pa.Array) -> np.ndarray:
     """Items, and bytes of strings, up to the end of each row."""
     ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     items = lists.flatten()
     if pa.types.is_list(items.type):
-        return np.concatenate([[0], _row_ends(items)])[ends]
+        return np.concatenate([[0], row_ends(items)])[ends]
     if pa.types.is_string(items.type) and len(items):
         offsets = np.frombuffer(items.buffers()[1], np.int32)[items.offset : items.offset + len(items) + 1]
         return ends + (offsets[ends] - offsets[0])
@@ -108,7 +109,7 @@ def _row_ends(lists: pa.Array) -> np.ndarray:
 def _in_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The same rows in arrays of at most ``SLICE`` items and bytes, or one row: what is made of one stays small."""
     for batch in batches:
-        ends, at = _row_ends(batch), 0
+        ends, at = row_ends(batch), 0
         while at < len(batch):
             before = ends[at - 1] if at else 0
             stop = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
@@ -116,11 +117,36 @@ def _in_slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             at = stop
 
 
+def _sizes(encoded: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+
+
+def _bounds(which: np.ndarray, encoded: list[bytes], counts: np.ndarray) -> np.ndarray:
+    """Ids up to the end of each row of ``counts`` pieces."""
+    ends = np.concatenate([[0], np.cumsum(_sizes(encoded)[which])])
+    return ends[np.concatenate([[0], np.cumsum(counts)])]
+
+
+def placed_ids(which: np.ndarray, encoded: list[bytes], counts: np.ndarray, nulls: pa.Array | None = None) -> pa.ListArray:
+    """The ids (int32) of the pieces ``which`` one after another, a list for each row of ``counts`` pieces."""
+    sizes = _sizes(encoded)
+    row_sizes = sizes[which]
+    ends = np.cumsum(row_sizes)
+    starts = np.cumsum(sizes) - sizes
+    pool = np.frombuffer(b"".join(encoded), np.int32)
+    take = np.repeat(starts[which] - (ends - row_sizes), row_sizes) + np.arange(ends[-1] if len(ends) else 0)
+    bounds = _bounds(which, encoded, counts)
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(pool[take], pa.int32()), mask=nulls)
+
+
 def _encode_batches(
     batches: Iterator[pa.Array], ranks: dict[tuple[int, int], tuple[int, int]], lengths_only: bool = False
 ) -> Iterator[pa.Array]:
     """Arrays of pretokens to arrays of ids (or their lengths); each distinct pretoken is merged once."""
-    known: dict[str, bytes] = {}  # ids as int32, which take less room than lists
+    # Ids as int32, which take less room than lists; the older generation goes when the younger one is full.
+    known: dict[str, bytes] = {}
+    older: dict[str, bytes] = {}
+    held = 0
 
     def encode_one(piece: str) -> bytes:
         ids = [SPECIALS[piece]] if piece in SPECIALS else merge_ids([BYTE_TO_ID[b] for b in piece.encode()], ranks)
@@ -129,32 +155,27 @@ def _encode_batches(
     for batch in batches:
         flat = batch.flatten().dictionary_encode()
         pieces = flat.dictionary.to_pylist()
-        if len(known) + len(pieces) > CACHED_PRETOKENS:
-            known.clear()
         encoded = []
         for p in pieces:
             ids = known.get(p)
             if ids is None:
-                ids = encode_one(p)
+                ids = older.get(p)
+                if ids is None:
+                    ids = encode_one(p)
                 if len(p) <= CACHED_LENGTH:
+                    if held > CACHED_BYTES:
+                        known, older, held = {}, known, 0
                     known[p] = ids
+                    held += ENTRY + len(p) + len(ids)
             encoded.append(ids)
         which = flat.indices.to_numpy()
-        sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
-        row_sizes = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(row_sizes)])
         counts = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-        bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
         nulls = batch.is_null()
         if lengths_only:
+            bounds = _bounds(which, encoded, counts)
             yield pa.array(np.diff(bounds), pa.int32(), mask=nulls.to_numpy(zero_copy_only=False))
             continue
-        starts = np.cumsum(sizes) - sizes
-        pool = np.frombuffer(b"".join(encoded), np.int32)
-        take = np.repeat(starts[which] - ends[:-1], row_sizes) + np.arange(ends[-1])
-        yield pa.ListArray.from_arrays(
-            pa.array(bounds, pa.int32()), pa.array(pool[take], pa.int32()), mask=nulls if batch.null_count else None
-        )
+        yield placed_ids(which, encoded, counts, nulls if batch.null_count else None)
 
 
 def _decode_batches(batches: Iterator[pa.Array], tokens: list[bytes]) -> Iterator[pa.Array]:
