@@ -67,3 +67,27 @@ def test_another_tokenizer_has_its_own_dictionary(spark, docs):
     assert D.read_dictionary(spark, path, other).isEmpty()
     got = {r.pretoken: r.ids for r in D.extend_dictionary(docs, other, path).collect()}
     assert len(got[" hello"]) == 5
+
+
+def test_texts_of_one_key_go_by_place(spark):
+    rows = [(1, "b a"), (1, "a c d"), (None, "x"), (None, None), (2, None), (2, ""), (3, "a a"), (3, "a a")]
+    docs = spark.createDataFrame(rows, "k long, text string").repartition(3)
+    dictionary = D.extend_dictionary(docs, fx.TOKENIZER, fresh_path(spark, "test-dictionary"))
+    entries = {r.pretoken: r.ids for r in dictionary.collect()}
+
+    def ids(*pieces):
+        return [x for p in pieces for x in entries[p]]
+
+    first = sorted([" b", " a"], key=entries.get), sorted([" a", " c"], key=entries.get)
+    for hot in (0, 65_536):
+        got = {r.k: r.ids for r in D.encode_with_dictionary(docs, dictionary, "k", hot=hot).collect()}
+        assert got == {1: ids(*first[0], *first[1], " d"), None: ids(" x"), 2: [], 3: ids(*[" a"] * 4)}
+        runs = {(r.k, r.run): r.ids for r in D.encode_runs(docs, dictionary, "k", hot=hot, run=2).collect()}
+        assert runs[1, 0] == ids(*first[0], *first[1]) and runs[1, 1] == ids(" d") and len(runs) == 5
+
+
+def test_pretokens_are_not_shuffled_one_by_one(spark):
+    docs = spark.createDataFrame([(i, "one two three four " * 500) for i in range(8)], "k long, text string")
+    dictionary = D.extend_dictionary(docs, fx.TOKENIZER, fresh_path(spark, "test-dictionary"))
+    plan = D.encode_with_dictionary(docs, dictionary, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 1 and "pos" not in plan
