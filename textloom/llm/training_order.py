@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 from array import array
 from collections.abc import Iterator
@@ -15,12 +16,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from textloom.llm.bpe import Recent, of_worker
+from textloom.llm.bpe import of_worker
 from textloom.workspace import fresh_path
 
 LENGTH = 2048
 PER_SHARD = 4096
 PRIMING, PRIMING_ROWS = 64 * 1024, 64  # bytes and rows that prime the compression of moved sequences
+PART = 1 << 15  # characters that are encoded together
+CUT = re.compile(r"(?<=\S) (?=\S)")
 HEADER = "<QII"  # slot, tokens in use, CRC of the padded ids
 MASK = (1 << 64) - 1
 
@@ -57,44 +60,21 @@ class Feistel:
         return x.astype(np.int64)
 
 
-class _Ids(Recent):
-    """Ids of the text between two spaces with the space before it, as unsigned 16-bit integers."""
-
-    def __init__(self, encode, before: str):
-        self.encode, self.before = encode, before
-
-    def __missing__(self, part: str) -> bytes:
-        found = self.older.get(part)
-        if found is None:
-            if not part or part[0].isspace() or part[-1].isspace() or "\x1c" <= part[0] <= "\x1f" or "\x1c" <= part[-1] <= "\x1f":
-                raise LookupError
-            found = array("H", self.encode(self.before + part)).tobytes()
-        if len(part) <= 128:
-            self.put(part, found)
-        return found
-
-
 def token_encoder(vocabulary):
     """Whole text to ids of a vocabulary with fewer than 65,536 tokens, as bytes.
 
-    A pretoken begins at a single space between two other characters, so the text
-    between such spaces is encoded once and kept.
+    A pretoken begins at a single space between two other characters, so a long text is
+    cut there and the ids of a bounded run are held as numbers at a time.
     """
-
-    def load():
-        encode = vocabulary.model().encode_ordinary
-        return encode, _Ids(encode, ""), _Ids(encode, " ")
-
-    encode, first, spaced = of_worker("training order", hash(vocabulary), load)
+    encode = of_worker("training order", hash(vocabulary), lambda: vocabulary.model().encode_ordinary)
 
     def run(text: str) -> bytes:
-        if not text:
-            return b""
-        parts = text.split(" ")
-        try:
-            return first[parts[0]] + b"".join(map(spaced.__getitem__, parts[1:]))
-        except LookupError:
-            return np.array(encode(text), "<u2").tobytes()
+        out, at = [], 0
+        while len(text) - at > PART and (cut := CUT.search(text, at + PART)):
+            out.append(array("H", encode(text[at : cut.start()])).tobytes())
+            at = cut.start()
+        out.append(array("H", encode(text[at:])).tobytes())
+        return b"".join(out)
 
     return run
 
