@@ -1,6 +1,6 @@
-"""Encoders hold bounded runs."""
+"""Encoders hold bounded runs and keep a word once."""
 
-from textloom.llm import training_order
+from textloom.llm import bpe, training_order
 
 
 class _Model:
@@ -38,3 +38,11 @@ def test_training_order_ids_equal_those_of_whole_texts(monkeypatch):
     encode = training_order.token_encoder(ranks)
     for text in ["", " ", "a  b c\n d \n\n e", "it's  12 34 ... ?! x", " 　x   y\x85z " * 9, "x" * 50, "é ñ \U0001f600 ß " * 20]:
         assert np.frombuffer(encode(text), "<u2").tolist() == whole(text)
+
+
+def test_a_word_is_kept_once():
+    v = bpe.Vocabulary.from_merges([bytes([b]) for b in range(256)], {})
+    encoder = bpe.Encoder(v)
+    text = " ".join(["first", *(f"w{'abcdefgh'[i % 8]}{'x' * (i // 8)}" for i in range(64))])
+    assert b"".join(encoder.chunks(text))[::4] == text.encode()
+    assert len(encoder.spaced) == 64 and not encoder.pretokens

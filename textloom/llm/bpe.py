@@ -35,7 +35,8 @@ SPACES = frozenset(c for c in map(chr, range(0x10000)) if regex.match(r"\s", c))
 # Bounds of a generation of a cache (bytes), of what enters it (characters), of the known pairs, and of
 # the runs of text and bytes handled at a time; none of them changes a result.
 CACHED_BYTES = 24 << 20
-CACHED_PAIRS = 1 << 17
+ROUND_TRIP_BYTES = 80 << 20  # where nothing but digests is made
+CACHED_PAIRS = 1 << 18
 LONG = 128
 SLICE = 4 << 20
 ENTRY = 104  # bytes of a dictionary for one entry
@@ -264,27 +265,32 @@ class Transducer:
 class Encoder:
     """Encodes whole texts piece by piece, with caches of bounded size."""
 
-    def __init__(self, v: Vocabulary):
+    def __init__(self, v: Vocabulary, cached: int | None = None):
         self.v = v
         self.split = regex.compile(SPLIT)
         self.transducer = Transducer(v)
         self.pretokens = Recent()
         self.spaced = _Segments(self, " ")
         self.plain = _Segments(self, "")
+        self.pretokens.most = self.spaced.most = cached
         self.added = regex.compile("|".join(map(regex.escape, sorted(v.added, key=len, reverse=True)))) if v.added else None
 
     def pretoken(self, piece: str) -> bytes:
         known = self.pretokens.get(piece)
         if known is None:
-            t, data = self.transducer, piece.encode("utf-8", "surrogatepass")
-            if len(data) <= LONG:
-                known = _packed(t.whole(data))
+            known = self.made(piece)
+            if len(piece) <= LONG:
                 self.pretokens.put(piece, known)
-            else:
-                known = b"".join(_packed(t.feed(data[at : at + PIECE])) for at in range(0, len(data), PIECE))
-                known += _packed(t.finish())
         return known
 
+    def made(self, piece: str) -> bytes:
+        """Ids of one pretoken, by the transducer."""
+        t, data = self.transducer, piece.encode("utf-8", "surrogatepass")
+        if len(data) <= LONG:
+            return _packed(t.whole(data))
+        known = b"".join(_packed(t.feed(data[at : at + PIECE])) for at in range(0, len(data), PIECE))
+        return known + _packed(t.finish())
+
     def raw(self, piece: str) -> bytes:
         """Ids of ``piece`` as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.pretoken, self.split.findall(piece)))
@@ -349,14 +355,15 @@ def _is_clean(part: str) -> tuple[bool, bool]:
 class Recent(dict):
     """A cache of two generations: the older one is forgotten when the younger one is full.
 
-    A generation is full when its keys and values, strings or bytes, have ``CACHED_BYTES``.
+    A generation is full when its keys and values, strings or bytes, have ``most``, else ``CACHED_BYTES``.
     """
 
     older: dict = {}
     held = 0
+    most: int | None = None
 
     def put(self, key, value) -> None:
-        if self.held >= CACHED_BYTES:
+        if self.held >= (self.most or CACHED_BYTES):
             self.older = dict(self)
             self.clear()
             self.held = 0
@@ -379,9 +386,11 @@ class _Segments(Recent):
     def __missing__(self, part: str) -> bytes:
         found = self.older.get(part)
         if found is None:
-            if _is_clean(part) != (True, True):
+            if not part or part[0] in SPACES or part[-1] in SPACES:
                 raise _Unclean
-            found = self.encoder.raw(self.before + part)
+            pieces = self.encoder.split.findall(self.before + part)
+            # A single pretoken is kept here alone.
+            found = self.encoder.made(pieces[0]) if len(pieces) == 1 else b"".join(map(self.encoder.pretoken, pieces))
         if len(part) <= LONG:
             self.put(part, found)
         return found
@@ -426,9 +435,9 @@ def of_worker(owner: str, key, make):
     return _HELD[owner, key]
 
 
-def encoder_of(v: Vocabulary) -> Encoder:
+def encoder_of(v: Vocabulary, cached: int | None = None) -> Encoder:
     """The encoder of this Python worker, so that later tasks find its caches filled."""
-    return of_worker("bpe", v.key, lambda: Encoder(v))
+    return of_worker("bpe", (v.key, cached), lambda: Encoder(v, cached))
 
 
 def slices(batch: pa.RecordBatch, most: int = SLICE) -> Iterator[pa.RecordBatch]:
@@ -531,7 +540,7 @@ def round_trip(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: s
     shared = _broadcast(df, vocabulary)
 
     def make():
-        encoder, decoder = encoder_of(shared.value), Decoder(shared.value)
+        encoder, decoder = encoder_of(shared.value, ROUND_TRIP_BYTES), Decoder(shared.value)
 
         def work(batch):
             rows: dict[str, list] = {n: [] for n in ("n_tokens", "ids_sha256", "decoded_sha256", "round_trip")}
