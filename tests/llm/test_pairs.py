@@ -3,6 +3,7 @@
 import collections
 import random
 
+import numpy as np
 import pytest
 from conftest_llm import edge_rows, same
 
@@ -65,6 +66,42 @@ def test_join_with_everything_frequent_and_small_blocks(edges, nothing, monkeypa
     assert ngram_join.similar_components(nothing).count() == 0
 
 
+@pytest.mark.parametrize("tokens, block", [(20, 1024), (200, 3)])
+def test_join_with_every_cluster_cut_by_wide_bitmaps(edges, tokens, block, monkeypatch):
+    want = plain_join([r[:2] for r in edge_rows()])
+    monkeypatch.setattr(ngram_join, "TOKENS", tokens)
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "SIGNATURE", 64)  # full even for short sets
+    same(ngram_join.similar_components(edges).collect(), want)
+
+
+def test_long_sets_with_a_common_passage_are_no_cluster(spark, monkeypatch):
+    """The narrow bitmaps of long sets are full; only sets that may be alike go on to be compared whole."""
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    texts = [[f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(7000, 9000))] for _ in range(24)]
+    texts += [t[:2000] + ["other"] + t[2001:5000] + ["words"] + t[5001:] for t in texts[:4]]
+    rows = [(i, " ".join(t[:100] + passage + t[100:])) for i, t in enumerate(texts)]
+    clusters, cells = [], ngram_join._cells
+
+    def kept(part):
+        clusters.extend(r["count"] for r in part.groupBy("cluster").count().collect())
+        return cells(part)
+
+    monkeypatch.setattr(ngram_join, "TOKENS", 1 << 15)
+    monkeypatch.setattr(ngram_join, "_cells", kept)
+    same(ngram_join.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect(), plain_join(rows))
+    assert max(clusters, default=0) <= 2
+
+
+def test_wide_bitmaps_are_in_the_class_of_every_set_alike():
+    sets = [np.sort(mixed(np.arange(n, dtype=np.uint64))) for n in (0, 1, 1023, 1024, 1279, 1280, 5000)]
+    got = [[(r["c"], r["n"], 64 * len(r["sig"])) for r in x] for x in ngram_join._wide_bitmaps(sets, 80).to_pylist()]
+    assert got[:3] == [[], [(0, 1, 4096)], [(9, 1023, 4096)]]
+    assert got[3] == [(10, 1024, 8192), (9, 1024, 4096)]
+    assert got[4:] == [[(10, 1279, 8192)], [(10, 1280, 8192)], [(12, 5000, 32768), (11, 5000, 16384)]]
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (4, 5), (9, 8), (8, 7), (7, 6), (5, 4), (11, 11), (None, 1)] + [(100, i) for i in range(101, 160)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}

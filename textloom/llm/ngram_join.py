@@ -38,6 +38,7 @@ SALTED = 12  # buckets of more than 2 ** SALTED documents are dealt over several
 SIGNATURE = 4096  # bits; the longer a set, the less a short bitmap tells
 BLOCK = 1024
 TOKENS = 1 << 20  # of the sets that meet in one half of a cell
+SPACED = 4  # bits of a wide bitmap for each token of the longest set of its class
 FILTER_BITS = 27
 
 
@@ -242,17 +243,18 @@ def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
 def candidate_links(rows: DataFrame, percent: int) -> DataFrame:
     """Links ``x, y`` between components that have documents which the bitmaps let through in one bucket.
 
-    ``rows`` has the bucket ``t`` and the number of its documents ``size``; a bucket is
-    cut into blocks of about ``BLOCK`` documents, so a task never holds more than two.
-    Two blocks let out only links that join what was apart in them: fewer than they have rows.
+    ``rows`` has the bucket ``t``, its part ``c`` with bitmaps of one width, and the number of
+    its documents ``size``; a part is cut into blocks of about ``BLOCK`` documents, so a task
+    never holds more than two. Two blocks let out only links that join what was apart in
+    them: fewer than they have rows.
     """
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("key"), blocks).cast("int")
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.select(
-        "t", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "component", "sig"
+        "t", "c", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "component", "sig"
     )
-    dealt = dealt.repartition("t", "i", "j").sortWithinPartitions("t", "i", "j")
+    dealt = dealt.repartition("t", "c", "i", "j").sortWithinPartitions("t", "c", "i", "j")
 
     def compare(part, n, own, sig) -> Iterator[tuple[int, np.ndarray]]:
         names, label = np.unique(part, return_inverse=True)
@@ -282,13 +284,15 @@ def candidate_links(rows: DataFrame, percent: int) -> DataFrame:
                 parent = joined(parent, np.full(len(others), root[0]), others)
 
     def run(batches):
-        for table, cuts in whole_groups(batches, ("t", "i", "j")):
+        for table, cuts in whole_groups(batches, ("t", "c", "i", "j")):
             part, n, own = (table.column(c).to_numpy() for c in ("component", "n", "own"))
-            sig = table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
+            lists = table.column("sig").combine_chunks()
+            at = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+            sig = lists.flatten().to_numpy().view(np.uint64)
             x, y = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for s, e in zip(cuts, cuts[1:]):
                 if e - s > 1 and (part[s:e] != part[s]).any():
-                    for one, others in compare(part[s:e], n[s:e], own[s:e], sig[s:e]):
+                    for one, others in compare(part[s:e], n[s:e], own[s:e], sig[at[s] : at[e]].reshape(e - s, -1)):
                         x.append(np.full(len(others), one))
                         y.append(others)
             pairs = np.unique(np.stack([np.concatenate(x), np.concatenate(y)]), axis=1)
@@ -297,6 +301,54 @@ def candidate_links(rows: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "x long, y long")
 
 
+def _wide_bitmaps(sets: list[np.ndarray], percent: int) -> pa.ListArray:
+    """Class ``c``, size ``n`` and bitmap of each set, in every class that a set it may be linked with is the smaller one of.
+
+    A class has the sets of ``2 ** c`` to below ``2 ** (c + 1)`` tokens and larger ones that
+    are alike in size; its bitmaps are as wide as its sets are long.
+    """
+    found, ends = [], [0]
+    for s in sets:
+        top = len(s).bit_length() - 1
+        for c in range(top, -1, -1):
+            if c < top and ((2 << c) - 1) * 100 < len(s) * percent:
+                break
+            bits = np.zeros(max(SIGNATURE, SPACED * 2 << c), np.uint8)
+            bits[((s >> np.uint64(COUNT_BITS)) % np.uint64(len(bits))).astype(np.int64)] = 1
+            found.append((c, len(s), np.packbits(bits).view(np.int64)))
+        ends.append(len(found))
+    rows = [pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int64()), _lists([x[2] for x in found], pa.int64())]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(rows, names=["c", "n", "sig"]))
+
+
+def _split_clusters(part: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``part`` with clusters of more than ``TOKENS`` tokens cut by wide bitmaps.
+
+    The bitmaps of all sets are nearly full for long ones and tell nothing about them, so
+    all long sets that share a token form one cluster. Its sets would meet in a number of
+    cells that grows with the square of the cluster; wide bitmaps, a sixteenth of the sets,
+    leave only those together that may be similar. They are compared in blocks of at most
+    8 MB and four times ``BLOCK`` documents.
+    """
+    sums = part.groupBy("cluster").agg(F.sum("n").alias("tokens"))
+    names = F.broadcast(sums.filter(F.col("tokens") > TOKENS).select("cluster"))  # at most one for each TOKENS tokens
+    large = write_through(part.join(names, "cluster"), "clusters")
+    if large.isEmpty():
+        return part
+    keys = large.select(F.col("key").alias("a"), F.col("key").alias("b"))
+    kind = "array<struct<c:int,n:long,sig:array<long>>>"
+    wide = _of_pairs(keys, docs, size, kind, lambda sets: _wide_bitmaps(sets, percent)).join(large.drop("n"), "key")
+    wide = wide.select(F.col("cluster").alias("t"), "key", "component", F.explode("value").alias("v"))
+    wide = write_through(wide.select("t", "key", "component", "v.c", "v.n", "v.sig"), "bitmaps")
+    weight = F.greatest(F.lit(0.25), F.max(F.size("sig")) / BLOCK)
+    counts = wide.groupBy("t", "c").agg((F.count(F.lit(1)) * weight).alias("size"))
+    rows = wide.join(F.broadcast(counts), ["t", "c"])
+    clusters = connected_components(write_through(candidate_links(rows, percent), "links"), "x", "y")
+    clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
+    rest = part.join(names, "cluster", "left_anti")
+    return write_through(rest.unionByName(large.drop("cluster").join(clusters, "component")), "clusters")
+
+
 def _cells(part: DataFrame) -> DataFrame:
     """``key, component, block, cells``: the tasks in which the documents of a cluster meet those of its other components.
 
@@ -384,16 +436,17 @@ def block_links(
 
     ``buckets`` has documents ``key`` of known ``component`` by their buckets ``t`` with
     the number ``size`` of documents, ``features`` the size ``n`` and bitmap ``sig`` of a
-    document. What ``candidate_links`` connect is a cluster; the sets of a cluster meet in
-    cells of bounded size, where every further order is asked and whole sets are compared.
+    document. What ``candidate_links`` connect is a cluster; large ones are cut by wider
+    bitmaps. The sets of a cluster meet in cells of bounded size, where every further order
+    is asked and whole sets are compared.
     """
     buckets = write_through(buckets.select("t", "size", "key", "component"), "buckets")
-    rows = buckets.join(features.select("key", "n", "sig"), "key")
+    rows = buckets.join(features.select("key", "n", "sig"), "key").withColumn("c", F.lit(0))
     clusters = connected_components(write_through(candidate_links(rows, percent), "links"), "x", "y")
     clusters = clusters.select(F.col("node").alias("component"), F.col("component").alias("cluster"))
     part = buckets.select("key", "component").distinct().join(clusters, "component")
     part = part.join(features.groupBy("key").agg(F.max("n").alias("n")), "key")
-    part = write_through(part, "clusters")
+    part = _split_clusters(write_through(part, "clusters"), docs, size, percent)
     cells = write_through(_cells(part), "cells")
     keys = cells.select(F.col("key").alias("a"), F.col("key").alias("b"))
     sets = _of_pairs(keys, docs, size, "array<long>", lambda sets: _lists([s.view(np.int64) for s in sets], pa.int64()))
