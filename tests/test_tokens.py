@@ -251,6 +251,59 @@ def test_new_forms_are_not_rows_of_the_plan(spark):
     assert "LocalRelation" not in merged._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_many_words_come_as_few_runs(spark, monkeypatch):
+    """No merge is left to the executors, and rounds stay few, when words are far more than the limit."""
+    import random
+
+    tk = pytest.importorskip("tokenizers")
+    rng = random.Random(3)
+    parts = "ka lo mi shu ter ing on pre ñu et aa aaa b".split()
+    lines = [" ".join("".join(rng.choices(parts, k=rng.randrange(2, 6))) for _ in range(200)) + "\n" for _ in range(40)]
+    rounds = []
+    held = V._merge_held
+
+    def counted(found, pairs, after, pool, symbols, size):
+        before = len(symbols.merges)
+        out = held(found, pairs, after, pool, symbols, size)
+        rounds.append((found.num_rows, len(symbols.merges) - before))
+        return out
+
+    monkeypatch.setattr(V, "_merge_held", counted)
+    mine = learned(spark, lines, 700, word_limit=300)
+    assert shown(mine) == merges_of(library(tk, lines, 700))
+    assert sum(n for _, n in rounds) == len(mine.merges) and len(rounds) < 30
+    assert all(runs <= 300 for runs, _ in rounds)
+
+
+def test_runs_of_words():
+    """Symbols of any width; runs end where a pair is not held and where a word ends."""
+    import numpy as np
+
+    words = ["", "ab", "\u0104\u7fff", chr(0xE000) + chr(0x12345) + "z", "xabyab", "aaab", "b"]
+    symbols, lengths = V._read(pa.chunked_array([pa.array(["gone", *words])]).slice(1))
+    assert lengths.tolist() == [len(w) for w in words] and V._written(symbols, lengths).to_pylist() == words
+    held = np.array(sorted(map(V._code, ["ab", "aa", "bb", "zx"])))
+    starts, sizes, runs = V._runs(symbols, lengths, held)
+    text = "".join(words)
+    assert runs.to_pylist() == ["ab", "ab", "ab", "aaab"] == [text[i : i + n] for i, n in zip(starts, sizes, strict=True)]
+
+
+def test_sums_are_let_out_in_parts(monkeypatch):
+    parts = [pa.table({"w": [f"{i % 7}" for i in range(j, j + 20)], "n": [1] * 20}) for j in range(0, 100, 20)]
+
+    def total(batches):
+        out = Counter()
+        for b in batches:
+            for w, n in zip(b.column("w").to_pylist(), b.column("n").to_pylist(), strict=True):
+                out[w] += n
+        return out
+
+    for rows in (3, 10, 1000):
+        monkeypatch.setattr(V, "HELD_ROWS", rows)
+        assert total(V._sums(parts)) == Counter(f"{i % 7}" for i in range(100))
+    assert sum(b.num_rows for b in V._sums(parts, 5)) > 5
+
+
 @pytest.mark.parametrize("word, pair", [("abcab", "ab"), ("xaby", "ab"), ("aaa", "aa"), ("ab", "ab"), ("cab", "ab"), ("aaaa", "aa")])
 def test_a_merge_changes_only_pairs_around_it(word, pair):
     new = word.replace(pair, "Z")

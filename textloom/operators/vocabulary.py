@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
-from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,13 +19,16 @@ from textloom.functions.symbols import (
     symbol_to_id,
 )
 from textloom.operators.tokenizer import BYTE_TOKENIZER, Tokenizer
-from textloom.workspace import cut_lineage, write_through
+from textloom.workspace import cut_lineage
 
 VOCAB_SIZE = 32_000
 POOL_SIZE = 20_000
-MAX_BATCH = 256
 ROUNDS_PER_CUT = 8  # the plan of a round grows with the rounds since the last cut
-WORD_LIMIT = 100_000  # words that a round brings to the driver at most
+WORD_LIMIT = 100_000  # parts of words that a round brings to the driver at most
+MEAN_LENGTH = 64  # symbols that these have on average at most
+FIRST_PAIRS = 16  # leading pairs of the first round
+GATHERED = 1 << 21  # bytes of words that a task works on at once
+HELD_ROWS = 1 << 20  # sums that a task holds before it lets them out
 
 
 def count_pretokens(lines: DataFrame, text: str = "text") -> DataFrame:
@@ -39,92 +43,11 @@ def count_pretokens(lines: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def _apply(word: str, merges: list[tuple[str, str]]) -> str:
-    """SQL that replaces each pair of symbols by its new symbol, in list order.
-
-    The merges are one folded array literal, so every round has the same
-    generated code. Symbols are never quotes or backslashes.
-    """
-    listed = ", ".join(f"struct('{pair}' as p, '{made}' as s)" for pair, made in merges)
-    return f"aggregate(array({listed}), {word}, (w, m) -> replace(w, m.p, m.s))"
-
-
-def _pairs(word: str) -> str:
-    """SQL for all adjacent two-symbol substrings, overlapping ones included."""
-    at = f"if(length({word}) > 1, sequence(1, length({word}) - 1), cast(array() as array<int>))"
-    return f"transform({at}, i -> substring({word}, i, 2))"
-
-
 def _rank(item: tuple[str, int]) -> tuple[int, str]:
     """Most frequent first; ties go to the smaller left id, then right id."""
     return -item[1], item[0]
 
 
-@dataclass
-class _Pool:
-    """Exact counts of the leading pairs, and the rank every other pair stays behind.
-
-    ``spread`` has a bound of the number of words that hold a pair. Counts of pairs
-    outside the pool can only fall while the pool is in use.
-    """
-
-    counts: dict[str, int]
-    spread: dict[str, int]
-    floor: tuple[int, str] | None
-
-    def ranked(self) -> list[tuple[str, int]]:
-        items = sorted((i for i in self.counts.items() if i[1] > 0), key=_rank)
-        if self.floor is None:
-            return items
-        return [i for i in items if _rank(i) <= self.floor]
-
-    def add(self, pair: str, count: int, words: int) -> None:
-        self.counts[pair] = self.counts.get(pair, 0) + count
-        self.spread[pair] = self.spread.get(pair, 0) + words
-
-    def drop(self, pair: str) -> None:
-        self.counts.pop(pair, None)
-        self.spread.pop(pair, None)
-
-    def keep_best(self, size: int) -> None:
-        if len(self.counts) <= size:
-            return
-        best = self.ranked()[:size]
-        if best:
-            self.spread = {p: self.spread[p] for p, _ in best}
-            self.counts, self.floor = dict(best), _rank(best[-1])
-
-
-def _next_batch(ranked: list[tuple[str, int]], made: dict[bytes, int], tokens: list[bytes], room: int):
-    """The longest leading run of pairs that can be merged together.
-
-    Merging a pair changes only the counts of pairs that meet it end to end,
-    and whatever new pair it creates ranks behind the pair it came from. So a
-    run is safe while no member's left symbol is another member's right symbol.
-    A pair of equal symbols, or one whose result already exists, ends the run.
-    Returns the pairs and whether the last result already existed.
-    """
-    lefts: set[str] = set()
-    rights: set[str] = set()
-    new: set[bytes] = set()
-    batch: list[str] = []
-    for pair, _ in ranked:
-        left, right = pair
-        if left in rights or right in lefts:
-            break
-        result = tokens[symbol_to_id(left)] + tokens[symbol_to_id(right)]
-        repeated = result in made or result in new
-        batch.append(pair)
-        if repeated:
-            return batch, True
-        new.add(result)
-        lefts.add(left)
-        rights.add(right)
-        if left == right or len(new) >= min(room, MAX_BATCH):
-            break
-    return batch, False
-
-
 class _Symbols:
     """The vocabulary as it grows: tokens by id, ids by token, and the merges in order."""
 
@@ -150,72 +73,53 @@ def learn_merges(
 ) -> Tokenizer:
     """Learn byte-pair merges from ``pretoken, n`` until the vocabulary is full.
 
-    The words stay distributed as symbol strings. Now and then all pairs are counted and
-    the ``pool_size`` leading ones are kept on the driver with their exact counts. A round
-    takes the leading pairs that no more than ``word_limit`` words hold together, and only
-    those words: their merges are exact until a pair that others hold too comes first, so
-    the driver makes them one by one, and the new forms of these words go back to the
-    table. While the leading pairs stand in more words than that, a round applies one
-    batch of merges that can be made together to all words, and sums how the counts of
-    the touched pairs change. Stops early when no pair is left.
+    The words stay distributed as symbol strings. A round counts all pairs, takes leading
+    ones, and cuts each word where two symbols are not one of these pairs. What stays
+    together is a run; equal runs of all words are added up, and at most ``word_limit`` of
+    them come to the driver. A pair over a cut can only get rarer, so while the best pair
+    ranks before the first one not taken, the runs have all that is needed: the driver
+    merges one pair after the other, and the new forms of the runs go back to the words.
+    A single pair has few runs, whatever the words; more pairs are taken from round to
+    round as their runs allow. Stops early when no pair is left.
     """
     # An explicit partition count keeps the table spread out although it is small;
-    # the rounds are many and short, so one partition per task slot is enough.
+    # the rounds are short, so one partition per task slot is enough.
     spark = counts.sparkSession
     most = int(spark.conf.get("spark.sql.shuffle.partitions"))
     slots = min(most, spark.sparkContext.defaultParallelism)
     words = _cut(counts.select(byte_symbols("pretoken").alias("w"), "n").repartition(slots, "w"))
+    former: DataFrame | None = None
     symbols = _Symbols()
-    pool: _Pool | None = None
+    take = FIRST_PAIRS
     rounds = 0
     while len(symbols.tokens) < vocab_size:
-        ranked = pool.ranked() if pool else []
+        ranked = _leading_pairs(words, pool_size)
+        if former is not None:
+            former.unpersist()
+            former = None
         if not ranked:
-            if pool and pool.floor is None:
-                break
-            pool = _count_pairs(words, pool_size)
-            ranked = pool.ranked()
-            if not ranked:
-                break
-        held = list(accumulate(pool.spread[p] for p, _ in ranked))
-        few = [p for (p, _), n in zip(ranked, held, strict=True) if n <= word_limit]
-        batch, repeated = _next_batch(ranked, symbols.made, symbols.tokens, vocab_size - len(symbols.tokens))
-        if len(few) >= len(batch):
-            after = _rank(ranked[len(few)]) if len(few) < len(ranked) else pool.floor
-            found = words.filter(_holds("w", few)).select("w", "n").toArrow()
-            changed, loose = _merge_held(found, set(few), after, pool, symbols, vocab_size)
-            if len(symbols.tokens) >= vocab_size:
-                break
-            merged = _replaced(words, changed).persist()
-            _count_loose(pool, merged, loose)
-        else:
-            step = [(pair, symbols.merge(pair)[0]) for pair in batch]
-            if len(symbols.tokens) >= vocab_size:
-                break
-            merged = _merge(words, step).persist()
-            if repeated:
-                # The counts of an existing symbol may rise, so all pairs are counted anew.
-                pool = _count_pairs(merged, pool_size)
-            else:
-                _update(pool, merged, step)
-        pool.keep_best(4 * pool_size)
+            break
+        take = min(take, len(ranked))
+        while (found := _runs_of(words, [p for p, _ in ranked[:take]], word_limit)) is None:
+            take //= 2
+        # Without a pool of full size every pair that there is has been listed.
+        rest = ranked[take:] or ranked[pool_size - 1 :]
+        after = _rank(rest[0]) if rest else None
+        changed, repeated = _merge_held(found, {p for p, _ in ranked[:take]}, after, dict(ranked), symbols, vocab_size)
+        if len(symbols.tokens) >= vocab_size:
+            break
+        former, words = words, _replaced(words, changed).persist()
+        if not repeated:
+            take = max(1, int(take * min(4.0, 0.8 * (word_limit / found.num_rows) ** 0.5)))
         rounds += 1
         if rounds % ROUNDS_PER_CUT == 0:
-            cut = _cut(merged)
-            merged.unpersist()
-            merged = cut
-        words.unpersist()
-        words = merged
+            cut = _cut(words)
+            former.unpersist()
+            former, words = words, cut
     words.unpersist()
     return Tokenizer(symbols.merges)
 
 
-def _holds(word: str, pairs: list[str]):
-    """Whether a word holds one of some pairs; the list is a hash set, however long."""
-    listed = ", ".join(f"'{p}'" for p in pairs)
-    return F.expr(f"exists({_pairs(word)}, p -> p in ({listed}))")
-
-
 def _adjacent(word: str) -> list[str]:
     return [word[i : i + 2] for i in range(len(word) - 1)]
 
@@ -229,34 +133,29 @@ def _difference(old: str, new: str, pair: str) -> tuple[list[str], list[str]]:
     return _adjacent(old[start : at + 3]), _adjacent(new[start : at + 2])
 
 
-def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _Symbols, vocab_size: int):
+def _merge_held(
+    found: pa.Table, held: set[str], after: tuple[int, str] | None, pool: dict[str, int], symbols: _Symbols, vocab_size: int
+) -> tuple[dict[str, str], bool]:
     """Merge one pair after the other while the best one stands in ``found`` alone.
 
-    ``found`` has all words with one of the ``held`` pairs; other pairs rank ``after`` or
-    behind. Pairs wait in a queue with the count they had when they were put there, and go
-    back with the present one when their turn comes. Brings the pool up to date; returns
-    the changed words, old form to new one, and pairs outside the pool that an existing
-    symbol has gained.
+    ``found`` has all runs of the ``held`` pairs, ``pool`` their counts; other pairs rank
+    ``after`` or behind. Pairs wait in a queue with the count they had when they were put
+    there, and go back with the present one when their turn comes. A merge that gives an
+    existing symbol is the last one: its pairs may gain elsewhere too. Only if nothing is
+    left out, the runs being whole words, merges go on behind it.
+    Returns the changed runs, old form to new one, and whether such a merge ended the round.
     """
     words, n = found.column("w").to_pylist(), found.column("n").to_pylist()
     first = list(words)
-    where: dict[str, set[int]] = {}  # words of the pairs that may be merged here
+    where: dict[str, set[int]] = {}  # runs that hold a pair
     for i, w in enumerate(words):
         for p in _adjacent(w):
-            if p in held:
-                where.setdefault(p, set()).add(i)
-    counts = {p: pool.counts[p] for p in held}
-    outside = -pool.floor[0] if pool.floor else 0  # most that a pair outside the pool can have
+            where.setdefault(p, set()).add(i)
+    counts = {p: pool[p] for p in held}
     queue = [(-c, p) for p, c in counts.items()]
     heapify(queue)
-    moves: dict[str, list[int]] = {}  # change of count and of words, all pairs
-    fresh: set[str] = set()
-    risen: set[str] = set()  # pairs of an existing symbol, which other words may hold too
-
-    def exact(p: str) -> bool:
-        return p in held or p[0] in fresh or p[1] in fresh
-
-    while queue and len(symbols.tokens) < vocab_size:
+    repeated = False
+    while queue and not repeated and len(symbols.tokens) < vocab_size:
         least, pair = heappop(queue)
         count = counts.get(pair, 0)
         if count <= 0:
@@ -264,15 +163,10 @@ def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _S
         if -least != count:
             heappush(queue, (-count, pair))
             continue
-        # Pairs elsewhere may have come to this rank: those left out, and those that have risen.
         if after is not None and (-count, pair) > after:
             break
-        limits = [_rank((q, pool.counts.get(q, outside) + moves[q][0])) for q in risen if moves[q][0] > 0]
-        if limits and min(limits) < (-count, pair):
-            break
-        symbol, new = symbols.merge(pair)
-        if new:
-            fresh.add(symbol)
+        symbol, fresh = symbols.merge(pair)
+        repeated = not fresh and after is not None
         touched = set()
         for i in where.pop(pair, ()):
             old = words[i]
@@ -281,60 +175,16 @@ def _merge_held(found: pa.Table, held: set[str], after, pool: _Pool, symbols: _S
                 continue
             gone, come = _difference(old, w, pair)
             for q in gone:
-                move = moves.setdefault(q, [0, 0])
-                move[0] -= n[i]
-                move[1] -= 1
-                if q in counts:
-                    counts[q] -= n[i]
+                counts[q] -= n[i]
             for q in come:
-                move = moves.setdefault(q, [0, 0])
-                move[0] += n[i]
-                move[1] += 1
-                if exact(q):
-                    counts[q] = counts.get(q, 0) + n[i]
-                    touched.add(q)
-                    where.setdefault(q, set()).add(i)
-                elif not new and symbol in q:
-                    risen.add(q)
+                counts[q] = counts.get(q, 0) + n[i]
+                touched.add(q)
+                where.setdefault(q, set()).add(i)
         counts.pop(pair, None)
-        moves[pair] = [0, 0]
-        pool.drop(pair)
         for q in touched:
             if counts.get(q, 0) > 0:
                 heappush(queue, (-counts[q], q))
-    for q, (d, words_moved) in moves.items():
-        # Without a floor every pair that there was is in the pool.
-        if q in pool.counts or (d > 0 and (exact(q) or pool.floor is None)):
-            pool.add(q, d, words_moved)
-    loose = [q for q in risen if moves[q][0] > 0 and q not in pool.counts]
-    return {a: b for a, b in zip(first, words, strict=True) if a != b}, loose
-
-
-def _replaced(words: DataFrame, changed: dict[str, str]) -> DataFrame:
-    """The table with new forms of some words, of which there are at most ``WORD_LIMIT``.
-
-    The forms are stored: as literal rows they would stay in the plan, and every later
-    round would compare them again.
-    """
-    table = pa.table({"a": pa.array(changed.keys(), pa.string()), "b": pa.array(changed.values(), pa.string())})
-    forms = F.broadcast(write_through(words.sparkSession.createDataFrame(table, "a string, b string").coalesce(1), "forms"))
-    joined = words.select("w", "n").join(forms, F.col("w") == F.col("a"), "left")
-    return joined.select(F.lit(None).cast("string").alias("old"), F.coalesce("b", "w").alias("w"), "n")
-
-
-def _count_loose(pool: _Pool, words: DataFrame, pairs: list[str]) -> None:
-    """Count pairs that have gained and may have come into the pool's ranks."""
-    if not pairs:
-        return
-    listed = ", ".join(f"'{p}'" for p in pairs)
-    rows = (
-        words.selectExpr(f"explode_outer(filter({_pairs('w')}, p -> p in ({listed}))) as pair", "n")
-        .groupBy("pair").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).filter(F.col("pair").isNotNull())
-    )
-    for r in rows.collect():
-        if _rank((r.pair, r.n)) <= pool.floor:
-            pool.drop(r.pair)
-            pool.add(r.pair, r.n, r.words)
+    return {a: b for a, b in zip(first, words, strict=True) if a != b}, repeated
 
 
 def _cut(words: DataFrame) -> DataFrame:
@@ -343,65 +193,179 @@ def _cut(words: DataFrame) -> DataFrame:
     The result is kept in executor memory; a lost part is read again from the
     checkpoint and goes through the rounds since then.
     """
-    rest = words.select(F.lit(None).cast("string").alias("old"), "w", "n").filter(F.length("w") > 1)
-    return cut_lineage(rest).persist()
+    return cut_lineage(words.filter(F.length("w") > 1)).persist()
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows of several batches at once, so that what is done once for each is little."""
+    kept, size = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            kept.append(batch)
+            size += batch.nbytes
+        if size >= GATHERED:
+            yield pa.Table.from_batches(kept).combine_chunks()
+            kept, size = [], 0
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks()
+
+
+def _read(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all words, one after the other, and how many each word has."""
+    words = column.cast(pa.large_binary()).combine_chunks()
+    _, offsets, data = words.buffers()
+    at = np.frombuffer(offsets, np.int64)[words.offset : words.offset + len(words) + 1]
+    data = np.frombuffer(data, np.uint8)[at[0] : at[-1]]
+    begins = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # symbols before each byte
+    symbols = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), "<u4")
+    return symbols, np.diff(begins[at - at[0]])
+
+
+def _written(symbols: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """Words of the given lengths from their symbols."""
+    width = 1 + (symbols >= 0x80) + (symbols >= 0x800) + (symbols >= 0x10000)  # bytes in UTF-8
+    ends = np.concatenate([[0], np.cumsum(width)])
+    offsets = ends[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int64)
+    data = symbols.astype("<u4").tobytes().decode("utf-32-le").encode("utf-8")
+    words = pa.LargeStringArray.from_buffers(len(lengths), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data))
+    return words.cast(pa.string())
+
+
+def _codes(symbols: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Each symbol and the next one of its word as one number, in the order of pairs; -1 for a word's last symbol."""
+    codes = np.full(len(symbols), -1, np.int64)
+    codes[:-1] = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
+    codes[np.cumsum(lengths)[lengths > 0] - 1] = -1
+    return codes
+
+
+def _code(pair: str) -> int:
+    return ord(pair[0]) << 32 | ord(pair[1])
+
+
+def _runs(symbols: np.ndarray, lengths: np.ndarray, held: np.ndarray):
+    """Longest runs of symbols of a word in which all pairs are ``held``: where they begin, their lengths, and the runs."""
+    codes = _codes(symbols, lengths)
+    at = np.searchsorted(held, codes)
+    at[at == len(held)] = 0
+    joined = held[at] == codes
+    before = np.concatenate([[False], joined[:-1]])
+    starts = np.flatnonzero(joined & ~before)
+    sizes = np.flatnonzero(before & ~joined) + 1 - starts
+    return starts, sizes, _written(symbols[joined | before], sizes)
+
+
+def _sums(parts: Iterable[pa.Table], limit: int | None = None) -> Iterator[pa.RecordBatch]:
+    """``n`` added up for each key of the first column; a key may come again when many are held.
+
+    With more than ``limit`` keys the rest is left out.
+    """
 
+    def added(tables: list[pa.Table]) -> pa.Table:
+        table = pa.concat_tables(tables)
+        key = table.column_names[0]
+        return table.group_by(key, use_threads=False).aggregate([("n", "sum")]).rename_columns([key, "n"])
+
+    held, rows = [], 0
+    for part in parts:
+        held.append(added([part]))
+        rows += held[-1].num_rows
+        if rows > HELD_ROWS or (limit is not None and rows > limit):
+            held = [added(held)]
+            rows = held[0].num_rows
+            if limit is not None and rows > limit:
+                break
+            if rows > HELD_ROWS // 2:
+                yield from held[0].to_batches()
+                held, rows = [], 0
+    if held:
+        yield from added(held).to_batches()
 
-def _merge(words: DataFrame, step: list[tuple[str, str]]) -> DataFrame:
-    """Words after one batch; ``old`` holds the former symbols of a changed word, else null."""
-    return words.selectExpr("w", f"{_apply('w', step)} as v", "n").selectExpr(
-        "if(v = w, null, w) as old", "v as w", "n"
-    )
 
+def _leading_pairs(words: DataFrame, size: int) -> list[tuple[str, int]]:
+    """The ``size`` best pairs of all words with their counts, best first."""
 
-def _count_pairs(words: DataFrame, size: int) -> _Pool:
-    top = (
-        words.selectExpr(f"explode_outer({_pairs('w')}) as pair", "n")
-        .groupBy("pair")
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words"))
-        .filter(F.col("pair").isNotNull())
-        .orderBy(F.desc("n"), F.asc("pair"))
-        .limit(size)
-        .collect()
-    )
-    floor = _rank((top[-1].pair, top[-1].n)) if len(top) == size else None
-    return _Pool({r.pair: r.n for r in top}, {r.pair: r.words for r in top}, floor)
+    def run(batches):
+        yield from _sums(pairs(_gathered(batches)))
 
+    def pairs(tables):
+        for table in tables:
+            symbols, lengths = _read(table.column("w"))
+            codes = _codes(symbols, lengths)
+            inside = codes >= 0
+            n = np.repeat(table.column("n").to_numpy(), lengths)[inside]
+            yield pa.table({"pair": codes[inside], "n": n})
 
-def _update(pool: _Pool, words: DataFrame, step: list[tuple[str, str]]) -> None:
-    """Bring the pool's counts up to date with one job over the changed words.
+    sums = words.select("w", "n").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    top = sums.filter(F.col("n") > 0).orderBy(F.desc("n"), F.asc("pair")).limit(size).collect()
+    return [(chr(r.pair >> 32) + chr(r.pair & 0xFFFFFFFF), r.n) for r in top]
 
-    What comes back: changes of pool pairs next to a merged pair, and new pairs
-    that are at least as frequent as the pool's last one, of which there are at
-    most (occurrences merged * 2 / that frequency).
+
+def _runs_of(words: DataFrame, pairs: list[str], limit: int) -> pa.Table | None:
+    """``w, n``: all runs of some pairs with the times they occur; None if more than one pair has too many."""
+    held = words.sparkSession.sparkContext.broadcast(np.sort(np.array([_code(p) for p in pairs], np.int64)))
+    at_most = limit if len(pairs) > 1 else None
+
+    def run(batches):
+        yield from _sums(runs(_gathered(batches)), at_most)
+
+    def runs(tables):
+        for table in tables:
+            symbols, lengths = _read(table.column("w"))
+            starts, _, found = _runs(symbols, lengths, held.value)
+            n = np.repeat(table.column("n").to_numpy(), lengths)[starts]
+            yield pa.table({"w": found, "n": n})
+
+    found = words.select("w", "n").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).persist()
+    try:
+        size = found.agg(F.count(F.lit(1)).alias("runs"), F.sum(F.length("w")).alias("symbols")).first()
+        if at_most is not None and (size.runs > limit or size.symbols > MEAN_LENGTH * limit):
+            return None
+        return found.toArrow()
+    finally:
+        found.unpersist()
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of some ranges, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - ends + sizes, sizes)
+
+
+def _replaced(words: DataFrame, changed: dict[str, str]) -> DataFrame:
+    """The table with new forms of some runs, without words that have become one symbol.
+
+    The pairs of the changed runs cut the words as all pairs taken did: what changed in one
+    run has changed in every run that holds it, so no part of an unchanged run is listed.
     """
-    lefts = {p[0] for p, _ in step}
-    rights = {p[1] for p, _ in step}
-    symbols = "".join(s for _, s in step)
-    # Pool pairs whose count may change: those meeting a merged pair end to end.
-    near = [p for p in pool.counts if p[0] in rights or p[1] in lefts]
-    # Unchanged words give one null row, dropped after the sum; a plain explode
-    # would make the optimizer build the arrays twice.
-    changes = (
-        words.selectExpr(
-            f"if(old is null, null, concat(transform({_pairs('old')}, p -> struct(p as pair, -1 as s)),"
-            f" transform({_pairs('w')}, p -> struct(p as pair, 1 as s)))) as signed",
-            "n",
-        )
-        .selectExpr("explode_outer(signed) as c", "n")
-        .groupBy("c.pair")
-        .agg(F.expr("sum(c.s * n)").alias("d"), F.expr("sum(c.s)").alias("words"))
-    )
-    is_new = F.translate("pair", symbols, "") != F.col("pair")
-    lowest = -pool.floor[0] if pool.floor else 1
-    wanted = is_new & (F.col("d") >= lowest)
-    if near:
-        listed = ", ".join(f"'{p}'" for p in near)
-        wanted = wanted | F.expr(f"pair in ({listed})")  # a hash set, however long
-    for pair, _ in step:
-        pool.drop(pair)
-    for r in changes.filter((F.col("d") != 0) & wanted).collect():
-        pool.add(r.pair, r.d, r.words)
+    held = np.array(sorted({_code(p) for w in changed for p in _adjacent(w)}), np.int64)
+    shared = words.sparkSession.sparkContext.broadcast((held, list(changed), list(changed.values())))
+
+    def run(batches):
+        held, old, new = shared.value
+        old, new = pa.array(old, pa.string()), pa.chunked_array([pa.array(new, pa.string())])
+        forms, widths = _read(new)
+        first = np.cumsum(widths) - widths
+        for table in _gathered(batches):
+            symbols, lengths = _read(table.column("w"))
+            starts, sizes, found = _runs(symbols, lengths, held)
+            which = pc.fill_null(pc.index_in(found, value_set=old), -1).to_numpy(zero_copy_only=False)
+            hit = which >= 0
+            starts, sizes, which = starts[hit], sizes[hit], which[hit]
+            put = widths[which]
+            symbols, kept = symbols.copy(), np.ones(len(symbols), np.bool_)
+            symbols[_ranges(starts, put)] = forms[_ranges(first[which], put)]
+            kept[_ranges(starts + put, sizes - put)] = False
+            ends = np.cumsum(lengths)
+            left = np.concatenate([[0], np.cumsum(kept)])
+            lengths = left[ends] - left[ends - lengths]
+            more = lengths > 1
+            kept &= np.repeat(more, np.diff(ends, prepend=0))
+            table = table.filter(pa.array(more))
+            forms_left = _written(symbols[kept], lengths[more])
+            yield from table.set_column(table.column_names.index("w"), "w", forms_left).to_batches()
+
+    return words.mapInArrow(run, words.schema)
 
 
 def vocabulary(tokenizer: Tokenizer, spark: SparkSession) -> DataFrame:
